@@ -88,7 +88,12 @@ def with_doc_id(
     if id_column:
         return df.withColumn("doc_id", F.col(id_column).cast("long"))
     cols = df.columns
-    digest = F.md5(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}))
+    nested = ("array", "map", "struct")
+    texts = [
+        F.coalesce(F.to_json(c) if t.startswith(nested) else F.col(c).cast("string"), F.lit("\x00"))
+        for c, t in df.dtypes
+    ]
+    digest = F.md5(F.concat_ws("\x1f", *texts))
     copies = (
         df.groupBy(*cols)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -101,7 +106,9 @@ def with_doc_id(
         "_bucket",
         (F.sum("_size").over(Window.orderBy("_bucket")) - F.col("_size")).alias("_start"),
     )
-    within = Window.partitionBy("_bucket").orderBy("_digest")
+    within = (
+        Window.partitionBy("_bucket").orderBy("_digest", *cols).rowsBetween(Window.unboundedPreceding, 0)
+    )
     numbered = (
         copies.withColumn("_before", F.sum("_n").over(within) - F.col("_n"))
         .join(F.broadcast(starts), "_bucket")
@@ -111,6 +118,6 @@ def with_doc_id(
         "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(rows_per_task)))
     ).repartition("_digest", "_chunk")
     last = F.least(F.col("_chunk") + rows_per_task, F.col("_n")) - 1
-    return chunked.select(
-        (F.col("_first") + F.explode(F.sequence(F.col("_chunk"), last))).alias("doc_id"), *cols
+    return chunked.select(F.explode(F.sequence(F.col("_chunk"), last)).alias("_copy"), "_first", *cols).select(
+        (F.col("_first") + F.col("_copy")).alias("doc_id"), *cols
     )

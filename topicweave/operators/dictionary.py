@@ -55,45 +55,43 @@ def apply_dictionary(
     """
     terms = dicts.where(F.col("domain") == domain)
     whole = terms.where(F.col("kind") != "cp_caret").select("term").distinct()
-    split = terms.where(F.col("kind") == "cp_caret").select(
-        F.replace("term", F.lit("^"), F.lit("")).alias("term"),
-        F.split("term", r"\^").alias("parts"),
+    carets = terms.where(F.col("kind") == "cp_caret").select(
+        F.replace("term", F.lit("^"), F.lit("")).alias("term"), F.split("term", r"\^").alias("parts")
     )
-    split = split.groupBy("term").agg(F.min("parts").alias("parts"))
-    entries = whole.select(
-        "term", F.array(F.struct(F.col("term").alias("form"), F.lit(PROPER_NOUN).alias("tag"))).alias("put"), F.lit(False).alias("splits")
-    ).unionByName(
-        split.select(
-            "term",
-            F.transform("parts", lambda p: F.struct(p.alias("form"), F.lit(COMMON_NOUN).alias("tag"))).alias("put"),
-            F.lit(True).alias("splits"),
-        )
-    )
-    # forms have at least one character, so no span of more tokens can match
+    carets = carets.groupBy("term").agg(F.min("parts").alias("parts"))
+    # forms have at least one character, so a longer span cannot match
     longest = whole.agg(F.coalesce(F.max(F.char_length("term")), F.lit(1))).first()[0]
 
     pairs = F.col(pairs_col)
-    form = lambda i, n: F.array_join(F.transform(F.slice(pairs, i, n), lambda p: p["form"]), "")
-
-    def spans_from(i: Column) -> Column:
-        lengths = F.sequence(F.lit(1), F.least(F.lit(max(longest, 1)), F.size(pairs) - i + 1))
-        found = F.transform(
-            lengths, lambda n: F.struct(i.alias("at"), n.alias("n"), form(i, n).alias("term"))
-        )
-        return F.filter(found, lambda s: (s["n"] == 1) | (F.char_length(s["term"]) <= longest))
-
-    starts = F.when(F.size(pairs) > 0, F.sequence(F.lit(1), F.size(pairs)))
-    spans = df.select("doc_id", F.explode(F.flatten(F.transform(starts, spans_from))).alias("span"))
+    forms = F.transform(pairs, lambda p: p["form"])
+    tokens = df.select("doc_id", forms.alias("forms"))
+    starts = F.when(F.size("forms") > 1, F.sequence(F.lit(1), F.size("forms") - 1))
+    # a term is met through its beginning, so that only possible spans are spelt out
+    ahead = tokens.select("doc_id", "forms", F.explode(starts).alias("at")).select(
+        "doc_id", "at", F.slice("forms", F.col("at"), max(longest, 2)).alias("ahead")
+    ).withColumn("begin", F.concat(F.get("ahead", F.lit(0)), F.get("ahead", F.lit(1))))
+    beginnings = whole.select(
+        "term", F.explode(F.transform(F.sequence(F.lit(1), F.char_length("term")), lambda n: F.substring("term", F.lit(1), n))).alias("begin")
+    )
+    fits = F.filter(
+        F.sequence(F.lit(2), F.size("ahead")),
+        lambda n: F.array_join(F.slice("ahead", F.lit(1), n), "") == F.col("term"),
+    )
+    joined = (
+        ahead.join(beginnings, "begin")
+        .select("doc_id", "at", "term", F.explode(fits).alias("n"))
+        .select("doc_id", "at", "n", F.array(F.struct(F.col("term").alias("form"), F.lit(PROPER_NOUN).alias("tag"))).alias("put"))
+    )
+    parts = F.transform("parts", lambda p: F.struct(p.alias("form"), F.lit(COMMON_NOUN).alias("tag")))
+    split = (
+        tokens.select("doc_id", F.posexplode("forms").alias("pos", "term"))
+        .join(carets, "term")
+        .select("doc_id", (F.col("pos") + 1).alias("at"), F.lit(1).alias("n"), parts.alias("put"))
+    )
     matches = (
-        spans.select("doc_id", "span.at", "span.n", "span.term")
-        .join(entries, "term")
-        .where(F.when(F.col("splits"), F.col("n") == 1).otherwise(F.col("n") > 1))
+        joined.unionByName(split)
         .groupBy("doc_id")
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct("at", (-F.col("n")).alias("neg_n"), "put"))
-            ).alias("_matches")
-        )
+        .agg(F.sort_array(F.collect_list(F.struct("at", (-F.col("n")).alias("neg_n"), "put"))).alias("_matches"))
     )
 
     def take(state: Column, m: Column) -> Column:
