@@ -18,6 +18,10 @@ def cte(**parts: str) -> str:
     return "WITH " + ", ".join(f"{name} AS ({body})" for name, body in parts.items()) + " "
 
 
+def cte_recursive(**parts: str) -> str:
+    return cte(**parts).replace("WITH", "WITH RECURSIVE", 1)
+
+
 MASKED = """SELECT d.doc_id, CASE WHEN l.toxic = 1 THEN '' WHEN l.quality = 0 THEN NULL ELSE d.text END AS text,
     l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)"""
 TOPICS = """SELECT d.doc_id, CASE WHEN l.toxic = 1 THEN -1 ELSE CAST(substr(d.source, 4) AS INTEGER) END AS topic
@@ -239,17 +243,24 @@ SQL: dict[str, str] = {
       UNION ALL SELECT 'en', 'np', min(p_partkey), p_brand FROM part GROUP BY p_brand
       UNION ALL SELECT 'en', 'cp', min(n_nationkey), n_name FROM nation GROUP BY n_name""",
     "list_dictionary_domains": "SELECT DISTINCT lang AS domain FROM documents",
-    # greedy matches of two words: every second start of a run of adjacent starts
-    "apply_dictionary": cte(
+    # the longest term at each place, then greedily from left to right
+    "apply_dictionary": cte_recursive(
         terms=BIGRAMS,
-        w=f"SELECT doc_id, unnest({words('text')}) AS form, generate_subscripts({words('text')}, 1) AS i FROM documents",
+        lists=f"SELECT doc_id, {words('text')} AS w FROM documents",
+        w="SELECT doc_id, unnest(w) AS form, generate_subscripts(w, 1) AS i FROM lists",
         nxt="SELECT *, lead(form) OVER (PARTITION BY doc_id ORDER BY i) AS after FROM w",
-        hits="SELECT doc_id, i FROM nxt WHERE after IS NOT NULL AND form || after IN (SELECT term FROM terms)",
-        runs="SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hits",
-        picked="SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, run ORDER BY i) AS r FROM runs) WHERE r % 2 = 1",
-        outp="""SELECT n.doc_id, n.i, CASE WHEN p.i IS NOT NULL THEN form || after ELSE form END AS form, q.i AS swallowed
-          FROM nxt n LEFT JOIN picked p ON n.doc_id = p.doc_id AND n.i = p.i
-          LEFT JOIN picked q ON n.doc_id = q.doc_id AND n.i = q.i + 1""",
+        begins="SELECT term, left(term, k) AS b FROM (SELECT term, unnest(range(1, len(term) + 1)) AS k FROM terms)",
+        cand="SELECT n.doc_id, n.i, b.term FROM nxt n JOIN begins b ON b.b = n.form || n.after",
+        spans="""SELECT c.doc_id, c.i, unnest(list_filter(range(2, len(c.term) + 1),
+          lambda n: array_to_string(l.w[c.i : c.i + n - 1], '') = c.term)) AS n FROM cand c JOIN lists l USING (doc_id)""",
+        hits="SELECT doc_id, i, max(n) AS n FROM spans GROUP BY ALL",
+        picked="""SELECT doc_id, min(i) AS i, arg_min(n, i) AS n FROM hits GROUP BY doc_id UNION ALL
+          SELECT h.doc_id, min(h.i), arg_min(h.n, h.i) FROM picked p JOIN hits h ON h.doc_id = p.doc_id AND h.i >= p.i + p.n GROUP BY h.doc_id""",
+        inner_="SELECT doc_id, unnest(range(i + 1, i + n)) AS i FROM picked",
+        outp="""SELECT n.doc_id, n.i, CASE WHEN p.i IS NOT NULL
+            THEN array_to_string(l.w[n.i : n.i + p.n - 1], '') ELSE form END AS form, q.i AS swallowed
+          FROM nxt n JOIN lists l USING (doc_id) LEFT JOIN picked p ON n.doc_id = p.doc_id AND n.i = p.i
+          LEFT JOIN inner_ q ON n.doc_id = q.doc_id AND n.i = q.i""",
         agg="""SELECT doc_id, count(*) AS n_before, count(*) FILTER (swallowed IS NULL) AS n_after,
           string_agg(form, ' ' ORDER BY i) FILTER (swallowed IS NULL) AS forms FROM outp GROUP BY doc_id""",
     )

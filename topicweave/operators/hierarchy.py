@@ -112,7 +112,11 @@ def gather_cores(
         told = open_.join(fate, ["run", "part"]).withColumn(
             "a", F.greatest("a", F.when(F.col("full"), F.col("full_at")).otherwise(F.col("out")))
         )
-        told = scratch.table(told.where(~F.col("dead")).select("run", "id", "weight", "a", F.col("root").alias("part"), "root_full"), "told")
+        told = scratch.table(
+            told.where(~F.col("dead")).select("run", "id", "weight", "a", F.col("root").alias("part"), "root_full"),
+            "told",
+            watch=~F.col("root_full"),
+        )
         joined.append(told.where("root_full").select("run", "id", "weight", "part", F.col("a").alias("e")))
         side = fate.select("run", "part", "root", "root_full")
         left = side.withColumnsRenamed({"part": "a", "root": "ra", "root_full": "ra_full"})
@@ -133,7 +137,7 @@ def gather_cores(
             replaces=edges,
         )
         open_ = told.where(~F.col("root_full")).select("run", "id", "weight", "a", "part")
-        if open_.isEmpty():
+        if not scratch.watched(told):
             break
     else:
         raise RuntimeError(f"parts still open after {max_rounds} rounds")

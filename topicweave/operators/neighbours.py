@@ -47,8 +47,9 @@ def collapse_copies(vectors: DataFrame, scratch: Scratch) -> tuple[DataFrame, Da
             F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies")
         ).select("id", "vec", "copies"),
         "points",
+        watch=F.col("copies") > 1,
     )
-    if points.where("copies > 1").isEmpty():
+    if not scratch.watched(points):
         return points, None
     # one row per vector on the right: AQE splits a hot key on the left
     return points, vectors.join(points.select("vec", "id"), "vec").select("doc_id", "id")

@@ -27,6 +27,9 @@ from topicweave.scratch import Scratch
 
 EDGE = ["w", "src", "dst"]
 
+# steps towards the root between two tables; the way shrinks by HOPS + 1 each time
+HOPS = 3
+
 
 def core_distance(knn: DataFrame, min_samples: int) -> DataFrame:
     """(id, core): distance to the ``min_samples``-th neighbour."""
@@ -83,15 +86,16 @@ def mutual_reachability(knn: DataFrame, core: DataFrame) -> DataFrame:
 
 def find_roots(parent: DataFrame, scratch: Scratch) -> DataFrame:
     """(run, v, p) with p the root of v; roots are their own parents."""
+    parent = scratch.table(parent, "parent")
     while True:
+        up = parent.select("run", F.col("v").alias("p"), F.col("p").alias("pp"))
         step = parent
-        for _ in range(3):
-            up = step.select("run", F.col("v").alias("p"), F.col("p").alias("pp"))
+        for _ in range(HOPS):
             step = step.select("run", "v", "p").join(up, ["run", "p"]).select(
                 "run", "v", F.col("pp").alias("p"), (F.col("pp") != F.col("p")).alias("moved")
             )
-        parent = scratch.table(step, "roots", replaces=parent)
-        if parent.where("moved").isEmpty():
+        parent = scratch.table(step, "roots", replaces=parent, watch=F.col("moved"))
+        if not scratch.watched(parent):
             return parent.drop("moved")
 
 
@@ -147,7 +151,7 @@ def minimum_spanning_forest(
             best = listed if extra is None else scratch.table(least_edges(listed.unionByName(extra)), "best")
         else:
             best = scratch.table(least_edges(seen), "best")
-        if best.isEmpty():
+        if not scratch.rows(best):
             break
         tree.append(best.select("run", *EDGE).distinct())
         roots = find_roots(_hooks(best), scratch)
@@ -165,7 +169,7 @@ def minimum_spanning_forest(
             .select("run", "a", "b", "e.*")
         )
         live = scratch.table(joined, "live", replaces=live)
-        if search is None and live.isEmpty():
+        if search is None and not scratch.rows(live):
             break
     else:
         raise RuntimeError(f"no spanning forest after {max_rounds} rounds")
@@ -217,17 +221,20 @@ class OutsideSearch:
         """(run, v, o, w, src, dst): a least unlisted edge per component, where one may be better."""
         scratch, cells = self.scratch, self.cells
         pivots, radius, size = cells.pivots, cells.radius, cells.size
+        # runs that are down to one component have nothing outside
+        parts = self.labels.groupBy("run").agg((F.min("comp") != F.max("comp")).alias("split"))
+        split = [row.run for row in parts.collect() if row.split]
+        if not split:
+            return None
         best = listed.select("run", F.col("v").alias("comp"), F.col("w").alias("bound"))
         open_points = scratch.table(
-            self.labels.join(best, ["run", "comp"], "left")
+            self.labels.where(F.col("run").isin(split))
+            .join(best, ["run", "comp"], "left")
             .withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
             .where(F.col("list_end") <= F.col("bound")),
             "open",
         )
-        # runs that are down to one component have nothing outside
-        parts = self.labels.groupBy("run").agg((F.min("comp") != F.max("comp")).alias("split"))
-        open_points = open_points.join(F.broadcast(parts.where("split")), "run", "left_semi")
-        if open_points.isEmpty():
+        if not scratch.rows(open_points):
             return None
         vectors = cells.points.select("id", "vec")
 

@@ -11,7 +11,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _FALLBACK: dict[str, str] = {}
 
@@ -39,17 +40,41 @@ class Scratch:
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
 
-    def table(self, df: DataFrame, name: str = "t", replaces: DataFrame | None = None) -> DataFrame:
-        """Write ``df`` and read it back; drop the table it ``replaces``."""
+    def table(
+        self,
+        df: DataFrame,
+        name: str = "t",
+        replaces: DataFrame | None = None,
+        watch: Column | None = None,
+    ) -> DataFrame:
+        """Write ``df`` and read it back; drop the table it ``replaces``.
+
+        The rows, and those where ``watch`` holds, are counted by the write.
+        """
         self._n += 1
         path = f"{self.root}/{self._n:04d}-{name}"
-        df.write.parquet(path)
+        seen = Observation()
+        counts = [F.count(F.lit(1)).alias("rows")]
+        if watch is not None:
+            counts.append(F.count_if(watch).alias("watched"))
+        df.observe(seen, *counts).write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
+        out._counts = seen.get
         if replaces is not None:
             self.drop(replaces)
         return out
 
+    @staticmethod
+    def rows(table: DataFrame) -> int:
+        """Rows of a written table."""
+        return table._counts["rows"]
+
+    @staticmethod
+    def watched(table: DataFrame) -> int:
+        """Rows of a written table where the watched condition held."""
+        return table._counts["watched"]
+
     def drop(self, df: DataFrame) -> None:
         """Delete a table this job wrote and no longer reads."""
         path = getattr(df, "_scratch_path", None)
