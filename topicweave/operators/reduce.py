@@ -159,14 +159,14 @@ def _layout_kernel(a, b, seed, round_no, epochs, first_epoch, n_epochs):
                 far = d2 > 0
                 pull[far] = -2.0 * a * b * d2[far] ** (b - 1.0) / (1.0 + a * d2[far] ** b)
                 move = np.clip(pull[:, None] * diff, -CLIP, CLIP)
-                for _ in range(NEGATIVE_SAMPLES):
-                    other = rng.integers(0, len(y), size=len(i))
-                    diff = y[i] - y[other]
-                    d2 = (diff * diff).sum(axis=1)
-                    push = 2.0 * b / ((0.001 + d2) * (1.0 + a * d2**b))
-                    push[other == i] = 0.0
-                    # only heads move, so half a push keeps the balance of pull and push
-                    move += 0.5 * np.clip(push[:, None] * diff, -CLIP, CLIP)
+                other = rng.integers(0, len(y), size=(len(i), NEGATIVE_SAMPLES))
+                diff = y[i][:, None, :] - y[other]
+                d2 = np.einsum("ijk,ijk->ij", diff, diff)
+                push = 2.0 * b / ((0.001 + d2) * (1.0 + a * d2**b))
+                push[other == i[:, None]] = 0.0
+                # only heads move, so half a push keeps the balance of pull and push
+                diff *= push[:, :, None]
+                move += 0.5 * np.clip(diff, -CLIP, CLIP, out=diff).sum(axis=1)
                 np.add.at(y, i, rate * move)
         return pa.table({
             "id": pa.array(ids[:n_own], pa.int64()),

@@ -136,7 +136,8 @@ def combine_nominals(df: DataFrame, pairs_col: str = "pairs") -> DataFrame:
     )
     noun = f"{START}[^{TAG_MARK}]*{TAG_MARK}NN[GP](?={START}|$)"
     other = f"{START}[^{TAG_MARK}]*{TAG_MARK}[^{START}]*"
-    runs = F.regexp_extract_all(encoded, F.lit(f"((?:{noun})+|{other})"), F.lit(1))
+    # possessive: matched in a loop, so a run may be of any length
+    runs = F.regexp_extract_all(encoded, F.lit(f"((?:{noun})++|{other})"), F.lit(1))
 
     def merged(run: Column) -> Column:
         proper = F.contains(run, F.lit(f"{TAG_MARK}{PROPER_NOUN}"))
