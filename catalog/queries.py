@@ -380,7 +380,8 @@ def mutual_reachability(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def minimum_spanning_forest(spark: SparkSession, sf: str) -> DataFrame:
-    return spanning.minimum_spanning_forest(spanning.mutual_reachability(*_reach(spark, sf)))
+    forest = spanning.minimum_spanning_forest(spanning.mutual_reachability(*_reach(spark, sf)))
+    return forest.select("src", "dst", *six("w"))
 
 
 @query

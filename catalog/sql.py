@@ -170,6 +170,43 @@ WORD_VECTORS = {
         FROM candidates c JOIN wv USING (word) JOIN tv USING (topic))) WHERE rank <= 10""",
 }
 
+def mmr(first: str, n: int) -> dict[str, str]:
+    """Greedy choice of ten words from the first ``n`` of a ranking, 0.3 diversity."""
+    return {
+        "cand": f"SELECT topic, rank, word, wv.vec FROM ({first}) JOIN wv USING (word) WHERE rank <= {n}",
+        "rel": "SELECT c.topic, c.rank, c.word, round(list_cosine_similarity(c.vec, tv.vec), 9) AS rel FROM cand c JOIN tv USING (topic)",
+        "likeness": """SELECT a.topic, a.word AS w1, b.word AS w2, round(list_cosine_similarity(a.vec, b.vec), 9) AS sim
+          FROM cand a JOIN cand b ON a.topic = b.topic AND a.word <> b.word""",
+        "chosen": """SELECT topic, [arg_min(word, struct_pack(a := -rel, b := rank))] AS picked FROM rel GROUP BY topic
+          UNION ALL
+          SELECT topic, list_append(any_value(picked), arg_min(word, struct_pack(a := -gain, b := rank))) FROM (
+            SELECT p.topic, r.word, any_value(p.picked) AS picked, any_value(r.rank) AS rank,
+              0.7 * any_value(r.rel) - 0.3 * max(s.sim) AS gain
+            FROM chosen p JOIN rel r ON r.topic = p.topic AND NOT list_contains(p.picked, r.word)
+            JOIN likeness s ON s.topic = p.topic AND s.w1 = r.word AND list_contains(p.picked, s.w2)
+            WHERE len(p.picked) < 10 GROUP BY p.topic, r.word) GROUP BY topic""",
+        "longest": "SELECT topic, arg_max(picked, len(picked)) AS picked FROM chosen GROUP BY topic",
+        "listed": "SELECT topic, unnest(picked) AS word, generate_subscripts(picked, 1) AS rank FROM longest",
+    }
+
+
+MMR_RESULT = "SELECT l.topic, l.rank, l.word, round(r.rel, 6) AS score FROM listed l JOIN rel r ON r.topic = l.topic AND r.word = l.word"
+
+# Kruskal: edges in order, one label per vector
+KRUSKAL = {
+    **knn(15, "list_distance"),
+    "core": "SELECT src AS id, dist AS core FROM near WHERE rank = 5",
+    "edges": """SELECT DISTINCT least(src, dst) AS src, greatest(src, dst) AS dst, greatest(a.core, b.core, dist) AS w
+      FROM near JOIN core a ON a.id = src JOIN core b ON b.id = dst""",
+    "ordered": "SELECT list(struct_pack(src := src, dst := dst, w := w) ORDER BY w, src, dst) AS es FROM edges",
+    "start": """SELECT es, struct_pack(lab := (SELECT list(doc_id ORDER BY doc_id) FROM v), picked := list_filter(es, lambda e: false)) AS s
+      FROM ordered""",
+    "done": """SELECT list_reduce(es, lambda a, e: CASE WHEN a.lab[e.src + 1] = a.lab[e.dst + 1] THEN a ELSE struct_pack(
+        lab := list_transform(a.lab, lambda l: CASE WHEN l = a.lab[e.dst + 1] THEN a.lab[e.src + 1] ELSE l END),
+        picked := list_append(a.picked, e)) END, s) AS r FROM start""",
+    "tree": "SELECT unnest(r.picked) AS e FROM done",
+}
+
 REPS = {
     "dw": "SELECT doc_id, topic, lower(unnest(tokens)) AS word FROM tok JOIN topics USING (doc_id)",
     "dwc": "SELECT doc_id, topic, word, count(*) AS k FROM dw GROUP BY ALL",
@@ -292,6 +329,17 @@ SQL: dict[str, str] = {
     "mutual_reachability": cte(**knn(15, "list_distance"), core="SELECT src AS id, dist AS core FROM near WHERE rank = 5")
     + """SELECT DISTINCT least(src, dst) AS src, greatest(src, dst) AS dst, round(greatest(a.core, b.core, dist), 6) AS w
       FROM near JOIN core a ON a.id = src JOIN core b ON b.id = dst""",
+    "minimum_spanning_forest": cte(**KRUSKAL) + "SELECT e.src AS src, e.dst AS dst, round(e.w, 6) AS w FROM tree",
+    "reduce_topics": cte(
+        lab=LABELS,
+        v=VECTORS,
+        rows="SELECT topic, vec FROM lab JOIN v USING (doc_id) WHERE topic <> -1",
+        c=CENTER.format(key="topic", rows="rows"),
+        nearest="SELECT a.topic AS keep, b.topic AS gone FROM c a JOIN c b ON a.topic < b.topic ORDER BY round(list_cosine_distance(a.vec, b.vec), 12), 1, 2 LIMIT 1",
+        merged="SELECT doc_id, CASE WHEN topic = (SELECT gone FROM nearest) THEN (SELECT keep FROM nearest) ELSE topic END AS topic FROM lab",
+        s="SELECT topic, row_number() OVER (ORDER BY count(*) DESC, min(doc_id)) - 1 AS new FROM merged WHERE topic <> -1 GROUP BY topic",
+    )
+    + "SELECT m.doc_id, CAST(coalesce(s.new, -1) AS INTEGER) AS topic FROM merged m LEFT JOIN s USING (topic)",
     "assign_topics": cte(t=TOPICS, s="SELECT topic, row_number() OVER (ORDER BY count(*) DESC, min(doc_id)) - 1 AS new FROM t WHERE topic <> -1 GROUP BY topic")
     + "SELECT t.doc_id, CAST(coalesce(s.new, -1) AS INTEGER) AS topic FROM t LEFT JOIN s USING (topic)",
     "cluster_counts": cte(lab=LABELS, named=LABELINGS)
@@ -319,6 +367,13 @@ SQL: dict[str, str] = {
       UNION ALL SELECT topic, 'KeyBERT', rank, word, round(score, 6) FROM keybert
       UNION ALL SELECT * FROM (SELECT topic, 'Longest', row_number() OVER (PARTITION BY topic ORDER BY len(word) DESC, word) AS rank,
         word, CAST(len(word) AS DOUBLE) FROM candidates) WHERE rank <= 5""",
+    "mmr_words": cte_recursive(**WORD_VECTORS, **mmr("SELECT * FROM candidates", 30)) + MMR_RESULT,
+    "represent_chained": cte_recursive(
+        **WORD_VECTORS,
+        twenty=WORD_VECTORS["keybert"].replace("rank <= 10", "rank <= 20"),
+        **mmr("SELECT * FROM twenty", 30),
+    )
+    + MMR_RESULT,
     "label_prompts": cte(**TOPPED, **REPS)
     + """SELECT k.topic, coalesce(d.docs, '') || 'Words: ' || k.words AS prompt FROM
       (SELECT topic, string_agg(word, ', ' ORDER BY rank) AS words FROM topped WHERE topic <> -1 GROUP BY topic) k LEFT JOIN
