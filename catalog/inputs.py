@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicweave.operators import represent, tokens as tok
-from topicweave.sources.readers import read_vectors
+from topicweave.sources.readers import read_vectors, spread
 
 # a short stopword list in the languages of the test documents
 STOPWORDS = ["the", "and", "of", "to", "in", "that", "for", "with", "der", "die", "und", "les", "des"]
@@ -17,7 +17,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents")
+    return spread(table(spark, sf, "documents"), "doc_id")
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:

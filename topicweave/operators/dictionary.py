@@ -59,41 +59,41 @@ def apply_dictionary(
         F.replace("term", F.lit("^"), F.lit("")).alias("term"), F.split("term", r"\^").alias("parts")
     )
     carets = carets.groupBy("term").agg(F.min("parts").alias("parts"))
-    # forms have at least one character, so a longer span cannot match
-    longest = whole.agg(F.coalesce(F.max(F.char_length("term")), F.lit(1))).first()[0]
-
     pairs = F.col(pairs_col)
     forms = F.transform(pairs, lambda p: p["form"])
-    tokens = df.select("doc_id", forms.alias("forms"))
-    starts = F.when(F.size("forms") > 1, F.sequence(F.lit(1), F.size("forms") - 1))
-    # a term is met through its beginning, so that only possible spans are spelt out
-    ahead = tokens.select("doc_id", "forms", F.explode(starts).alias("at")).select(
-        "doc_id", "at", F.slice("forms", F.col("at"), max(longest, 2)).alias("ahead")
-    ).withColumn("begin", F.concat(F.get("ahead", F.lit(0)), F.get("ahead", F.lit(1))))
+    # a term is met through its beginning, the joined form of two neighbours
+    starts = F.when(F.size(pairs) > 1, F.sequence(F.lit(0), F.size(pairs) - 2))
+    begins = F.transform(starts, lambda i: F.concat(F.get(pairs, i)["form"], F.get(pairs, i + 1)["form"]))
+    met = df.select("doc_id", F.posexplode(begins).alias("pos", "begin"))
     beginnings = whole.select(
-        "term", F.explode(F.transform(F.sequence(F.lit(1), F.char_length("term")), lambda n: F.substring("term", F.lit(1), n))).alias("begin")
-    )
-    fits = F.filter(
-        F.sequence(F.lit(2), F.size("ahead")),
-        lambda n: F.array_join(F.slice("ahead", F.lit(1), n), "") == F.col("term"),
-    )
-    joined = (
-        ahead.join(beginnings, "begin")
-        .select("doc_id", "at", "term", F.explode(fits).alias("n"))
-        .select("doc_id", "at", "n", F.array(F.struct(F.col("term").alias("form"), F.lit(PROPER_NOUN).alias("tag"))).alias("put"))
+        "term",
+        F.explode(F.transform(F.sequence(F.lit(1), F.char_length("term")), lambda n: F.substring("term", F.lit(1), n))).alias("begin"),
     )
     parts = F.transform("parts", lambda p: F.struct(p.alias("form"), F.lit(COMMON_NOUN).alias("tag")))
-    split = (
-        tokens.select("doc_id", F.posexplode("forms").alias("pos", "term"))
-        .join(carets, "term")
-        .select("doc_id", (F.col("pos") + 1).alias("at"), F.lit(1).alias("n"), parts.alias("put"))
-    )
-    matches = (
-        joined.unionByName(split)
+    whole_put = F.array(F.struct(F.col("term").alias("form"), F.lit(PROPER_NOUN).alias("tag")))
+    candidates = (
+        met.join(beginnings, "begin")
+        .select("doc_id", "pos", "term", whole_put.alias("put"), F.lit(2).alias("least"))
+        .unionByName(
+            df.select("doc_id", F.posexplode(forms).alias("pos", "term"))
+            .join(carets, "term")
+            .select("doc_id", "pos", "term", parts.alias("put"), F.lit(1).alias("least"))
+        )
         .groupBy("doc_id")
-        .agg(F.sort_array(F.collect_list(F.struct("at", (-F.col("n")).alias("neg_n"), "put"))).alias("_matches"))
+        .agg(F.collect_list(F.struct((F.col("pos") + 1).alias("at"), "term", "put", "least")).alias("_met"))
     )
 
+    def spans(m: Column) -> Column:
+        # a form has at least one character, so a term ends within its length
+        most = F.when(m["least"] == 1, 1).otherwise(
+            F.least(F.char_length(m["term"]), F.size(pairs) - m["at"] + 1)
+        )
+        joined = lambda n: F.array_join(F.slice("_forms", m["at"], n), "")
+        fitting = F.filter(F.sequence(m["least"], most), lambda n: joined(n) == m["term"])
+        return F.transform(
+            fitting, lambda n: F.struct(m["at"].alias("at"), (-n).alias("neg_n"), m["put"].alias("put"))
+        )
+
     def take(state: Column, m: Column) -> Column:
         end = m["at"] - m["neg_n"]
         gap = F.slice(pairs, state["next"], m["at"] - state["next"])
@@ -104,7 +104,8 @@ def apply_dictionary(
 
     begin = F.struct(F.lit(1).alias("next"), F.array().cast(PAIRS).alias("out"))
     finish = lambda s: F.concat(s["out"], F.slice(pairs, s["next"], F.size(pairs)))
-    applied = F.aggregate("_matches", begin, take, finish)
-    return df.join(matches, "doc_id", "left").withColumn(
-        out, F.coalesce(applied, pairs.cast(PAIRS))
-    ).drop("_matches")
+    matched = df.join(candidates, "doc_id", "left").withColumn("_forms", forms)
+    matched = matched.withColumn("_spans", F.array_sort(F.flatten(F.transform("_met", spans))))
+    return matched.withColumn(
+        out, F.coalesce(F.aggregate("_spans", begin, take, finish), pairs.cast(PAIRS))
+    ).drop("_met", "_forms", "_spans")

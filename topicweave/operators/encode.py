@@ -89,7 +89,8 @@ def hash_documents(
             slot = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             at = row * dim + slot % dim
             sign = 1.0 - 2.0 * (slot >= dim)
-            rows = np.bincount(at, weights=sign, minlength=batch.num_rows * dim).reshape(-1, dim)
+            rows = np.bincount(at, weights=sign, minlength=batch.num_rows * dim)
+            rows = rows.astype(float).reshape(-1, dim)  # integers if there is no word at all
             if normalize:
                 rows /= np.maximum(np.sqrt((rows * rows).sum(axis=1, keepdims=True)), 1e-12)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), list_column(rows)], ["doc_id", "vec"])

@@ -49,6 +49,15 @@ def read_corpus_csv(
     return df.select([F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in fields])
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` over all cores, by ``key``, if its files give fewer tasks than that.
+
+    A large table has more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_vectors(
     spark: SparkSession, path: str, id_col: str = "doc_id", vec_col: str = "vec"
 ) -> DataFrame:
