@@ -62,9 +62,9 @@ def apply_dictionary(
     pairs = F.col(pairs_col)
     forms = F.transform(pairs, lambda p: p["form"])
     # a term is met through its beginning, the joined form of two neighbours
-    starts = F.when(F.size(pairs) > 1, F.sequence(F.lit(0), F.size(pairs) - 2))
-    begins = F.transform(starts, lambda i: F.concat(F.get(pairs, i)["form"], F.get(pairs, i + 1)["form"]))
-    met = df.select("doc_id", F.posexplode(begins).alias("pos", "begin"))
+    # (zip_with, not positions: a lambda that looks into the array would rebuild it per token)
+    begins = F.zip_with(forms, F.slice(forms, 2, F.greatest(F.size(pairs), F.lit(1))), lambda a, b: F.concat(a, b))
+    met = df.select("doc_id", F.posexplode(begins).alias("pos", "begin")).where("begin is not null")
     beginnings = whole.select(
         "term",
         F.explode(F.transform(F.sequence(F.lit(1), F.char_length("term")), lambda n: F.substring("term", F.lit(1), n))).alias("begin"),
@@ -88,7 +88,7 @@ def apply_dictionary(
         most = F.when(m["least"] == 1, 1).otherwise(
             F.least(F.char_length(m["term"]), F.size(pairs) - m["at"] + 1)
         )
-        joined = lambda n: F.array_join(F.slice("_forms", m["at"], n), "")
+        joined = lambda n: F.array_join(F.transform(F.slice(pairs, m["at"], n), lambda p: p["form"]), "")
         fitting = F.filter(F.sequence(m["least"], most), lambda n: joined(n) == m["term"])
         return F.transform(
             fitting, lambda n: F.struct(m["at"].alias("at"), (-n).alias("neg_n"), m["put"].alias("put"))
@@ -104,8 +104,7 @@ def apply_dictionary(
 
     begin = F.struct(F.lit(1).alias("next"), F.array().cast(PAIRS).alias("out"))
     finish = lambda s: F.concat(s["out"], F.slice(pairs, s["next"], F.size(pairs)))
-    matched = df.join(candidates, "doc_id", "left").withColumn("_forms", forms)
-    matched = matched.withColumn("_spans", F.array_sort(F.flatten(F.transform("_met", spans))))
+    matched = df.join(candidates, "doc_id", "left").withColumn("_spans", F.array_sort(F.flatten(F.transform("_met", spans))))
     return matched.withColumn(
         out, F.coalesce(F.aggregate("_spans", begin, take, finish), pairs.cast(PAIRS))
-    ).drop("_met", "_forms", "_spans")
+    ).drop("_met", "_spans")
