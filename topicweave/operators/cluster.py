@@ -6,14 +6,16 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicweave.operators.blocks import (
-    BLOCK_ROWS, STRIPE_ROWS, block_join, matrix, values,
+    BLOCK_ROWS, STRIPE_ROWS, block_join, matrix, slack, squared_distances, values,
 )
 from topicweave.operators.hierarchy import (
-    NOISE, cluster_members, condensed_hierarchy, gather_cores,
+    MAX_CORES, NOISE, cluster_members, condensed_hierarchy, gather_cores,
 )
 from topicweave.operators.neighbours import (
     CELL_ROWS, as_distance, assign_cells, collapse_copies, comparable, nearest_points,
@@ -161,19 +163,20 @@ def silhouette(
     runs = keyed.groupBy("run", *by).agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("topic").alias("n_topics")
     )
-    moments = rows.mapInArrow(_partial_moments, "run long, topic int, n long, sum array<double>, square double")
-    sums, counts, squares = {}, {}, {}
-    # one row per topic and task: summed here, a topic's vectors never leave their task
-    for part in moments.toLocalIterator():
-        key = (part.run, part.topic)
-        counts[key] = counts.get(key, 0) + part.n
-        sums[key] = sums.get(key, 0.0) + np.array(part.sum)
-        squares[key] = squares.get(key, 0.0) + part.square
-    topics = {}
-    for key in sorted(sums):
-        center = sums[key] / counts[key]
-        spread = max(squares[key] / counts[key] - float(center @ center), 0.0)
-        topics.setdefault(key[0], []).append((key[1], counts[key], center, spread))
+    square = F.aggregate("vec", F.lit(0.0), lambda t, x: t + x * x)
+    moments = rows.groupBy("run", "topic").agg(
+        F.count(F.lit(1)).alias("n"),
+        vector_to_array(Summarizer.mean(array_to_vector("vec"))).alias("center"),
+        F.avg(square).alias("square"),
+    )
+    topics: dict[int, list] = {}
+    found = moments.limit(MAX_CORES + 1).collect()  # topics, not documents
+    if len(found) > MAX_CORES:
+        raise ValueError(f"more than {MAX_CORES} topics")
+    for row in sorted(found, key=lambda r: (r.run, r.topic)):
+        center = np.array(row.center)
+        spread = max(row.square - float(center @ center), 0.0)
+        topics.setdefault(row.run, []).append((row.topic, row.n, center, spread))
     known = {
         r: (np.array([t[0] for t in ts]), np.array([t[1] for t in ts]), np.stack([t[2] for t in ts]), np.array([t[3] for t in ts]))
         for r, ts in topics.items()
@@ -188,11 +191,12 @@ def silhouette(
             for r in np.unique(run):
                 names, _, centers, spread = known[r]
                 mine = np.nonzero(run == r)[0]
-                d2 = np.maximum(((vec[mine, None, :] - centers[None]) ** 2).sum(axis=2), 0.0) if len(names) * vec.shape[1] < 4096 else np.maximum((vec[mine] ** 2).sum(1)[:, None] + (centers**2).sum(1)[None] - 2 * vec[mine] @ centers.T, 0.0)
+                d2 = np.maximum(squared_distances(vec[mine], centers), 0.0)
                 low, high = np.sqrt(d2), np.sqrt(d2 + spread[None])
                 other = names[None, :] != own[mine, None]
                 least = np.where(other, high, np.inf).min(axis=1)
-                wanted = ~other | (low <= least[:, None] * (1 + 1e-6) + 1e-6)
+                margin = 1e-6 + np.sqrt(slack(vec[mine], centers))
+                wanted = ~other | (low <= least[:, None] * (1 + 1e-6) + margin)
                 i, t = np.nonzero(wanted)
                 out = table.select(["run", "topic", "id", "vec"]).take(pa.array(mine[i]))
                 out = out.rename_columns(["q_run", "q_topic", "q_id", "q_vec"])
@@ -232,30 +236,6 @@ def silhouette(
     return result if not keyed.isEmpty() else spark.createDataFrame([(0.0,)], "silhouette double")
 
 
-def _partial_moments(batches):
-    """Count, vector sum and sum of squared lengths per topic of one task."""
-    state: dict = {}
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        vec, run, topic = matrix(table, "vec"), values(table, "run"), values(table, "topic")
-        pairs, which = np.unique(np.stack([run, topic], axis=1), axis=0, return_inverse=True)
-        for p, (r, t) in enumerate(pairs):
-            mine = vec[which.ravel() == p]
-            n, total, square = state.get((r, t), (0, 0.0, 0.0))
-            state[r, t] = (n + len(mine), total + mine.sum(axis=0), square + float((mine * mine).sum()))
-    if state:
-        keys = list(state)
-        yield pa.RecordBatch.from_pydict({
-            "run": pa.array([int(k[0]) for k in keys], pa.int64()),
-            "topic": pa.array([int(k[1]) for k in keys], pa.int32()),
-            "n": pa.array([state[k][0] for k in keys], pa.int64()),
-            "sum": pa.array([state[k][1].tolist() for k in keys], pa.list_(pa.float64())),
-            "square": pa.array([state[k][2] for k in keys], pa.float64()),
-        })
-
-
 def _distance_sums(chunk: pa.Table, block: pa.Table) -> pa.Table:
     """Per query: the sum of its distances to the block's points of one topic."""
     n = chunk.num_rows if block.num_rows else 0
