@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topicweave.llm import exact, sharding
+from topicweave.llm import bpe, exact, packing, sharding
 from topicweave.llm.shared import documents
 
 
@@ -16,4 +16,12 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicate(documents(spark, sf_dir)).drop("_locator")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op7_exact_dedup)}
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(documents(spark, sf_dir))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op4_bpe, op7_exact_dedup, op10_packing)}
