@@ -19,7 +19,13 @@ from pyspark.sql import functions as F
 from topicweave.scratch import Scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State in RocksDB; a batch adds its changes only, and no file takes room it does not use.
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.minBatchesToRetain": "2",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -46,8 +52,9 @@ def run_stream(scratch: Scratch, records: DataFrame, batches: int) -> DataFrame:
         .parquet(records._scratch_path)
     )
     checkpoint = f"{scratch.root}/state"
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    before = {name: spark.conf.get(name, None) for name in STORE}
+    for name, value in STORE.items():
+        spark.conf.set(name, value)
     try:
         query = (
             fold_stream(source).writeStream.format("noop").outputMode("update")
@@ -61,7 +68,11 @@ def run_stream(scratch: Scratch, records: DataFrame, batches: int) -> DataFrame:
             "held",
         )
     finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def deduplicate(
@@ -89,10 +100,11 @@ def deduplicate(
         )
     held = run_stream(scratch, records, batches)
     hits = held.where("rows > 1")
-    # the bytes at the content locators of the state, then those of every row that hit
-    texts = rows.select("_locator", digest(text).alias("digest"), text.alias("bytes"))
-    content = texts.join(hits.select("digest", F.col("stays._locator").alias("_locator")), ["digest", "_locator"])
-    content = scratch.table(content.select("digest", F.col("_locator").alias("_held"), F.col("bytes").alias("held_bytes")), "content")
+    # the bytes of every row that hit, among them those at the content locators of the state
+    hit = records.join(hits, "digest").select(F.col("row._locator").alias("_locator"), "digest", F.col("stays._locator").alias("_held"))
+    texts = rows.select("_locator", text.alias("bytes")).join(hit, "_locator")
+    texts = scratch.table(texts, "hits")
+    content = texts.where(F.col("_locator") == F.col("_held")).select("digest", F.col("bytes").alias("held_bytes"))
     met = texts.join(content, "digest").where(F.col("bytes") != F.col("held_bytes"))
     differs = scratch.table(met.select("_locator", "digest", "bytes"), "differs")
     apart = records.join(differs, F.col("row._locator") == differs._locator, "left_semi").withColumn("_locator", F.col("row._locator"))
