@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topicweave.llm import bpe, exact, packing, sharding
+from topicweave.llm import bpe, exact, langid, packing, quality, sharding, toxicity
 from topicweave.llm.shared import documents
 
 
@@ -12,16 +12,31 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir), shards=24)
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicate(documents(spark, sf_dir)).drop("_locator")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(documents(spark, sf_dir))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op4_bpe, op7_exact_dedup, op10_packing)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_sharding, op2_quality, op4_bpe, op5_language, op7_exact_dedup, op8_toxicity, op10_packing)
+}

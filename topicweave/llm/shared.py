@@ -137,3 +137,26 @@ def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def labelled_texts(
+    docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int, learn: Column
+) -> tuple[list[tuple[str, int]], dict[int, int]]:
+    """A bounded sample of labelled texts for fitting, and the labelled rows of each class.
+
+    At most ``per_class`` labels of each value, from rows where ``learn`` holds,
+    with texts of at most ``max_chars`` characters.  An id that repeats among the
+    documents gives its largest text once.
+    """
+    usable = labels.where(learn & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("label"))
+    usable = usable.where(F.col("label").isin(0, 1))
+    counts = {int(k): n for k, n in usable.groupBy("label").count().collect()}
+    chosen = sample_rows(usable, "label", per_class, ["doc_id", "label"])
+    if not chosen:
+        return [], counts
+    spark = docs.sparkSession
+    wanted = F.broadcast(spark.createDataFrame(chosen, "doc_id long, label int"))  # per_class rows a class
+    texts = docs.select("doc_id", whole().alias("text")).where(F.length("text") <= max_chars)
+    one = texts.join(F.broadcast(wanted.select("doc_id").distinct()), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"))
+    rows = one.join(wanted, "doc_id").orderBy("doc_id", "label").select("text", "label").collect()
+    return [(r[0], r[1]) for r in rows], counts
