@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topicweave.llm import bpe, exact, langid, packing, quality, sharding, toxicity
+from topicweave.llm import bpe, exact, langid, packing, quality, sharding, toxicity, vectors
 from topicweave.llm.shared import documents
 
 
@@ -32,11 +32,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_sharding, op2_quality, op4_bpe, op5_language, op7_exact_dedup, op8_toxicity, op10_packing)
+    for f in (op1_sharding, op2_quality, op4_bpe, op5_language, op7_exact_dedup, op8_toxicity, op9_embeddings, op10_packing)
 }
