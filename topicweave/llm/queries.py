@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topicweave.llm import bpe, exact, langid, packing, quality, sharding, toxicity, vectors
+from topicweave.llm import bpe, exact, langid, neardup, packing, quality, sharding, toxicity, vectors
 from topicweave.llm.shared import documents
 
 
@@ -16,6 +16,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(documents(spark, sf_dir))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir)).drop("_locator")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicate(documents(spark, sf_dir)).drop("_locator")
 
@@ -42,5 +46,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_sharding, op2_quality, op4_bpe, op5_language, op7_exact_dedup, op8_toxicity, op9_embeddings, op10_packing)
+    for f in (op1_sharding, op2_quality, op4_bpe, op5_language, op6_near_dedup, op7_exact_dedup, op8_toxicity, op9_embeddings, op10_packing)
 }
