@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topicweave.llm import bpe, exact, langid, neardup, packing, quality, sharding, toxicity, vectors
+from topicweave.llm import bpe, exact, langid, neardup, packing, pii, quality, sharding, toxicity, vectors
 from topicweave.llm.shared import documents
 
 
@@ -28,6 +28,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summary(documents(spark, sf_dir))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(documents(spark, sf_dir))
 
@@ -46,5 +50,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_sharding, op2_quality, op4_bpe, op5_language, op6_near_dedup, op7_exact_dedup, op8_toxicity, op9_embeddings, op10_packing)
+    for f in (op1_sharding, op2_quality, op3_pii, op4_bpe, op5_language, op6_near_dedup, op7_exact_dedup, op8_toxicity, op9_embeddings, op10_packing)
 }
