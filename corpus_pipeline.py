@@ -1,22 +1,69 @@
-"""The corpus pipeline: stages over the documents table."""
+"""The corpus pipeline: from raw documents to packed token sequences.
+
+Each stage takes all rows that the one before it kept.  All but the last return
+the columns of the documents.  Nulls, repeated rows and empty tables are handled
+as the operators' docstrings say.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from topicweave.llm import exact, neardup, packing, pii, quality
+from topicweave.llm.exact import located, without
+from topicweave.scratch import Scratch
+
 
-from topicweave.llm import exact
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the quality classifier rejects."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs
+    """One row of each group of equal texts: the largest id."""
+    rows = located(Scratch(spark, "stage"), docs)
+    return without(rows, exact.deduplicate(rows).where("not kept"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each class of near-duplicates: the smallest id."""
+    rows = located(Scratch(spark, "stage"), docs)
+    return without(rows, neardup.near_duplicates(rows).where("not kept"))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row, with the personal data in its text replaced by its kind."""
+    rows = located(Scratch(spark, "stage"), docs)
+    spans = pii.find(rows).where(F.size("spans") > 0).select("_locator", F.col("spans").alias("_spans"))
+    text = pii.masked(F.col("text"), F.coalesce("_spans", F.array().cast(f"array<{pii.SPAN}>")))
+    out = rows.join(spans, "_locator", "left").withColumn("text", text)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 2048 tokens."""
+    return packing.pack(docs)
+
 
+STAGES = [
+    ("quality", quality_filter),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("pii", mask_personal_data),
+    ("packing", pack_sequences),
+]
 
-STAGES = [("exact_dedup", exact_dedup)]
+#: Learning, sketches and token ids are beyond SQL; tests compare each stage with a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces; every stage but the last is written to the scratch folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    scratch = Scratch(spark, "pipeline")
+    for name, stage in STAGES[:-1]:
+        docs = scratch.table(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -126,13 +127,19 @@ def deduplicate(
 
 
 def located(scratch: Scratch, docs: DataFrame) -> DataFrame:
-    """The rows with the file and row number they lie at as ``_locator``."""
+    """The rows with the file and row number they lie at as ``_locator``; unchanged if they have one.
+
+    Only rows read from files, and selected or filtered, have a place; any other frame is written first.
+    """
+    if "_locator" in docs.columns:
+        return docs
     place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
     try:
-        rows = docs.withColumn("_locator", place)
-        rows.schema  # analysis fails where the frame is not a read of files
-        return rows
-    except Exception as error:
-        if "UNRESOLVED_COLUMN" not in str(error) and "CANNOT_RESOLVE" not in str(error):
-            raise
-    return scratch.table(docs, "docs").withColumn("_locator", place)
+        return docs.withColumn("_locator", place)
+    except AnalysisException:
+        return scratch.table(docs, "docs").withColumn("_locator", place)
+
+
+def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The located ``rows`` but for those whose ``_locator`` is among the ``dropped``."""
+    return rows.join(dropped.select("_locator"), "_locator", "left_anti").drop("_locator")

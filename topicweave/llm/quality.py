@@ -166,25 +166,48 @@ def score_documents(
     that repeat an id are scored one by one.  An empty table gives no rows.
     """
     out = remainder("doc_id", divisor) == held_out
-    return score_with(docs, *labelled_texts(docs, labels, "quality", per_class, max_chars, ~out), out, threshold)
-
-
-def score_with(docs: DataFrame, texts: list[tuple[str, int]], counts: dict[int, int], held_out, threshold: float) -> DataFrame:
-    space = fit(texts, counts)
-    chosen = np.flatnonzero(space.place >= 0)
-    model = docs.sparkSession.sparkContext.broadcast((chosen, space.rarity.astype(np.float32), space.basis, space.vectors, space.votes))
+    texts, counts = labelled_texts(docs, labels, "quality", per_class, max_chars, ~out)
+    scores_of = _scorer(docs, fit(texts, counts))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not hasattr(model, "_space"):
-            model._space = Space(*model.value)
-        scores = np.concatenate([
-            model._space.score([t.as_py() for t in batch["text"].slice(i, BLOCK)]) for i in range(0, batch.num_rows, BLOCK)
-        ])
+        scores = scores_of(batch)
         return pa.RecordBatch.from_arrays(
             [batch["doc_id"], batch["held_out"], pa.array(scores), pa.array((scores >= threshold).astype(np.int32))],
             names=["doc_id", "held_out", "score", "predicted"],
         )
 
-    read = docs.select("doc_id", held_out.alias("held_out"), whole().alias("text"))
+    read = docs.select("doc_id", out.alias("held_out"), whole().alias("text"))
     kind = read.schema["doc_id"].dataType.simpleString()
     return apply_batches(read, step, f"doc_id {kind}, held_out boolean, score double, predicted int")
+
+
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    divisor: int = 4,
+    held_out: int = 2,
+    per_class: int = 1500,
+    max_chars: int = 50_000,
+    threshold: float = 0.7,
+) -> DataFrame:
+    """The rows, unchanged, whose score as in :func:`score_documents` reaches the threshold."""
+    learn = remainder("doc_id", divisor) != held_out
+    texts, counts = labelled_texts(docs, labels, "quality", per_class, max_chars, learn)
+    scores_of = _scorer(docs, fit(texts, counts))
+    return apply_batches(docs, lambda batch: batch.filter(pa.array(scores_of(batch) >= threshold)), docs.schema)
+
+
+def _scorer(docs: DataFrame, space: Space):
+    """A function from a batch with a ``text`` column to its scores; the space is broadcast."""
+    chosen = np.flatnonzero(space.place >= 0)
+    rarity = space.rarity.astype(np.float32)
+    model = docs.sparkSession.sparkContext.broadcast((chosen, rarity, space.basis, space.vectors, space.votes))
+
+    def scores_of(batch: pa.RecordBatch) -> np.ndarray:
+        if not hasattr(model, "_space"):
+            model._space = Space(*model.value)
+        texts = batch["text"]
+        blocks = range(0, batch.num_rows, BLOCK)
+        return np.concatenate([model._space.score([t.as_py() or "" for t in texts.slice(i, BLOCK)]) for i in blocks])
+
+    return scores_of
