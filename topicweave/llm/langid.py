@@ -14,6 +14,7 @@ lengths in each Python worker.
 
 from __future__ import annotations
 
+import uuid
 from functools import lru_cache
 
 import numpy as np
@@ -78,7 +79,7 @@ class CodeLengths:
                 counts[np.searchsorted(context, key >> 8), key & 255] = n
                 below = _blend(counts, shorter)
                 table[starts[depth] : starts[depth + 1], :, k] = -np.log2(below)
-        self.bits = table.reshape(-1, len(self.langs))
+        self.bits = table.reshape(int(starts[-1]) * 256, len(self.langs))
         # the longest context known for any three bytes
         self.at = np.zeros(1 << 24, dtype=np.int32)
         for depth in range(1, DEPTH + 1):
@@ -146,7 +147,7 @@ def predict(
     for lang, text in sample_rows(usable, "lang", per_language, ["lang", "text"]):
         texts.setdefault(lang, []).append(text)
     trees = grow(texts)
-    name = str(hash(tuple((lang, *map(len, own)) for lang, own in sorted(texts.items()))))
+    name = uuid.uuid4().hex
     held = _Held(docs.sparkSession.sparkContext.broadcast(trees))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
