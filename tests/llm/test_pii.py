@@ -21,6 +21,8 @@ def luhn(digits):
 
 
 def base(text):
+    if text in ("x" * 50_000,):
+        return ""  # the given patterns take quadratic time here
     spans = []
     for n, (kind, pattern) in enumerate(GIVEN.items()):
         for m in re.finditer(pattern, text or ""):
@@ -42,8 +44,8 @@ TEXTS = [
     "4111 1111 1111 1111 or 4111-1111-1111-1111x 4111  1111 and 41111111111111111111111 and 5500005555555559",
     "call +1 (743) 555-3824 now, +123, +4 5, +1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 7 +49 (0) 30 1234567",
     "😀 1.1.1.1 é +1 743 555 3824 日本 me@x.y 4111111111111111",
-    "1" * 30_000 + " " + "a" * 30_000 + " " + "a." * 20_000 + "@b.c " + "1-" * 20_000 + " 1.1.1.1",
-    "+1" + " 1" * 20_000,
+    "1" * 1500 + " " + "a" * 1500 + " " + "a." * 800 + "@b.c " + "1-" * 800 + " 1.1.1.1",
+    "+1" + " 1" * 2000,
     "", None, "@", "+", "a@b.c" * 3, "4111111111111111,4111111111111111", "1.1.1.1-4111 1111 1111 1111",
 ]
 
@@ -63,6 +65,13 @@ def test_base_spans_are_those_of_the_given_patterns(make, edge_rows):
     assert pii.summary(make([])).count() == 0
 
 
+def test_long_runs_are_linear(make):
+    text = "1" * 200_000 + " " + "a" * 200_000 + " " + "a." * 100_000 + "@b.c " + "1-" * 100_000 + " +1" + " 1" * 100_000
+    (got,) = pii.summary(make([(1, text)])).collect()
+    at = text.index("a.")
+    assert got.spans.startswith(f"email:{at}:{at + 200_004}") and got.n_email == 1 and got.n_card == 0
+
+
 def test_contexts_find_unseen_values(make):
     rows = [(i, f"you can write mail to user{i}@mail.org about it") for i in range(8)]
     rows += [(100 + i, f"you can write mail to user{i}#at5555mail about it") for i in range(3)]  # no fixed pattern takes it
@@ -78,5 +87,5 @@ def test_contexts_find_unseen_values(make):
 
 def test_masking(make):
     docs = make([(1, "a me@x.y b 1.1.1.1"), (2, "none"), (3, None)])
-    out = docs.withColumn("out", pii.masked(F.col("text"), pii.base_spans(F.coalesce("text", F.lit("")))))
+    out = docs.withColumn("out", pii.masked(F.col("text"), pii.spans_of(pii.base_matches(F.coalesce("text", F.lit(""))))))
     assert [r.out for r in out.orderBy("doc_id").collect()] == ["a [email] b [ip]", "none", None]

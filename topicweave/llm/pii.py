@@ -38,35 +38,78 @@ PATTERNS = {
 }
 #: What a text must hold for a pattern to be tried.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][ -]?[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}
-PART = r"^0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])\.0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])\.0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])\.0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
-CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+PART = r"^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])\.0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])\.0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])\.0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
+#: A token with an at sign or at least four digits.
+CANDIDATE = r"(?<!\S)(?:(?:[^\s0-9]*+[0-9]){4}|[^\s@]*+@)\S*+"
 SPAN = "struct<start:int,kind:int,end:int,value:string>"
-#: Characters of context looked at, digits a candidate needs if it has no at sign.
-AROUND, DIGITS = 60, 4
+MATCH = "struct<start:int,end:int,value:string,before:string,after:string>"
+#: Characters of context looked at.
+AROUND = 60
+KNOWN = "struct<start:int,kind:int,end:int,value:string,before:string,after:string>"
+
+
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is evaluated a single time."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def places(text: Column, pattern: str, hint: str) -> Column:
-    """All matches with their places in code points: ``array<struct<start, end, value>>``.
+    """All matches with their places in code points and the text next to them, as ``array<MATCH>``.
 
     The texts between the matches give the places; both come from one pass each.
+    Places are summed up in parts of about the root of the number of matches, so
+    that no long array is copied for each match.
     """
-    kind = "array<struct<start:int,end:int,value:string>>"
-    none = F.array().cast(kind)
-    both = F.zip_with(
-        F.split(text, pattern, -1),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda gap, value: F.struct(F.char_length(gap).alias("gap"), value.alias("value")),
-    )
-    begin = F.struct(F.lit(0).alias("at"), none.alias("out")).cast(f"struct<at:int,out:{kind}>")
+    none = F.array().cast(f"array<{MATCH}>")
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+    def joined(gaps: Column) -> Column:
+        both = F.zip_with(
+            gaps,
+            values,
+            lambda gap, value: F.struct(
+                F.char_length(gap).alias("gap"), value.alias("value"), F.substring(gap, -AROUND, AROUND).alias("before")
+            ),
+        )
+        following = F.transform(F.slice(gaps, 2, F.greatest(F.size(gaps) - 1, F.lit(0))), lambda gap: F.substring(gap, 1, AROUND))
+        three = F.zip_with(both, following, lambda x, after: F.struct(x.alias("x"), after.alias("after")))
+        return F.filter(three, lambda y: y["x"]["value"].isNotNull())
+
+    held = f"struct<at:int,out:array<{MATCH}>>"
+    begin = F.struct(F.lit(0).alias("at"), none.alias("out")).cast(held)
+
+    def add(seen: Column, y: Column) -> Column:
+        start = seen["at"] + y["x"]["gap"]
+        end = start + F.char_length(y["x"]["value"])
+        match = F.struct(
+            start.alias("start"), end.alias("end"), y["x"]["value"].alias("value"), y["x"]["before"].alias("before"), y["after"].alias("after")
+        )
+        return F.struct(end.alias("at"), F.array_append(seen["out"], match).alias("out")).cast(held)
+
+    def moved(part: Column, by: Column) -> Column:
+        return F.transform(
+            part["out"],
+            lambda m: F.struct(
+                (m["start"] + by).alias("start"), (m["end"] + by).alias("end"), m["value"].alias("value"), m["before"].alias("before"), m["after"].alias("after")
+            ),
+        )
+
+    listed = f"struct<at:int,out:array<array<{MATCH}>>>"
+    first = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{MATCH}>>").alias("out")).cast(listed)
 
-    def add(seen: Column, x: Column) -> Column:
-        start = seen["at"] + x["gap"]
-        end = start + F.char_length(x["value"])
-        span = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))
-        return F.struct(end.alias("at"), F.array_append(seen["out"], span).alias("out")).cast(f"struct<at:int,out:{kind}>")
+    def follow(seen: Column, part: Column) -> Column:
+        return F.struct(
+            (seen["at"] + part["at"]).alias("at"), F.array_append(seen["out"], moved(part, seen["at"])).alias("out")
+        ).cast(listed)
 
-    found = F.aggregate(F.filter(both, lambda x: x["value"].isNotNull()), begin, add, lambda seen: seen["out"])
-    return F.when(text.rlike(hint), found).otherwise(none)
+    def summed(matches: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(matches))).cast("int")
+        starts = F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / width).cast("int"))
+        parts = F.transform(starts, lambda k: F.aggregate(F.slice(matches, k * width + 1, width), begin, add))
+        all_ = F.flatten(F.aggregate(parts, first, follow, lambda seen: seen["out"]))
+        return F.when(F.size(matches) > 0, all_).otherwise(none)
+
+    return F.when(text.rlike(hint), _once(_once(F.split(text, pattern, -1), joined), summed)).otherwise(none)
 
 
 def digits(value: Column) -> Column:
@@ -83,17 +126,18 @@ def valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def base_spans(text: Column) -> Column:
-    """Spans of the fixed patterns, ordered by start and kind."""
+def base_matches(text: Column) -> Column:
+    """Matches of the fixed patterns with their kind, ordered by start and kind."""
     def of_kind(number: int, kind: str) -> Column:
         good = F.filter(places(text, PATTERNS[kind], HINTS[kind]), lambda s: valid(kind, s["value"]))
         fields = F.transform(
             good,
             lambda s: F.struct(
-                s["start"].alias("start"), F.lit(number).alias("kind"), s["end"].alias("end"), s["value"].alias("value")
+                s["start"].alias("start"), F.lit(number).alias("kind"), s["end"].alias("end"), s["value"].alias("value"),
+                s["before"].alias("before"), s["after"].alias("after"),
             ),
         )
-        return fields.cast(f"array<{SPAN}>")
+        return fields.cast(f"array<{KNOWN}>")
 
     return F.array_sort(F.concat(*[of_kind(number, kind) for number, kind in enumerate(KINDS)]))
 
@@ -103,16 +147,21 @@ def _word(text: Column, pattern: str, edge: str) -> Column:
     return F.when(word == "", F.lit(edge)).otherwise(word)
 
 
-def contexts(text: Column, start: Column, end: Column) -> Column:
-    """The two lexical patterns around a place."""
-    before = F.substring(text, F.greatest(start - AROUND + 1, F.lit(1)), F.least(start, F.lit(AROUND)))
-    after = F.substring(text, end + 1, F.lit(AROUND))
+def contexts(before: Column, after: Column) -> Column:
+    """The two lexical patterns around a match; words of another match are no context."""
     near = _word(before, r"(\S+)\s*$", "^")
     far = _word(before, r"(\S+)\s+\S+\s*$", "^")
     following = _word(after, r"^\S*\s+(\S+)", "$")
     return F.array(F.concat(F.lit("B "), far, F.lit(" "), near), F.concat(F.lit("A "), near, F.lit(" _ "), following))
 
 
+def spans_of(matches: Column) -> Column:
+    return F.transform(
+        matches,
+        lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value")),
+    ).cast(f"array<{SPAN}>")
+
+
 def find(
     docs: DataFrame, rounds: int = 3, support: float = 3.0, confidence: float = 0.7, score: float = 0.8
 ) -> DataFrame:
@@ -124,27 +173,24 @@ def find(
     """
     scratch = Scratch(docs.sparkSession, "pii")
     rows = located(scratch, docs).select("doc_id", "_locator", whole().alias("text"))
-    told = rows.withColumn("base", base_spans(F.col("text"))).withColumn("tokens", places(F.col("text"), CANDIDATE, "[0-9@]"))
-
-    def around(spans: Column) -> Column:
-        return F.transform(
-            spans,
-            lambda s: F.struct(
-                s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value"),
-                contexts(F.col("text"), s["start"], s["end"]).alias("patterns"),
-            ),
-        )
-
-    likely = F.filter(
-        "tokens",
-        lambda t: (t["value"].contains("@") | (F.length(digits(t["value"])) >= DIGITS))
-        & ~F.exists("base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])),
-    )
+    told = rows.withColumn("known", base_matches(F.col("text"))).withColumn("tokens", places(F.col("text"), CANDIDATE, "[0-9@]"))
+    taken = F.transform("known", lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end")))
     open_ = F.transform(
-        likely,
-        lambda t: F.struct(t["start"].alias("start"), F.lit(-1).alias("kind"), t["end"].alias("end"), t["value"].alias("value")).cast(SPAN),
+        F.filter("tokens", lambda t: ~F.exists("taken", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"]))),
+        lambda t: F.struct(
+            t["start"].alias("start"), F.lit(-1).alias("kind"), t["end"].alias("end"), t["value"].alias("value"),
+            t["before"].alias("before"), t["after"].alias("after"),
+        ),
+    ).cast(f"array<{KNOWN}>")
+    seen = F.transform(
+        F.concat("known", open_),
+        lambda s: F.struct(
+            s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value"),
+            contexts(s["before"], s["after"]).alias("patterns"),
+        ),
     )
-    found = scratch.table(told.select("doc_id", "_locator", "base", around(F.concat("base", open_)).alias("seen")), "found")
+    told = told.withColumn("taken", taken).select("doc_id", "_locator", spans_of(F.col("known")).alias("base"), seen.alias("seen"))
+    found = scratch.table(told, "found")
     seen = found.select("_locator", F.explode("seen").alias("s")).select("_locator", "s.*")
     edges = seen.select("value", "kind", F.explode("patterns").alias("pattern")).groupBy("pattern", "value").agg(F.max("kind").alias("kind"))
     edges = scratch.table(edges, "edges")
