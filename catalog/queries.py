@@ -58,7 +58,9 @@ def latest_artifact(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def check_alignment(spark: SparkSession, sf: str) -> DataFrame:
-    return encode.check_alignment(given.vectors(spark, sf), given.documents(spark, sf))
+    vectors = given.vectors(spark, sf)
+    repeated = vectors.union(vectors.where("doc_id % 5 = 0"))  # the rows of a second, overlapping run
+    return encode.check_alignment(repeated, given.documents(spark, sf))
 
 
 @query
@@ -558,6 +560,15 @@ def topic_diversity(spark: SparkSession, sf: str) -> DataFrame:
     return quality.topic_diversity(given.topic_words(spark, sf)).select(*six("diversity"))
 
 
+@query
+def topic_diversity_aspects(spark: SparkSession, sf: str) -> DataFrame:
+    """The main words' diversity in a table that also has another model's words."""
+    words = given.topic_words(spark, sf)
+    others = words.withColumn("word", F.lit("same")).withColumn("aspect", F.lit("KeyBERT"))
+    both = words.withColumn("aspect", F.lit(represent.MAIN)).unionByName(others)
+    return quality.topic_diversity(both).select(*six("diversity"))
+
+
 @query
 def topic_coherence(spark: SparkSession, sf: str) -> DataFrame:
     sets = tok.doc_word_sets(given.tokens(spark, sf))

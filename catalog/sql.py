@@ -226,7 +226,12 @@ SQL: dict[str, str] = {
     "read_vectors": cte(v=VECTORS) + "SELECT doc_id, len(vec) AS dim, round(list_sum(vec), 6) AS total FROM v",
     "latest_artifact": cte(t=TOPICS)
     + "SELECT 'second' AS timestamp, count(*) AS n_documents, count(DISTINCT topic) FILTER (topic <> -1) AS n_topics, count(*) FILTER (topic = -1) AS n_outliers FROM t",
-    "check_alignment": "SELECT count(*) FILTER (d.doc_id IS NULL) AS vectors_only, count(*) FILTER (e.vec_id IS NULL) AS documents_only FROM embeddings e FULL OUTER JOIN documents d ON d.doc_id = e.vec_id",
+    "check_alignment": cte(
+        v="SELECT vec_id AS id, count(*) AS nv FROM (SELECT vec_id FROM embeddings UNION ALL SELECT vec_id FROM embeddings WHERE vec_id % 5 = 0) GROUP BY 1",
+        c="SELECT doc_id AS id, count(*) AS nc FROM documents GROUP BY 1",
+    )
+    + """SELECT CAST(coalesce(sum(nv) FILTER (nc IS NULL), 0) AS BIGINT) AS vectors_only, CAST(coalesce(sum(nc) FILTER (nv IS NULL), 0) AS BIGINT) AS documents_only,
+      count(*) FILTER (nv > 1) AS vectors_repeated, count(*) FILTER (nc > 1) AS documents_repeated FROM v FULL OUTER JOIN c USING (id)""",
     "read_word_list": f"SELECT DISTINCT word FROM (SELECT unnest({words('text')}) AS word FROM benchmark) WHERE word NOT LIKE '#%'",
     "read_user_dict": "SELECT p_brand AS term, CASE WHEN p_partkey = p_size THEN 'NNP' ELSE 'NNG' END AS tag, count(*) AS n FROM part GROUP BY ALL",
     "write_vectors": "SELECT d.doc_id, len(d.text) AS n_chars, len(e.embedding) AS dim FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id",
@@ -303,7 +308,7 @@ SQL: dict[str, str] = {
     )
     + "SELECT doc_id, coalesce(n_before, 0) AS n_before, coalesce(n_after, 0) AS n_after, coalesce(forms, '') AS forms FROM documents LEFT JOIN agg USING (doc_id)",
     "hash_documents": cte(
-        w=f"SELECT doc_id, unnest({words('substr(text, 1, 2500)')}) AS w FROM documents",
+        w=f"SELECT doc_id, unnest({words('text')}) AS w FROM documents",
         s="""SELECT doc_id, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 64 AS slot,
           sum(CASE WHEN CAST('0x' || substr(md5(w), 9, 1) AS BIGINT) % 2 = 1 THEN -1 ELSE 1 END) AS x FROM w GROUP BY ALL""",
         n="SELECT doc_id, sqrt(sum(x * x)) AS norm FROM s GROUP BY doc_id",
@@ -391,6 +396,8 @@ SQL: dict[str, str] = {
       count(*) FILTER (topic = -1) AS n_outliers, round(avg(CASE WHEN topic = -1 THEN 100.0 ELSE 0 END), 1) AS pct_outliers FROM t""",
     "topic_diversity": cte(**TOPPED)
     + "SELECT round(count(DISTINCT word) / CAST(count(*) AS DOUBLE), 6) AS diversity FROM topped WHERE topic <> -1",
+    "topic_diversity_aspects": cte(**TOPPED)
+    + "SELECT round(count(DISTINCT word) / CAST(count(*) AS DOUBLE), 6) AS diversity FROM topped WHERE topic <> -1",
     "topic_coherence": cte(
         **TOPPED,
         **{k: MEASURED[k] for k in ("sets", "ndocs", "wdf")},

@@ -37,6 +37,9 @@ def test_truncation_counts_characters(spark):
 def test_doc_ids_are_dense_and_stable(spark):
     rows = [(f"t{i % 7}", i % 3) for i in range(60)] + [("copy", 0)] * 40 + [(None, None)]
     df = spark.createDataFrame(rows, "text string, k int")
+    given = spark.createDataFrame([(7, "a"), (7, "b")], "doc_id int, text string")
+    kept = corpus.with_doc_id(given)
+    assert kept.columns == ["doc_id", "text"] and [r.doc_id for r in kept.collect()] == [7, 7]
     one = corpus.with_doc_id(df.repartition(1), rows_per_task=8)
     many = corpus.with_doc_id(df.repartition(5), buckets=16, rows_per_task=3)
     key = lambda r: tuple(r)

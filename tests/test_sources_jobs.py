@@ -26,9 +26,9 @@ def test_word_list_and_user_dict(spark, tmp_path):
     words = readers.read_word_list(spark, str(tmp_path / "w.txt"))
     assert sorted(r.word for r in words.collect()) == ["the", "그"]
     assert readers.read_word_list(spark, str(tmp_path / "w.txt"), distinct=False).count() == 3
-    (tmp_path / "d.txt").write_text("청소년\tNNG\n인공지능\n", encoding="utf-8")
+    (tmp_path / "d.txt").write_text("청소년\tNNG\n인공지능\n\"quo\tNNG\n", encoding="utf-8")
     got = {r.term: r.tag for r in readers.read_user_dict(spark, str(tmp_path / "d.txt")).collect()}
-    assert got == {"청소년": "NNG", "인공지능": "NNP"}
+    assert got == {"청소년": "NNG", "인공지능": "NNP", '"quo': "NNG"}
 
 
 def test_latest_artifact(spark, tmp_path):

@@ -22,12 +22,16 @@ def test_whitespace_equals_str_split(spark):
     assert plain == {i: (t or "").split() for i, t in enumerate(EDGES)}
 
 
-def test_long_stopword_list_is_joined(spark, monkeypatch):
-    monkeypatch.setattr(tok, "LITERAL_STOPWORDS", 2)
-    df = spark.createDataFrame([(1, ["b", "a", "b", "c"]), (2, ["a"]), (3, [])], "doc_id long, tokens array<string>")
-    stop = spark.createDataFrame([("a",), ("x",), ("y",), ("a",)], "word string")
-    got = {r.doc_id: r.tokens for r in tok.filter_tokens(df, "tokens", stop, 1).collect()}
-    assert got == {1: ["b", "b", "c"], 2: [], 3: []}
+@pytest.mark.parametrize("more", [0, 10_001])
+def test_stopword_tables_of_any_length(spark, more):
+    rows = [(1, ["b", "a", "b", "c"]), (1, ["keep", "other"]), (2, ["a"]), (3, []), (4, None), (None, ["a", "d"])]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    stop = spark.createDataFrame([("a",), ("x",), (None,), ("a",), *((f"s{i}",) for i in range(more))], "word string")
+    got = sorted(((r.doc_id, r.tokens) for r in tok.filter_tokens(df, "tokens", stop, 1).collect()), key=str)
+    want = [(1, ["b", "b", "c"]), (1, ["keep", "other"]), (2, []), (3, []), (4, None), (None, ["d"])]
+    assert got == sorted(want, key=str)
+    bare = tok.filter_tokens(df.select("tokens"), "tokens", stop, 1)
+    assert bare.columns == ["tokens"] and bare.count() == len(rows)
 
 
 def nouns(pairs, stop=(), least=2):

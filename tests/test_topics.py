@@ -24,6 +24,17 @@ def test_diversity(spark, words):
     assert quality.topic_diversity(words.where("topic in (0, -1)")).first().diversity == 1.0
 
 
+def test_other_aspects_do_not_count(spark, words):
+    named = words.selectExpr("*", "'Main' AS aspect").union(words.selectExpr("topic", "rank", "'k'", "score", "'KeyBERT'"))
+    assert quality.topic_diversity(named).first().diversity == pytest.approx(4 / 5)
+    docs = spark.createDataFrame([(0, ["a", "b", "k"]), (1, ["a", "c"])], "doc_id long, words array<string>")
+    assert quality.topic_coherence(named, docs).first() == quality.topic_coherence(words, docs).first()
+    reps = spark.createDataFrame([(0, 1, 5), (1, 1, 6)], "topic int, rank int, doc_id long")
+    corpus = spark.createDataFrame([(5, "five"), (6, "six")], "doc_id long, text string")
+    prompts = {r.topic: r.prompt for r in represent.label_prompts(named, reps, corpus, "[KEYWORDS]").collect()}
+    assert prompts == {0: "a, b", 1: "a, c, never"}
+
+
 def test_coherence(spark, words):
     docs = [["a", "b"], ["a"], ["b", "c"], ["a", "c"], ["x"]]
     df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, words array<string>")

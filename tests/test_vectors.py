@@ -165,6 +165,20 @@ def test_encoders(spark):
     assert [r.vec for r in unit.collect()] == [[0.6, 0.8], [0.0, 0.0]]
     with pytest.raises(ValueError):
         encode.require_alignment(frame(spark, [[1], [2]]), df)
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "doc_id long")
+    encode.require_alignment(ids(1, 2), ids(2, 1))
+    with pytest.raises(ValueError):
+        encode.require_alignment(ids(1, 1, 2), ids(1, 2))
+    assert tuple(encode.check_alignment(ids(1, 1, 3, None), ids(1, 2, 2)).first()) == (2, 2, 1, 1)
+
+
+def test_an_encoder_is_loaded_once_in_a_worker():
+    loads = []
+    load = lambda: loads.append(1) or (lambda texts: texts)
+    for _ in range(3):
+        encode.loaded_encoder("a", load)
+    encode.loaded_encoder("b", load)
+    assert len(loads) == 2
 
 
 def test_topics_are_merged(spark):

@@ -83,8 +83,11 @@ def with_doc_id(
     The order is that of a digest of the whole row, so the numbers do not
     depend on how the input is split.  Equal rows are counted, not shuffled one
     by one: a row that makes up a third of the table is one group of size n/3
-    until the copies are written out again, in chunks spread over all tasks.
+    until the copies are written out again, in chunks spread over all tasks.  A
+    ``doc_id`` that the table has already is kept, as a number.
     """
+    if id_column is None and "doc_id" in df.columns:
+        id_column = "doc_id"
     if id_column:
         return df.withColumn("doc_id", F.col(id_column).cast("long"))
     cols = df.columns

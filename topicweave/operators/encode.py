@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,17 @@ from topicweave.operators.blocks import list_column
 Encoder = Callable[[list[str]], np.ndarray]
 
 
+_LOADED: dict[str, Encoder] = {}
+
+
+def loaded_encoder(key: str, load_encoder: Callable[[], Encoder]) -> Encoder:
+    """The encoder of this Python worker; another one takes its place."""
+    if key not in _LOADED:
+        _LOADED.clear()
+        _LOADED[key] = load_encoder()
+    return _LOADED[key]
+
+
 def l2_normalize(df: DataFrame, vec_col: str = "vec") -> DataFrame:
     """Vectors at length one; zero vectors stay zero."""
     return df.withColumn(vec_col, unit(F.col(vec_col)))
@@ -32,16 +45,17 @@ def encode_documents(
 ) -> DataFrame:
     """(doc_id, vec): float vectors of the first ``max_chars`` characters of each text.
 
-    ``load_encoder`` runs once per task and gives a function from a list of
-    texts to a 2-D array; texts reach it in batches of ``batch_size``.
+    ``load_encoder`` runs once in each Python worker and gives a function from a
+    list of texts to a 2-D array; texts reach it in batches of ``batch_size``.
     Missing texts are encoded as empty.
     """
     short = F.substring(F.coalesce(F.col(col).cast("string"), F.lit("")), 1, max_chars)
 
+    key = hashlib.sha256(cloudpickle.dumps(load_encoder)).hexdigest()
+
     def encode(frames):
-        encoder = None
         for frame in frames:
-            encoder = encoder or load_encoder()
+            encoder = loaded_encoder(key, load_encoder)
             texts = frame["text"].tolist()
             parts = [
                 np.asarray(encoder(texts[i : i + batch_size]), dtype=np.float32)
@@ -72,13 +86,15 @@ def token_slots(tokens: Column, dim: int) -> Column:
 
 
 def hash_documents(
-    df: DataFrame, col: str = "text", dim: int = 64, max_chars: int = 2500, normalize: bool = True
+    df: DataFrame, col: str = "text", dim: int = 64, max_chars: int | None = None, normalize: bool = True
 ) -> DataFrame:
     """(doc_id, vec): signed counts of hashed words; an encoder that needs no model.
 
     Words are hashed in the JVM and counted per Arrow batch, without a shuffle.
+    The whole text counts unless ``max_chars`` is given.
     """
-    slots = token_slots(words(F.substring(F.col(col), 1, max_chars)), dim)
+    text = F.col(col) if max_chars is None else F.substring(F.col(col), 1, max_chars)
+    slots = token_slots(words(text), dim)
 
     def count(batches):
         for batch in batches:
@@ -107,19 +123,25 @@ def embedding_info(vectors: DataFrame, **settings) -> DataFrame:
 
 
 def check_alignment(vectors: DataFrame, corpus: DataFrame, on: str = "doc_id") -> DataFrame:
-    """One row: vectors without document and documents without vector."""
-    left = vectors.select(F.col(on).alias("v"))
-    right = corpus.select(F.col(on).alias("c"))
+    """One row: vectors without document, documents without vector, and the ids that repeat on either side.
+
+    A null id matches nothing.
+    """
+    left = vectors.groupBy(F.col(on).alias("v")).agg(F.count(F.lit(1)).alias("n_v"))
+    right = corpus.groupBy(F.col(on).alias("c")).agg(F.count(F.lit(1)).alias("n_c"))
     return left.join(right, F.col("v") == F.col("c"), "full_outer").agg(
-        F.count_if(F.col("c").isNull()).alias("vectors_only"),
-        F.count_if(F.col("v").isNull()).alias("documents_only"),
+        F.coalesce(F.sum(F.when(F.col("n_c").isNull(), F.col("n_v"))), F.lit(0)).alias("vectors_only"),
+        F.coalesce(F.sum(F.when(F.col("n_v").isNull(), F.col("n_c"))), F.lit(0)).alias("documents_only"),
+        F.count_if(F.col("n_v") > 1).alias("vectors_repeated"),
+        F.count_if(F.col("n_c") > 1).alias("documents_repeated"),
     )
 
 
 def require_alignment(vectors: DataFrame, corpus: DataFrame) -> None:
     """Raise if vectors and documents do not match one to one by id."""
     row = check_alignment(vectors, corpus).first()
-    if row.vectors_only or row.documents_only:
+    if any(row):
         raise ValueError(
-            f"{row.vectors_only} vectors without document, {row.documents_only} documents without vector"
+            f"{row.vectors_only} vectors without document, {row.documents_only} documents without vector, "
+            f"{row.vectors_repeated} and {row.documents_repeated} ids of them more than once"
         )

@@ -11,6 +11,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from topicweave.operators.represent import MAIN, of_aspect
+
 # Weights of the composite score, the coherence that counts as
 # full, and the scores of a topic count inside, near and far from the target.
 WEIGHTS = {
@@ -30,11 +32,15 @@ PARAMETERS = [*UMAP_GRID, *HDBSCAN_GRID]
 METRICS = ["noise_ratio", "silhouette", "diversity", "coherence", "composite"]
 
 
-def topic_diversity(topic_words: DataFrame, top_n: int = 10, by: Sequence[str] = ()) -> DataFrame:
+def topic_diversity(
+    topic_words: DataFrame, top_n: int = 10, by: Sequence[str] = (), aspect: str = MAIN
+) -> DataFrame:
     """Share of distinct words among all topics' top words; 0 for a single topic.
 
-    Topic -1 gives no words but counts as a topic for the single-topic rule.
+    Topic -1 gives no words but counts as a topic for the single-topic rule.  Of
+    a table with several aspects only ``aspect`` counts.
     """
+    topic_words = of_aspect(topic_words, aspect)
     inside = (F.col("topic") != -1) & (F.col("rank") <= top_n)
     word = F.when(inside, F.col("word"))
     share = F.count_distinct(word) / F.count(word)
@@ -45,16 +51,21 @@ def topic_diversity(topic_words: DataFrame, top_n: int = 10, by: Sequence[str] =
 
 
 def topic_coherence(
-    topic_words: DataFrame, doc_word_sets: DataFrame, top_n: int = 10, by: Sequence[str] = ()
+    topic_words: DataFrame,
+    doc_word_sets: DataFrame,
+    top_n: int = 10,
+    by: Sequence[str] = (),
+    aspect: str = MAIN,
 ) -> DataFrame:
     """Mean over topics of the mean of ln((d12 + 1) / (d1 d2 / n + 1)) over word pairs.
 
     d1, d2 and d12 count documents with the first, the second and both words; n
     counts all documents with words.  Pairs with a word no document holds, and
-    topics without pairs, are left out.
+    topics without pairs, are left out.  Of a table with several aspects only
+    ``aspect`` counts.
     """
     by = list(by)
-    top = topic_words.where((F.col("topic") != -1) & (F.col("rank") <= top_n)).select(
+    top = of_aspect(topic_words, aspect).where((F.col("topic") != -1) & (F.col("rank") <= top_n)).select(
         *by, "topic", "rank", "word"
     )
     n_docs = doc_word_sets.agg(F.count(F.lit(1))).scalar()

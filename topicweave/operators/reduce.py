@@ -217,9 +217,10 @@ def layout(
     edges = edges.repartition(parts, "bucket").persist()
     needs = needs.repartition(parts, "id").persist()
     places = start
-    per_round = max(1, n_epochs // rounds)
+    rounds = min(rounds, max(1, n_epochs))
+    marks = [n_epochs * r // rounds for r in range(rounds + 1)]  # the epochs before each round; all of them run
     for r in range(rounds):
-        kernel = _layout_kernel(a, b, seed, r, per_round, r * per_round, per_round * rounds)
+        kernel = _layout_kernel(a, b, seed, r, marks[r + 1] - marks[r], marks[r], n_epochs)
         sent = needs.join(places, "id").select("bucket", "id", "own", "vec")
         moved = (
             sent.groupBy("bucket")

@@ -15,13 +15,6 @@ from topicweave.functions.vector import cosine
 
 MAIN = "Main"
 
-# Default label prompt: [DOCUMENTS] and [KEYWORDS] are filled per topic.
-LABEL_PROMPT = (
-    "아래는 한 토픽의 대표 문서와 핵심 단어입니다.\n\n"
-    "[DOCUMENTS]\n핵심 단어: [KEYWORDS]\n\n"
-    "주어진 내용만 보고 토픽 이름을 한국어 다섯 단어 이내로 쓰세요. 이름만 답하세요."
-)
-
 
 def topic_term_counts(
     tokens: DataFrame, doc_topics: DataFrame, lowercase: bool = True
@@ -283,17 +276,27 @@ def topic_word_lists(topic_words: DataFrame) -> DataFrame:
     )
 
 
+def of_aspect(topic_words: DataFrame, aspect: str = MAIN) -> DataFrame:
+    """The words of one aspect; all words if the table has a single, unnamed one."""
+    return topic_words.where(F.col("aspect") == aspect) if "aspect" in topic_words.columns else topic_words
+
+
 def label_prompts(
     topic_words: DataFrame,
     rep_docs: DataFrame,
     corpus: DataFrame,
+    template: str,
     text_col: str = "text",
-    template: str = LABEL_PROMPT,
     n_docs: int = 4,
+    aspect: str = MAIN,
 ) -> DataFrame:
-    """(topic, prompt): the template with each topic's keywords and documents."""
+    """(topic, prompt): the template with each topic's keywords and documents.
+
+    [DOCUMENTS] and [KEYWORDS] in the template are filled in; the keywords are
+    those of one ``aspect``.
+    """
     keywords = (
-        topic_words.where(F.col("topic") != -1)
+        of_aspect(topic_words, aspect).where(F.col("topic") != -1)
         .groupBy("topic")
         .agg(F.array_join(ranked_list("word"), ", ").alias("keywords"))
     )

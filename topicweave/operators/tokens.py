@@ -9,10 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicweave.functions.text import keep_tokens, words
-
-# A stopword list up to this many rows is planned as a literal set, a longer
-# one as a join.
-LITERAL_STOPWORDS = 10_000
+from topicweave.scratch import Scratch
 
 # Tag names of the Sejong tagset and the plural suffix.
 COMMON_NOUN, PROPER_NOUN, FOREIGN, PREFIX, SUFFIX = "NNG", "NNP", "SL", "XPN", "XSN"
@@ -47,28 +44,28 @@ def filter_tokens(
 ) -> DataFrame:
     """Drop short tokens and stopwords from ready token lists, in place.
 
-    ``stopwords`` as a DataFrame has a ``word`` column and needs ``doc_id`` in
-    ``df`` once the list is too long for a literal set.
+    ``stopwords`` as a Python collection become a literal set; as a DataFrame,
+    with a ``word`` column, they are joined, however many there are.  A null
+    list stays null.
     """
     if isinstance(stopwords, DataFrame):
-        head = stopwords.select("word").limit(LITERAL_STOPWORDS + 1).collect()
-        if len(head) > LITERAL_STOPWORDS:
-            return _filter_by_join(df, tokens_col, stopwords, min_len)
-        stopwords = [row.word for row in head if row.word is not None]
+        return _filter_by_join(df, tokens_col, stopwords, min_len)
     return df.withColumn(tokens_col, keep_tokens(F.col(tokens_col), stopwords or (), min_len))
 
 
 def _filter_by_join(
     df: DataFrame, tokens_col: str, stopwords: DataFrame, min_len: int
 ) -> DataFrame:
+    """Rows get a key of their own and are written once, since both sides of the last join read them."""
+    keyed = Scratch(df.sparkSession, "tokens").table(df.withColumn("_row", F.monotonically_increasing_id()))
     kept = (
-        df.select("doc_id", F.posexplode(keep_tokens(F.col(tokens_col), (), min_len)).alias("pos", "word"))
+        keyed.select("_row", F.posexplode(keep_tokens(F.col(tokens_col), (), min_len)).alias("pos", "word"))
         .join(stopwords.select("word").distinct(), "word", "left_anti")
-        .groupBy("doc_id")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("_kept"))
+        .groupBy("_row")
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("_kept"))  # no more than one row's own
     )
-    tokens = F.coalesce(F.col("_kept.word"), F.array().cast("array<string>"))
-    return df.join(kept, "doc_id", "left").withColumn(tokens_col, tokens).drop("_kept")
+    tokens = F.when(F.col(tokens_col).isNotNull(), F.coalesce(F.col("_kept.word"), F.array().cast("array<string>")))
+    return keyed.join(kept, "_row", "left").withColumn(tokens_col, tokens).drop("_kept", "_row")
 
 
 def _encoded(pairs: Column) -> Column:

@@ -87,8 +87,8 @@ def read_word_list(spark: SparkSession, path: str, distinct: bool = True) -> Dat
 
 
 def read_user_dict(spark: SparkSession, path: str, default_tag: str = "NNP") -> DataFrame:
-    """(term, tag) from a tab-separated file; a missing tag is a proper noun's."""
-    rows = spark.read.schema("term string, tag string").option("sep", "\t").csv(path)
+    """(term, tag) from a tab-separated file; a missing tag is a proper noun's, and quotes are letters."""
+    rows = spark.read.schema("term string, tag string").option("sep", "\t").option("quote", "").csv(path)
     return rows.where(F.col("term").isNotNull() & ~F.col("term").startswith("#")).select(
         F.trim("term").alias("term"), F.coalesce(F.trim("tag"), F.lit(default_tag)).alias("tag")
     )
