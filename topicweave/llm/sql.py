@@ -65,3 +65,19 @@ SELECT doc_id, (octet_length(encode(body)) + 8)::BIGINT AS size, text_crc32, 'ke
            % greatest(16, (SELECT count(*) FROM documents) // 10000), doc_id, text_crc32) - 1 AS slot, grown_shard
 FROM d JOIN crcs USING (body)
 """
+
+# all pairs and their transitive closure
+SQL["op9_embeddings"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), p AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), r AS (SELECT a, b FROM p UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+n AS (SELECT a, count(*) AS n_links FROM p GROUP BY a), c AS (SELECT a, min(b) AS least_id FROM r GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(least(vec_id, least_id), vec_id) AS component_id,
+  vec_id = coalesce(least(vec_id, least_id), vec_id) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id
+"""
