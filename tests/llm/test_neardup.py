@@ -78,7 +78,7 @@ def test_fewest_edits_and_similarity():
 def test_order_counts():
     a = " ".join(f"a{i}" for i in range(40))
     b = " ".join(f"b{i}" for i in range(40))
-    one, two = neardup.sketches(neardup.kmers(hashes(f"{a} {b}")))[0], neardup.sketches(neardup.kmers(hashes(f"{b} {a}")))[0]
+    one, two = neardup.sketches(neardup.kmers(hashes(f"{a} {b}"))), neardup.sketches(neardup.kmers(hashes(f"{b} {a}")))
     same = (one == two).mean()
     assert same < 0.5  # the same k-mers but for the seam, in another order
     assert neardup.similarity(hashes(f"{a} {b}"), hashes(f"{b} {a}"), 0.8) < 0.8
@@ -90,7 +90,23 @@ def test_equal_kmers_have_labels_and_stripes_do_not_matter(monkeypatch):
     want = neardup.sketches(h)
     monkeypatch.setattr(neardup, "STRIPE", 7)
     got = neardup.sketches(h)
-    assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+    assert (got == want).all()
+
+
+def test_signatures_drop_no_pair_of_the_threshold():
+    rng = np.random.default_rng(0)
+    kept = 0
+    for n in (6, 20, 150, 900, 5000):
+        for _ in range(60):
+            share = rng.uniform(0.6, 0.95)
+            base = rng.integers(0, 2**63, n, dtype=np.int64).view(np.uint64)
+            other = base.copy()
+            other[: int(n * (1 - share))] = rng.integers(0, 2**63, int(n * (1 - share)), dtype=np.int64).view(np.uint64)
+            true = len(np.intersect1d(base, other)) / len(np.union1d(base, other))
+            got = neardup.possible(neardup.signature(base), n, neardup.signature(other)[None], np.array([n]), 0.8)[0]
+            assert got or true < 0.8
+            kept += bool(got and true < 0.7)
+    assert kept < 20
 
 
 def classes(rows):

@@ -35,8 +35,8 @@ from topicweave.scratch import Scratch
 WORDS, SKETCHES, MINIMA = 5, 32, 5
 #: Documents of at most so many k-mers are also candidates by each single one.
 SHORT = 20
-#: Sketches of 32 that agree in their smallest k-mer with all but a chance of about one in a million at 0.8.
-AGREE = 14
+#: Bins of a signature, each a byte, and how many standard errors below the threshold an estimate may lie.
+BINS, ERRORS = 1024, 5.0
 #: Members of a bucket compared in one block, and k-mers hashed at once.
 BLOCK, STRIPE = 1024, 50_000
 _MIX = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -72,10 +72,34 @@ def kmers(words: np.ndarray) -> np.ndarray:
     return np.where(label > 0, mixed(h + label * _MIX[1]), h)
 
 
-def sketches(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket keys and the signature (the smallest value of each hash function, shortened)."""
+def signature(h: np.ndarray) -> np.ndarray:
+    """One hash deals the k-mers into bins; each bin holds a byte of its smallest, or 0 if it is empty."""
+    out = np.zeros(BINS, dtype=np.uint8)
+    low = np.sort(mixed(h ^ _MIX[0]))
+    bins = (low >> np.uint64(54)).astype(np.int64)
+    first = np.flatnonzero(np.diff(bins, prepend=-1))
+    out[bins[first]] = (low[first] % np.uint64(255)).astype(np.uint8) + 1
+    return out
+
+
+def possible(one: np.ndarray, n: int, others: np.ndarray, ns: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of the ``others`` may share enough k-mers with ``one``; ``n`` and ``ns`` are their numbers of k-mers.
+
+    The bins that are not empty in both signatures are a sample, without
+    replacement, of the k-mers of the two documents.
+    """
+    drawn = np.maximum(((others != 0) | (one != 0)).sum(axis=1), 1)
+    equal = ((others == one) & (one != 0)).sum(axis=1) / drawn
+    all_ = (n + ns) / (1 + threshold)
+    error = np.sqrt(threshold * (1 - threshold) / drawn * np.maximum(1 - drawn / all_, 0))
+    near = np.minimum(n, ns) >= threshold * np.maximum(n, ns) - 1e-9
+    return near & (equal >= threshold - ERRORS * error - 0.01)
+
+
+def sketches(h: np.ndarray) -> np.ndarray:
+    """Bucket keys."""
     if not len(h):
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
+        return np.zeros(0, dtype=np.int64)
     take = min(MINIMA, len(h))
     at = np.zeros((SKETCHES, 0), dtype=np.int64)
     value = np.zeros((SKETCHES, 0), dtype=np.uint64)
@@ -97,8 +121,7 @@ def sketches(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         key = mixed(key + h[at[:, k]])
     if len(h) <= SHORT:
         key = np.concatenate([key, mixed(h)])
-    signature = (value.min(axis=1) & np.uint64(0x7FFFFFFF)).astype(np.int32)
-    return key.view(np.int64), signature
+    return key.view(np.int64)
 
 
 def matched_runs(a: np.ndarray, b: np.ndarray, limit: int) -> list[int] | None:
@@ -184,22 +207,24 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     split = rows.withColumn("words", words).select("doc_id", "_locator", digest.alias("digest"), F.transform("words", lambda w: F.xxhash64(w)).alias("words"))
 
     def sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys, signatures = [], []
+        keys, numbers, signatures = [], [], []
         for one in batch["words"]:
-            key, signature = sketches(kmers(one.values.to_numpy()))
-            keys.append(key)
-            signatures.append(signature.tobytes())
+            own = kmers(one.values.to_numpy())
+            keys.append(sketches(own))
+            numbers.append(len(own))
+            signatures.append(signature(own).tobytes())
+        made = [pa.array(keys, pa.list_(pa.int64())), pa.array(numbers, pa.int64()), pa.array(signatures, pa.binary())]
         return pa.RecordBatch.from_arrays(
-            [batch["doc_id"], batch["_locator"], batch["digest"], pa.array(keys, pa.list_(pa.int64())), pa.array(signatures, pa.binary())],
-            names=["doc_id", "_locator", "digest", "keys", "signature"],
+            [batch["doc_id"], batch["_locator"], batch["digest"], *made],
+            names=["doc_id", "_locator", "digest", "keys", "kmers", "signature"],
         )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     place = rows.schema["_locator"].dataType.simpleString()
     sketched = scratch.table(
-        apply_batches(split, sketch, f"doc_id {kind}, _locator {place}, digest string, keys array<long>, signature binary"), "sketched"
+        apply_batches(split, sketch, f"doc_id {kind}, _locator {place}, digest string, keys array<long>, kmers long, signature binary"), "sketched"
     )
-    distinct = sketched.groupBy("digest").agg(F.first("keys").alias("keys"), F.first("signature").alias("signature"))
+    distinct = sketched.groupBy("digest").agg(*[F.first(c).alias(c) for c in ("keys", "kmers", "signature")])
     nodes = scratch.table(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     # members of buckets with company
@@ -222,8 +247,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     within = members.join(first, "node", "left").select("bucket", "node", "size", F.coalesce("component", "node").alias("component"))
     within = scratch.table(within, "within", replaces=members)
     split_up = within.groupBy("bucket").agg((F.min("component") != F.max("component")).alias("apart")).where("apart").select("bucket")
-    apart = within.join(split_up, "bucket").join(nodes.select("node", "signature"), "node")
-    more = scratch.table(_crossing(apart), "crossing")
+    apart = within.join(split_up, "bucket").join(nodes.select("node", "kmers", "signature"), "node")
+    more = scratch.table(_crossing(apart, threshold), "crossing")
     more = more.join(stars, ["src", "dst"], "left_anti").join(stars.select(F.col("dst").alias("src"), F.col("src").alias("dst")), ["src", "dst"], "left_anti")
     links = links.union(scratch.table(_aligned(more, content, threshold), "links"))
     classes = components(scratch, links)
@@ -256,8 +281,8 @@ def _aligned(pairs: DataFrame, content: DataFrame, threshold: float) -> DataFram
     return apply_batches(pairs.join(a, "src").join(b, "dst").select("src", "dst", "a", "b"), align, "src long, dst long")
 
 
-def _crossing(apart: DataFrame) -> DataFrame:
-    """Pairs of members of one bucket, in different components, whose signatures agree often enough.
+def _crossing(apart: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of members of one bucket, in different components, whose signatures leave the threshold possible.
 
     A bucket is dealt into blocks and each pair of blocks is a group of its own,
     so no task holds a whole bucket, and only promising pairs come out.
@@ -265,19 +290,19 @@ def _crossing(apart: DataFrame) -> DataFrame:
     blocks = F.ceil(F.col("size") / BLOCK)
     dealt = apart.withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.select(
-        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "component", "signature"
+        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "component", "kmers", "signature"
     )
 
     def compare(table: pa.Table) -> pa.Table:
-        node, component, own = (table[c].to_numpy() for c in ("node", "component", "own"))
+        node, component, own, numbers = (table[c].to_numpy() for c in ("node", "component", "own", "kmers"))
         low, high = table["low"][0].as_py(), table["high"][0].as_py()
-        sign = np.frombuffer(b"".join(table["signature"].to_pylist()), dtype=np.int32).reshape(len(node), -1)
+        sign = np.frombuffer(b"".join(table["signature"].to_pylist()), dtype=np.uint8).reshape(len(node), -1)
         left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
         src, dst = [], []
         for i in left:
             rest = right[node[right] > node[i]] if low == high else right
             rest = rest[component[rest] != component[i]]
-            rest = rest[(sign[rest] == sign[i]).sum(axis=1) >= AGREE]
+            rest = rest[possible(sign[i], numbers[i], sign[rest], numbers[rest], threshold)]
             src.append(np.minimum(node[i], node[rest]))
             dst.append(np.maximum(node[i], node[rest]))
         ends = [np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (src, dst)]
