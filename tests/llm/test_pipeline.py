@@ -15,10 +15,10 @@ def folder(spark, make, tmp_path_factory):
     rnd = random.Random(7)
     rows = []
     for i in range(60):
-        text = " ".join(f"w{rnd.randrange(900)}" for _ in range(60))
+        text = " ".join(f"w{rnd.randrange(900)}" for _ in range(60)) + (f" me{i}@mail.org" if i % 4 == 1 else "")
         rows.append((i, text))
         if i % 6 == 0:
-            rows += [(100 + i, text.upper()), (200 + i, changed(rnd, text, 1)), (300 + i, text + f" me{i}@mail.org")]
+            rows += [(100 + i, text.upper()), (200 + i, changed(rnd, text, 1)), (300 + i, text + " more")]
         rows.append((400 + i, " ".join(rnd.choice(["!!!", "###", "$$$"]) for _ in range(30))))
     rows += [(None, rows[0][1]), (500, None), (501, "")]
     path = str(tmp_path_factory.mktemp("tables"))
