@@ -39,6 +39,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
+        self._paths: list[str] = []
 
     def table(
         self,
@@ -53,6 +54,7 @@ class Scratch:
         """
         self._n += 1
         path = f"{self.root}/{self._n:04d}-{name}"
+        self._paths.append(path)
         seen = Observation()
         counts = [F.count(F.lit(1)).alias("rows")]
         if watch is not None:
@@ -75,11 +77,20 @@ class Scratch:
         """Rows of a written table where the watched condition held."""
         return table._counts["watched"]
 
+    def keep(self, *tables: DataFrame) -> None:
+        """Delete all tables this job wrote but for these."""
+        kept = {table._scratch_path for table in tables}
+        for path in [p for p in self._paths if p not in kept]:
+            self._delete(path)
+
     def drop(self, df: DataFrame) -> None:
         """Delete a table this job wrote and no longer reads."""
         path = getattr(df, "_scratch_path", None)
         if path and path.startswith(self.root):
-            jvm = self.spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-            target.getFileSystem(conf).delete(target, True)
+            self._delete(path)
+
+    def _delete(self, path: str) -> None:
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        target.getFileSystem(conf).delete(target, True)
+        self._paths = [p for p in self._paths if p != path]
