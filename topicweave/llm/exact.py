@@ -108,6 +108,7 @@ def deduplicate(
     content = texts.where(F.col("_locator") == F.col("_held")).select("digest", F.col("bytes").alias("held_bytes"))
     met = texts.join(content, "digest").where(F.col("bytes") != F.col("held_bytes"))
     differs = scratch.table(met.select("_locator", "digest", "bytes"), "differs")
+    scratch.drop(texts)
     apart = records.join(differs, F.col("row._locator") == differs._locator, "left_semi").withColumn("_locator", F.col("row._locator"))
     apart = apart.join(differs.select("_locator", "bytes"), "_locator")
     groups = apart.groupBy("bytes").agg(F.max("row").alias("_stays"), F.count(F.lit(1)).alias("_rows"))

@@ -226,6 +226,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     )
     distinct = sketched.groupBy("digest").agg(*[F.first(c).alias(c) for c in ("keys", "kmers", "signature")])
     nodes = scratch.table(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    sketched = scratch.table(sketched.select("doc_id", "_locator", "digest"), "placed", replaces=sketched)
 
     # members of buckets with company
     listed = nodes.select("node", F.explode("keys").alias("bucket"))
@@ -255,6 +256,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
     by_digest = nodes.join(classes, "node", "left").select("digest", F.coalesce("component", "node").alias("class"))
     told = scratch.table(sketched.join(by_digest, "digest").select("doc_id", "_locator", "class"), "told")
+    scratch.keep(told)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_locator")
     of_class = told.groupBy("class").agg(F.min(order).alias("least"), F.count(F.lit(1)).alias("class_size"))
     return told.join(of_class, "class").select(
