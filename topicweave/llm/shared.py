@@ -18,8 +18,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def remainder(doc_id: Column | str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; a null id counts as empty text."""
-    text = F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit(None)).cast("string")
-    return (F.crc32(F.coalesce(text, F.lit("")).cast("binary")) % divisor).cast("int")
+    text = F.coalesce((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string"), F.lit(""))
+    return (F.crc32(text.cast("binary")) % divisor).cast("int")
 
 
 def whole(column: str = "text") -> Column:
