@@ -68,7 +68,7 @@ class Space:
         self.rarity, self.basis, self.vectors, self.votes = rarity, basis, vectors, votes
         self.place = np.full(SPACE, -1, dtype=np.int32)
         self.place[chosen] = np.arange(len(chosen))
-        self.hashed = Remembered(terms)
+        self.hashed = Remembered(terms, most=100_000)
 
     def terms_of(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
         """Hashed words and shapes of the distinct words, how often each word occurs, and the repeats."""
