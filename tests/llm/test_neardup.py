@@ -75,6 +75,62 @@ def test_fewest_edits_and_similarity():
     assert neardup.matched_runs(np.arange(5), np.arange(10, 30), 3) is None
 
 
+def most_in_order(a, b):
+    """Similarity by a full table of the longest common sequence of k-mers."""
+    x, y = ([tuple(w[i : i + 5]) for i in range(len(w) - 4)] for w in (a, b))
+    d = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i, j in itertools.product(range(len(x)), range(len(y))):
+        d[i + 1][j + 1] = d[i][j] + 1 if x[i] == y[j] else max(d[i][j + 1], d[i + 1][j])
+    return d[-1][-1] / (len(x) + len(y) - d[-1][-1])
+
+
+def jaccard(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_a_block_that_goes_and_another_that_comes():
+    x, d, y, i = ([f"{c}{k}" for k in range(n)] for c, n in (("x", 900), ("d", 60), ("y", 59), ("i", 60)))
+    a, b = x + d + y, x + y + i
+    got = neardup.similarity(hashes(" ".join(a)), hashes(" ".join(b)), 0.8)
+    assert got == pytest.approx(jaccard(a, b)) and got > 0.88
+
+
+def test_blocks_against_plain_shingles():
+    rnd = random.Random(11)
+    linked = 0
+    for _ in range(150):
+        base = [f"w{i}" for i in range(rnd.randrange(60, 400))]
+        other = list(base)
+        for _ in range(rnd.randrange(1, 4)):
+            n, at = rnd.randrange(1, 1 + len(base) // 10), rnd.randrange(len(other))
+            if rnd.random() < 0.5:
+                del other[at : at + n]
+            else:
+                other[at:at] = [f"n{rnd.randrange(10**9)}" for _ in range(n)]
+        want = jaccard(base, other)
+        got = neardup.similarity(hashes(" ".join(base)), hashes(" ".join(other)), 0.8)
+        assert got == pytest.approx(want if want >= 0.8 else 0.0)
+        linked += want >= 0.8
+    assert 50 < linked < 150
+
+
+@pytest.mark.parametrize("pairs", [4, 0])
+def test_most_kmers_in_order_with_repeats(monkeypatch, pairs):
+    monkeypatch.setattr(neardup, "PAIRS", pairs)
+    rnd = random.Random(13)
+    linked = 0
+    for _ in range(80):
+        base = " ".join(rnd.choice("abc") for _ in range(rnd.randrange(5, 80)))
+        other = changed(rnd, base, rnd.randrange(0, 3))
+        a, b = words(base), words(other)
+        want = most_in_order(a, b) if min(len(a), len(b)) > 4 else 0.0
+        got = neardup.similarity(hashes(base), hashes(other), 0.8)
+        assert got == pytest.approx(want if want >= 0.8 - 1e-9 else 0.0)
+        linked += want >= 0.8
+    assert linked > 10
+
+
 def test_order_counts():
     a = " ".join(f"a{i}" for i in range(40))
     b = " ".join(f"b{i}" for i in range(40))

@@ -1,4 +1,4 @@
-"""Near-duplicate documents by order MinHash and banded alignment.
+"""Near-duplicate documents by order MinHash and alignment.
 
 A document is its sequence of lower-case words.  Its k-mers are runs of five
 words, each labelled with how many equal ones came before.  A sketch takes the
@@ -7,9 +7,9 @@ the order of the text, so that documents share it the more likely the closer
 their edit distance, not only their sets of k-mers.  Documents that share one of
 their sketches are candidates.
 
-Candidates are aligned word by word within a band of diagonals.  The similarity is
-the share of k-mers that lie in matched runs of the alignment among all k-mers of
-the two documents.
+Candidates are aligned k-mer by k-mer.  The similarity is the share of k-mers that
+the alignment which matches most of them matches, among all k-mers of the two
+documents; a block that is left out or put in costs its own k-mers only.
 
 Equal word sequences are one node.  A group of near copies need not be paired up:
 first every member of a bucket is aligned with the bucket's hub, the member that
@@ -39,6 +39,8 @@ SHORT = 20
 BINS, ERRORS = 1024, 5.0
 #: Members of a bucket compared in one block, and k-mers hashed at once.
 BLOCK, STRIPE = 1024, 50_000
+#: Pairs of equal k-mers for each k-mer up to which all of them are looked at.
+PAIRS = 4
 _MIX = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -57,14 +59,21 @@ def mixed(x: np.ndarray) -> np.ndarray:
 SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def plain_kmers(words: np.ndarray) -> np.ndarray:
+    """Hashes of the k-mers without labels, in the order of the text."""
+    w = words.astype(np.int64).view(np.uint64)
+    n = len(w) - WORDS + 1
+    h = np.zeros(max(n, 0), dtype=np.uint64)
+    for k in range(WORDS if n > 0 else 0):
+        h = mixed(h + w[k : n + k])
+    return h
+
+
 def kmers(words: np.ndarray) -> np.ndarray:
     """Labelled k-mers of word hashes: equal k-mers differ by how many equal ones came before."""
-    w = words.astype(np.int64).view(np.uint64)
-    if len(w) < WORDS:
-        return np.zeros(0, dtype=np.uint64)
-    h = np.zeros(len(w) - WORDS + 1, dtype=np.uint64)
-    for k in range(WORDS):
-        h = mixed(h + w[k : len(w) - WORDS + 1 + k])
+    h = plain_kmers(words)
+    if not len(h):
+        return h
     order = np.argsort(h, kind="stable")
     first = np.flatnonzero(np.diff(h[order], prepend=~h[order][:1]))
     label = np.empty(len(h), dtype=np.uint64)
@@ -125,69 +134,85 @@ def sketches(h: np.ndarray) -> np.ndarray:
 
 
 def matched_runs(a: np.ndarray, b: np.ndarray, limit: int) -> list[int] | None:
-    """Lengths of the matched runs of an alignment with the fewest edits, none if it takes over ``limit``.
+    """Lengths of the matched runs of an alignment with the fewest insertions and deletions, none if it takes over ``limit``.
 
     The furthest cell reached on each diagonal of a band that grows by one
-    diagonal on each side with every edit.
+    diagonal on each side with every edit.  There are no substitutions, so no other
+    alignment matches more.
     """
     na, nb = len(a), len(b)
-    stops: dict[int, list[int]] = {}
-
-    def slide(i: int, k: int) -> int:
-        """The first cell from ``i`` on diagonal ``k`` where the words differ or a text ends."""
-        if k not in stops:
-            low, high = max(0, -k), min(na, nb - k)
-            stops[k] = (np.flatnonzero(a[low:high] != b[low + k : high + k]) + low).tolist() + [high]
-        own = stops[k]
-        return own[bisect_left(own, i)]
-
     if abs(na - nb) > limit:
         return None
-    reached: list[dict[int, tuple[int, int, int]]] = []  # by edits and diagonal: start, end, diagonal before
+    a, b = a.tolist(), b.tolist()
+    level: dict[int, tuple[int, tuple]] = {}  # by diagonal: end, and the runs before as a chain
     for edits in range(limit + 1):
-        level: dict[int, tuple[int, int, int]] = {}
-        before = reached[-1] if reached else {}
-        for k in range(-edits, edits + 1):
+        before, level = level, {}
+        for k in range(-edits, edits + 1, 2):
             if k < -na or k > nb:
                 continue
-            choices = []
-            if not edits:
-                choices.append((0, 0))
-            if k in before and before[k][1] < na and before[k][1] + k < nb:
-                choices.append((before[k][1] + 1, k))
-            if k - 1 in before and before[k - 1][1] + k <= nb:
-                choices.append((before[k - 1][1], k - 1))
-            if k + 1 in before and before[k + 1][1] < na:
-                choices.append((before[k + 1][1] + 1, k + 1))
+            choices = [] if edits else [(0, ())]
+            if k - 1 in before and before[k - 1][0] + k <= nb:
+                choices.append(before[k - 1])
+            if k + 1 in before and before[k + 1][0] < na:
+                choices.append((before[k + 1][0] + 1, before[k + 1][1]))
             if not choices:
                 continue
-            start, origin = max(choices)
-            level[k] = (start, slide(start, k), origin)
-        reached.append(level)
-        if nb - na in level and level[nb - na][1] == na:
-            runs, k = [], nb - na
-            for back in range(edits, -1, -1):
-                start, end, origin = reached[back][k]
-                runs.append(end - start)
-                k = origin
+            start, chain = max(choices, key=lambda c: c[0])
+            end, stop = start, min(na, nb - k)
+            while end < stop and a[end] == b[end + k]:
+                end += 1
+            level[k] = (end, (end - start, chain) if end > start else chain)
+        if nb - na in level and level[nb - na][0] == na:
+            runs, chain = [], level[nb - na][1]
+            while chain:
+                run, chain = chain
+                runs.append(run)
             return runs[::-1]
     return None
 
 
+def in_order(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
+    """How many k-mers ``a`` and ``b`` share in the same order, at most; none if that leaves over ``limit`` of both.
+
+    Few k-mers of a text are equal, so the longest rising sequence of their places
+    is found from all equal pairs.  Where there are many pairs, edits are
+    counted instead.
+    """
+    left = len(a) + len(b)
+    short = min(len(a), len(b))
+    differ = np.flatnonzero(a[:short] != b[:short])
+    head = int(differ[0]) if len(differ) else short
+    a, b, short = a[head:], b[head:], short - head
+    differ = np.flatnonzero(a[len(a) - short :] != b[len(b) - short :])
+    tail = short - 1 - int(differ[-1]) if len(differ) else short
+    a, b = a[: len(a) - tail], b[: len(b) - tail]
+    order = np.argsort(b, kind="stable")
+    first, last = (np.searchsorted(b[order], a, side) for side in ("left", "right"))
+    times = last - first
+    pairs = int(times.sum())
+    if pairs <= PAIRS * left:
+        # the places of one k-mer fall, so that at most one of them is taken
+        places = order[np.repeat(last - 1, times) - (np.arange(pairs) - np.repeat(np.cumsum(times) - times, times))]
+        ends: list[int] = []
+        for place in places.tolist():
+            at = bisect_left(ends, place)
+            ends[at : at + 1] = [place]
+        shared = head + tail + len(ends)
+        return shared if left - 2 * shared <= limit else None
+    runs = matched_runs(a, b, limit)
+    return None if runs is None else head + tail + sum(runs)
+
+
 def similarity(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
-    """Share of k-mers in matched runs of the alignment; 0 where it must be below the threshold."""
+    """Most k-mers shared in the same order, over all k-mers of both; 0 where it must be below the threshold."""
     na, nb = len(a) - WORDS + 1, len(b) - WORDS + 1
     if na < 1 or nb < 1:
         return 0.0
     least = threshold / (1 + threshold) * (na + nb) - 1e-9  # k-mers that must be shared
     if min(na, nb) < least or len(np.intersect1d(kmers(a), kmers(b), assume_unique=True)) < least:
         return 0.0
-    limit = int(na + nb - 2 * least)  # an edit takes at least one k-mer out of either
-    runs = matched_runs(a, b, limit)
-    if runs is None:
-        return 0.0
-    shared = sum(max(0, r - WORDS + 1) for r in runs)
-    return shared / (na + nb - shared)
+    shared = in_order(plain_kmers(a), plain_kmers(b), int(na + nb - 2 * least))
+    return shared / (na + nb - shared) if shared is not None else 0.0
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
