@@ -25,6 +25,22 @@ def test_ids_are_the_librarys():
         assert np.frombuffer(packing.token_bytes(text, VOCABULARY), dtype="<u4").tolist() == encode(text)
 
 
+def test_added_tokens_are_the_librarys():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}", f"x  {end}  y z\n", f" {end} ", f"<|{end}|> it's{end}It's", "<|endoftext|", f"{end} lead"]
+    for text in texts:
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(packing.token_bytes(text, VOCABULARY), dtype="<u4").tolist() == want
+
+
+def test_a_document_with_an_added_token(make):
+    text = "a <|endoftext|> b"
+    ids = np.array([*Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids, 1], dtype="<u4")
+    (row,) = packing.pack(make([(1, text)])).collect()
+    assert (row.doc_tokens, row.length, row.ids_crc32) == (5, 5, zlib.crc32(ids.tobytes()))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 300), max_size=40))
 def test_a_plan_uses_every_piece_once(histogram):

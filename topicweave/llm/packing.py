@@ -15,10 +15,13 @@ does not grow with the number of documents.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from array import array
 from collections import Counter, defaultdict
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,17 @@ END = 1
 SWEEPS = 40
 
 
+@lru_cache(maxsize=2)
+def _added(path: str) -> tuple[re.Pattern | None, dict[str, bytes]]:
+    """A pattern that splits a text at the added tokens of the vocabulary's file for ``tokenizers``, and their ids."""
+    tokens = json.loads(Path(path).with_suffix(".json").read_text(encoding="utf-8"))["added_tokens"]
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in tokens):
+        raise ValueError("added tokens that take spaces or whole words only are not supported")
+    ids = {t["content"]: t["id"].to_bytes(4, "little") for t in tokens}
+    longest_first = sorted(ids, key=len, reverse=True)
+    return re.compile(f"({'|'.join(map(re.escape, longest_first))})") if ids else None, ids
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str):
     """Functions from a part of a text to its ids, little-endian: for the first part, and for the others.
@@ -57,10 +71,19 @@ def _encoder(path: str):
 
 
 def token_bytes(text: str, path: str) -> bytes:
-    """All ids of a text as little-endian unsigned 32-bit numbers."""
+    """All ids of a text as little-endian unsigned 32-bit numbers; added tokens are found first and have their own ids."""
+    pattern, added = _added(path)
+    between = pattern.split(text) if pattern else [text]
+    return b"".join(added[t] if i % 2 else _plain_bytes(t, path) for i, t in enumerate(between))
+
+
+def _plain_bytes(text: str, path: str) -> bytes:
+    """All ids of a text without added tokens."""
+    if not text:
+        return b""
     first, others = _encoder(path)
     parts = parts_of(text)
-    return first(parts[0]) + b"".join(map(others.__getitem__, parts[1:])) if text else b""
+    return first(parts[0]) + b"".join(map(others.__getitem__, parts[1:]))
 
 
 def pieces_of(docs: DataFrame, vocabulary: str, window: int = WINDOW) -> DataFrame:
