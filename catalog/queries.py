@@ -327,7 +327,7 @@ def knn_euclidean(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def knn_probed(spark: SparkSession, sf: str) -> DataFrame:
-    knn = neighbours.knn_graph(given.vectors(spark, sf), 15, method="ivf", nprobe=4, cell_rows=64)
+    knn = neighbours.knn_graph(given.vectors(spark, sf), 15, method="ivf", cell_rows=64)
     return knn.select("src", "dst", "rank", *six("dist"))
 
 

@@ -2,6 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import inputs as given
+from catalog import queries
 from tests import brute
 from topicweave.operators import cluster, encode, neighbours, reduce, spanning
 from topicweave.scratch import Scratch
@@ -58,6 +60,15 @@ def test_probing_finds_most_neighbours(spark, planted):
     assert exact.intersect(near).count() > 0.8 * exact.count()
 
 
+def test_probed_query_has_its_recall_without_groups(spark, monkeypatch):
+    x = np.random.default_rng(3).normal(size=(1200, 16))
+    monkeypatch.setattr(given, "vectors", lambda spark, sf: frame(spark, x))
+    got, want = {}, brute.knn(x, 15, "cosine")
+    for r in queries.knn_probed(spark, "").collect():
+        got.setdefault(r.src, set()).add(r.dst)
+    assert sum(len(got[i] & set(want[i])) for i in range(len(x))) >= 0.9 * 15 * len(x)
+
+
 def test_fuzzy_graph(spark, planted):
     knn = neighbours.knn_graph(frame(spark, planted), 9).persist()
     one = reduce.fuzzy_strengths(knn, 10)

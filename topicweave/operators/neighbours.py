@@ -32,6 +32,9 @@ from topicweave.scratch import Scratch
 # Pivots are held by every task, so their number is bounded.
 MAX_CELLS = 4096
 CELL_ROWS = 2048
+# Queries whose true neighbours decide how many cells are probed, and the recall asked for.
+RECALL_QUERIES = 256
+RECALL = 0.9
 
 
 def collapse_copies(vectors: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
@@ -183,6 +186,51 @@ def _nearest_kernel(k: int):
     return kernel
 
 
+def probes_for(cells: Cells, k: int, recall: float = RECALL, queries: int = RECALL_QUERIES) -> int:
+    """The fewest nearest cells that hold the share ``recall`` of the k nearest points.
+
+    Measured by brute force: a hash-chosen sample of ``queries`` points is compared
+    with all points.  The sample's share less two standard errors has to reach
+    ``recall``, so the number grows with the cells as far as the data need it.
+    """
+    pivots = cells.pivots
+    # another hash than that of the pivots, which have cells of their own
+    chosen = cells.points.select("id", "vec").orderBy(F.xxhash64("id", F.lit(1)), "id").limit(queries).collect()
+    q_id = np.array([row.id for row in chosen], dtype=np.int64)
+    q = np.array([row.vec for row in chosen], dtype=float).reshape(len(chosen), -1)
+
+    def compare(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            rows, ids, cell = matrix(table, "vec"), values(table, "id"), values(table, "cell")
+            squared = squared_distances(q, rows)
+            squared[q_id[:, None] == ids[None, :]] = np.inf
+            take = np.argsort(squared, axis=1, kind="stable")[:, :k]
+            i, j = np.repeat(np.arange(len(q)), take.shape[1]), take.ravel()
+            other = q_id[i] != ids[j]
+            i, j = i[other], j[other]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(q_id[i]), pa.array(ids[j]), pa.array(exact_squared(q[i], rows[j])), pa.array(cell[j].astype(np.int32))],
+                names=["src", "dst", "d2", "cell"],
+            )
+
+    found = cells.points.select("id", "vec", "cell").mapInArrow(compare, "src long, dst long, d2 double, cell int")
+    place = np.argsort(np.argsort(squared_distances(q, pivots), axis=1, kind="stable"), axis=1)
+    row_of = {one: i for i, one in enumerate(q_id.tolist())}
+    reached = np.zeros((len(q), len(pivots)))  # by query: neighbours in the cell of each place
+    for row in _best(found, k).select("src", "cell").collect():  # at most k a query
+        i = row_of[row.src]
+        reached[i, place[i, row.cell]] += 1
+    total = reached.sum(axis=1)
+    share = np.cumsum(reached[total > 0], axis=1) / total[total > 0, None]
+    if len(share) < 2:
+        return len(pivots)
+    sure = share.mean(axis=0) - 2 * share.std(axis=0, ddof=1) / np.sqrt(len(share))
+    return int(np.argmax(sure >= recall)) + 1  # all cells reach a share of 1
+
+
 def _best(found: DataFrame, k: int) -> DataFrame:
     nearest = Window.partitionBy("src").orderBy("d2", "dst")
     return found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
@@ -193,12 +241,12 @@ def nearest_points(
     k: int,
     scratch: Scratch,
     method: str = "exact",
-    nprobe: int = 8,
+    nprobe: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(src, dst, rank, d2) over distinct points; ties fall to the smaller id."""
     pivots, radius, size = cells.pivots, cells.radius, cells.size
-    least = 1 if method == "exact" else nprobe
+    least = 1 if method == "exact" else probes_for(cells, k) if nprobe is None else nprobe
 
     def probe(batches):
         for batch in batches:
@@ -268,14 +316,15 @@ def knn_graph(
     k: int,
     metric: str = "cosine",
     method: str = "exact",
-    nprobe: int = 8,
+    nprobe: int | None = None,
     cell_rows: int = CELL_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(src, dst, rank, dist): the k nearest other documents, ties to the smaller id.
 
     ``exact`` visits every cell that may hold a neighbour; ``ivf`` only the
-    ``nprobe`` nearest cells.  Equal vectors are searched once: k + 1 of the
+    ``nprobe`` nearest cells, by default as many as a recall of 0.9 takes, measured
+    on a sample (``probes_for``).  Equal vectors are searched once: k + 1 of the
     smallest ids stand for all copies, and no list needs more.
     """
     scratch = Scratch(vectors.sparkSession, "knn")
