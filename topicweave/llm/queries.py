@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topicweave.llm import bpe, exact, langid, neardup, packing, pii, quality, sharding, toxicity, vectors
+from topicweave.llm import bpe, centroids, exact, langid, licenses, neardup, packing, pii, quality, sharding, toxicity, variants, vectors
 from topicweave.llm.shared import documents
 
 
@@ -48,7 +48,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_sharding, op2_quality, op3_pii, op4_bpe, op5_language, op6_near_dedup, op7_exact_dedup, op8_toxicity, op9_embeddings, op10_packing)
+    for f in (
+        op1_sharding, op2_quality, op3_pii, op4_bpe, op5_language, op6_near_dedup, op7_exact_dedup, op8_toxicity,
+        op9_embeddings, op10_packing, op11_centroids, op12_licenses, op13_variants,
+    )
 }
