@@ -31,6 +31,8 @@ RUN = "[A-Za-zÀ-ÿ]+"
 BLOCK, STRIPE = 8192, 1 << 16
 #: Letters of a block's words looked at, summed over its positions, per segment of the index.
 LETTERS = 1 << 20
+#: Lengths of words that are counted one by one.
+LENGTHS = 64
 FOLDED = "word string, n_near long, best struct<less:long,form:string>"
 
 
@@ -55,15 +57,21 @@ def half(shorter: Column) -> Column:
 
 
 def in_cells(words: DataFrame, least_length: int, block: int = BLOCK) -> DataFrame:
-    """Every word once for each lesser length (its own and one less) and side: ``shorter, tail, bucket, word, n``."""
+    """Every word once for each lesser length (its own and one less) and side: ``shorter, tail, bucket, word, n``.
+
+    The numbers of buckets follow the counts of the lengths up to ``LENGTHS``; longer words have one number.
+    """
     length = F.length("word")
+    by_length = words.groupBy(F.least(length, F.lit(LENGTHS)).alias("length")).count().collect()
+    count = {row["length"]: row["count"] for row in by_length}
+    meet = [count.get(s, 0) + (count.get(s + 1, 0) if s < LENGTHS else 0) for s in range(1, LENGTHS + 1)]
+    buckets = F.element_at(F.array(*[F.lit(max(1, -(-n // block))) for n in meet]), F.least("shorter", F.lit(LENGTHS)))
     sides = words.select("word", "n", F.explode(F.array(length, length - 1)).alias("shorter")).where(F.col("shorter") >= least_length)
     sides = sides.select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("tail"))
     size = half(F.col("shorter"))
     key = F.when(F.col("tail"), F.substring("word", -size, size)).otherwise(F.substring("word", F.lit(1), size))
-    buckets = sides.groupBy("shorter", "tail").agg(F.ceil(F.count(F.lit(1)) / block).cast("long").alias("buckets"))
-    bucket = F.pmod(F.xxhash64(key), F.col("buckets"))
-    return sides.join(buckets, ["shorter", "tail"]).select("shorter", "tail", bucket.alias("bucket"), "word", "n")
+    bucket = F.pmod(F.xxhash64(key), buckets)
+    return sides.select("shorter", "tail", bucket.alias("bucket"), "word", "n")
 
 
 class Index:
