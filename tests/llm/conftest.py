@@ -12,7 +12,7 @@ def make(spark):
         full = [(r[0], r[1], r[2] if len(r) > 2 else None, None, None) for r in rows]
         docs = spark.createDataFrame(full, COLUMNS)
         if clash:
-            for name in ("kept", "score", "digest", "row", "shard", "size", "length", "words", "base", "label", "_bucket", "rank"):
+            for name in ("kept", "score", "digest", "shard", "size", "length", "words", "base", "label", "_bucket", "rank", "_locator", "_metadata", "_spans", "_place", "_n", "_row", "row", "hits", "block"):
                 docs = docs.withColumn(name, F.lit("x"))
         return docs
 

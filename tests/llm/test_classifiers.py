@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -85,3 +86,15 @@ def test_held_out_accuracy(spark, module, column, divisor, out, least):
     held = [r for r in got if zlib.crc32(str(r.doc_id).encode()) % divisor == out]
     assert held and all(r.held_out for r in held)
     assert sum(r.predicted == r[column] for r in held) / len(held) > least
+
+
+@pytest.mark.parametrize("of", [quality, toxicity])
+def test_a_class_of_long_texts_only_is_learnt(spark, make, of):
+    rnd = random.Random(9)
+    plain = [" ".join(f"word{rnd.randrange(300)}" for _ in range(50)) for _ in range(60)]
+    other = [" ".join(rnd.choice(["###", "bad$", "!!!"]) for _ in range(12_000)) for _ in range(30)]
+    rows = [(i, t) for i, t in enumerate(plain)] + [(1000 + i, t) for i, t in enumerate(other)]
+    labels = [(i, int(i < 1000), int(i >= 1000)) for i, _ in rows] + [(5000 + i, 0, 0) for i in range(500)]  # the last have no document
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = of.score_documents(make(rows), labels).collect()
+    assert all(r.predicted == ((r.doc_id < 1000) if of is quality else (r.doc_id >= 1000)) for r in got)

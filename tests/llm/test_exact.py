@@ -1,7 +1,6 @@
 from pyspark.sql import functions as F
 
-from topicweave.llm.exact import deduplicate, located, normalised, sha256, without
-from topicweave.scratch import Scratch
+from topicweave.llm.exact import deduplicate, keep_one, normalised, sha256
 
 from .conftest import collected
 
@@ -50,9 +49,20 @@ def test_many_batches_give_the_state_of_one(make):
     assert collected(deduplicate(docs, batches=6), "doc_id", "keep_id") == collected(deduplicate(docs, batches=1), "doc_id", "keep_id")
 
 
-def test_empty_table_and_removal(spark, make):
+def test_empty_table_and_removal(spark, make, tmp_path):
     assert deduplicate(make([])).count() == 0
-    rows = located(Scratch(spark, "test"), make([(1, "a"), (2, "a"), (3, "b")]))
-    left = without(rows, deduplicate(rows).where("not kept"))
-    assert sorted(r.doc_id for r in left.collect()) == [2, 3]
-    assert "_locator" not in left.columns and normalised(F.col("text")) is not None
+    docs = make([(1, "a"), (2, "a"), (3, "b"), (3, "b")])
+    docs.write.parquet(f"{tmp_path}/docs")
+    for rows in (docs, spark.read.parquet(f"{tmp_path}/docs")):
+        left = keep_one(rows)
+        assert sorted(r.doc_id for r in left.collect()) == [2, 3]
+        assert left.columns == docs.columns and normalised(F.col("text")) is not None
+
+
+def test_columns_that_look_like_places_are_not_taken_for_them(spark, make, tmp_path):
+    """A constant ``_locator`` and a ``_metadata`` of the table's own."""
+    rows = [(1, "a"), (2, "a"), (3, "b")]
+    make(rows).write.parquet(f"{tmp_path}/docs")
+    for docs in (make(rows), spark.read.parquet(f"{tmp_path}/docs")):
+        assert {"_locator", "_metadata"} < set(docs.columns)
+        assert collected(deduplicate(docs), "doc_id", "keep_id", "group_size") == [(1, 2, 2), (2, 2, 2), (3, 3, 1)]

@@ -70,3 +70,11 @@ def test_held_out_accuracy(spark):
     held = [r for r in got if zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
     assert held and all(r.held_out for r in held)
     assert sum(r.lang == r.lang_pred for r in held) / len(held) > 0.95
+
+
+def test_a_language_of_long_texts_only_is_learnt(make):
+    german = "der schnelle braune Fuchs springt ueber den faulen Hund und freut sich sehr darueber "
+    english = "the quick brown fox jumps over the lazy dog and is quite happy about it all "
+    rows = [(i, german * 700, "de") for i in range(20)] + [(100 + i, english * 3, "en") for i in range(20)]
+    got = langid.predict(make(rows)).collect()
+    assert all(r.lang_pred == ("de" if r.doc_id < 100 else "en") for r in got)

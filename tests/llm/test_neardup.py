@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+import regex
 
 from topicweave.llm import neardup
 
@@ -11,7 +12,8 @@ from .conftest import collected
 
 
 def words(text):
-    return re.findall(r"[^\W_]+", (text or "").lower())
+    own = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
+    return regex.findall(rf"(?V1)[{own}&&\p{{L}}]\p{{M}}*|[[\p{{L}}\p{{M}}\p{{N}}]--[{own}&&\p{{L}}]]+", (text or "").lower())
 
 
 def hashes(text):
@@ -217,3 +219,18 @@ def test_edges(make, edge_rows):
     assert by_id[1] == by_id[5] == 1 and by_id[2] == by_id[3] == 2 and by_id[4] == 4 and by_id[7] == 7
     assert sum(r.kept for r in got) == len({r.class_id for r in got})
     assert neardup.near_duplicates(make([])).count() == 0
+
+
+def test_scripts_without_spaces_and_marks(make, spark):
+    rnd = random.Random(11)
+    chinese = "".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(224))
+    thai = "".join(chr(0x0E01 + rnd.randrange(40)) + rnd.choice(["", "\u0E34", "\u0E48"]) for _ in range(224))
+    rows = []
+    for i, text in enumerate((chinese, thai)):
+        rows += [(10 * i + 1, text), (10 * i + 2, text[:100] + "x" + text[101:])]
+    rows += [(50, "".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(224))), (60, "cafe\u0301 two three four five"), (61, "cafe two three four five")]
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(make(rows)).collect()}
+    assert got == {1: 1, 2: 1, 11: 11, 12: 11, 50: 50, 60: 60, 61: 61}
+    one = spark.createDataFrame([(t,) for _, t in rows], "text string").select("text", neardup.words_of("text").alias("words"))
+    for r in one.collect():
+        assert r.words == words(r.text)

@@ -89,3 +89,27 @@ def test_masking(make):
     docs = make([(1, "a me@x.y b 1.1.1.1"), (2, "none"), (3, None)])
     out = docs.withColumn("out", pii.masked(F.col("text"), pii.spans_of(pii.base_matches(F.coalesce("text", F.lit(""))))))
     assert [r.out for r in out.orderBy("doc_id").collect()] == ["a [email] b [ip]", "none", None]
+
+
+def test_a_value_is_no_identifier_where_its_context_says_otherwise(make):
+    seeds = [(i, f"you can reach the office at +1 743 555 {1000 + i} today") for i in range(8)]
+    other = [(100 + i, f"part number 4711 is in stock at shelf {i}") for i in range(50)]
+    rows = seeds + other + [(200, "you can reach the office at 4711 today"), (201, "you can reach the office at 98765 today"), (202, "ask 98765 again")]
+    got = {r.doc_id: r.spans for r in pii.summary(make(rows)).collect()}
+    assert not any(got[100 + i] for i in range(50))
+    assert got[200] == "phone:28:32" and got[201] == "phone:28:33"
+
+
+def test_numbers_of_several_tokens_are_one_candidate(make):
+    seeds = [(i, f"you can reach the office at +1 743 555 {1000 + i} today") for i in range(8)]
+    rows = seeds + [(100, "you can reach the office at (017) 555-7713 today"), (101, "you can reach the office at 555 123 4567 today")]
+    got = {r.doc_id: r.spans for r in pii.summary(make(rows)).collect()}
+    assert got[100] == "phone:28:42" and got[101] == "phone:28:40"
+
+
+def test_masking_keeps_columns_and_rows(make, spark, tmp_path):
+    make([(1, "me@x.org"), (2, None), (3, "plain"), (3, "plain")]).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    out = pii.mask(docs)
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text, r.n_chars) for r in out.collect()), key=str) == [(1, "[email]", 7), (2, None, None), (3, "plain", 5), (3, "plain", 5)]

@@ -20,9 +20,9 @@ def folder(spark, make, tmp_path_factory):
         if i % 6 == 0:
             rows += [(100 + i, text.upper()), (200 + i, changed(rnd, text, 1)), (300 + i, text + " more")]
         rows.append((400 + i, " ".join(rnd.choice(["!!!", "###", "$$$"]) for _ in range(30))))
-    rows += [(None, rows[0][1]), (500, None), (501, "")]
+    rows += [(None, rows[0][1]), (500, None), (501, ""), (502, " ".join(f"w{rnd.randrange(900)}" for _ in range(30_000)))]
     path = str(tmp_path_factory.mktemp("tables"))
-    make(rows, clash=False).write.parquet(f"{path}/documents.parquet")
+    make(rows).write.parquet(f"{path}/documents.parquet")
     labels = [(i, int(i < 400), 0) for i, _ in rows if i is not None and i % 2 == 0 and i < 500]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
     return path

@@ -11,6 +11,7 @@ grouped by the text itself.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -77,7 +78,7 @@ def run_stream(scratch: Scratch, records: DataFrame, batches: int) -> DataFrame:
 
 
 def deduplicate(
-    docs: DataFrame, digest: Callable[[Column], Column] = sha256, batches: int = 4
+    docs: DataFrame, digest: Callable[[Column], Column] = sha256, batches: int = 4, place: str | None = None
 ) -> DataFrame:
     """For every row: ``doc_id, keep_id, group_size, kept, text_sha256`` and its ``_locator``.
 
@@ -86,10 +87,11 @@ def deduplicate(
     in the files decides, so exactly one row of a group stays.  A null text is
     an empty text.  An empty table gives no rows.  ``docs`` should be read from
     files; their path and row number are the content locator.  Any other frame
-    is written to the scratch folder first.
+    is written to the scratch folder first.  ``place`` names the column where
+    :func:`located` has put the locators already; no other column is taken for one.
     """
     scratch = Scratch(docs.sparkSession, "exact")
-    rows = located(scratch, docs)
+    rows = narrow(scratch, docs, place)
     text = normalised(F.col("text"))
     row = F.struct("doc_id", "_locator")
     keyed = rows.select(row.alias("row"), sha256(text).alias("text_sha256"), digest(text).alias("digest"))
@@ -127,20 +129,36 @@ def deduplicate(
     )
 
 
-def located(scratch: Scratch, docs: DataFrame) -> DataFrame:
-    """The rows with the file and row number they lie at as ``_locator``; unchanged if they have one.
+def located(scratch: Scratch, docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with the file and row number they lie at in one more column, and its name, which is new in every call.
 
     Only rows read from files, and selected or filtered, have a place; any other frame is written first.
     """
-    if "_locator" in docs.columns:
-        return docs
-    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    name = f"_place_{uuid.uuid4().hex}"
+
+    def placed(rows: DataFrame) -> DataFrame:
+        lies = rows.metadataColumn("_metadata")  # the hidden one, whatever the table's columns are called
+        return rows.withColumn(name, F.struct(lies["file_path"].alias("file"), lies["row_index"].alias("at")))
+
     try:
-        return docs.withColumn("_locator", place)
+        return placed(docs), name
     except AnalysisException:
-        return scratch.table(docs, "docs").withColumn("_locator", place)
+        return placed(scratch.table(docs, "docs")), name
+
+
+def narrow(scratch: Scratch, docs: DataFrame, place: str | None) -> DataFrame:
+    """``doc_id, text, _locator`` and no other column, from rows whose locators are in ``place`` or in no column yet."""
+    if place is None:
+        docs, place = located(scratch, docs)
+    return docs.select("doc_id", "text", F.col(place).alias("_locator"))
+
+
+def without(rows: DataFrame, place: str, dropped: DataFrame) -> DataFrame:
+    """The rows but for those whose locator is among the ``_locator`` of the ``dropped``."""
+    return rows.join(dropped.select(F.col("_locator").alias(place)), place, "left_anti").drop(place)
 
 
-def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The located ``rows`` but for those whose ``_locator`` is among the ``dropped``."""
-    return rows.join(dropped.select("_locator"), "_locator", "left_anti").drop("_locator")
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows, unchanged, that :func:`deduplicate` keeps."""
+    rows, place = located(Scratch(docs.sparkSession, "exact"), docs)
+    return without(rows, place, deduplicate(rows, place=place).where("not kept"))

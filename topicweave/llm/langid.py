@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicweave.llm.shared import apply_batches, remainder, sample_rows, whole
+from topicweave.llm.shared import apply_batches, piece, remainder, sample_rows, whole
 
 DEPTH = 3
 PAD = b"\n" * DEPTH
@@ -135,14 +135,14 @@ def predict(
 ) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for every row.
 
-    The trees learn from at most ``per_language`` texts of each language, of at
-    most ``max_chars`` characters, among rows whose id's checksum leaves one of
+    The trees learn from at most ``per_language`` texts of each language, and at
+    most ``max_chars`` characters of a text, among rows whose id's checksum leaves one of
     ``learn_remainders``.  A null text, one without a letter, and any text where
     nothing could be learnt gives ``und`` with score 0.  Ties go to the first
     language by name.  An empty table gives no rows.
     """
     learn = remainder("doc_id", divisor).isin(*learn_remainders)
-    usable = docs.where(learn & F.col("text").isNotNull() & (F.length("text") <= max_chars)).select("doc_id", "lang", "text")
+    usable = docs.where(learn & F.col("text").isNotNull()).select("doc_id", "lang", piece(max_chars).alias("text"))
     texts: dict[str, list[str]] = {}
     for lang, text in sample_rows(usable, "lang", per_language, ["lang", "text"]):
         texts.setdefault(lang, []).append(text)

@@ -27,10 +27,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicweave.llm.exact import located
+from topicweave.llm.exact import located, narrow, without
 from topicweave.llm.shared import apply_batches, components, whole
 from topicweave.scratch import Scratch
 
+#: Letters of scripts that are written without spaces.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}&&\p{L}]"
 #: Words of a k-mer, sketches of a document, and k-mers of a sketch.
 WORDS, SKETCHES, MINIMA = 5, 32, 5
 #: Documents of at most so many k-mers are also candidates by each single one.
@@ -44,9 +46,11 @@ PAIRS = 4
 _MIX = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def words_of(text: Column) -> Column:
-    """Runs of letters and digits in lower case."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+def words_of(text: Column | str) -> Column:
+    """Runs of letters, their marks and digits in lower case; each character of a script without spaces is a word."""
+    lower = F.lower(text)
+    apart = F.when(lower.rlike(UNSPACED), F.regexp_replace(lower, rf"({UNSPACED}\p{{M}}*+)", " $1 ")).otherwise(lower)
+    return F.filter(F.split(apart, r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -215,7 +219,7 @@ def similarity(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
     return shared / (na + nb - shared) if shared is not None else 0.0
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, place: str | None = None) -> DataFrame:
     """``doc_id, class_id, class_size, kept`` and ``_locator`` for every row.
 
     A class is all documents linked by a similarity of ``threshold`` or more,
@@ -223,10 +227,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     row of that id stays.  Texts of equal words are alike, as are equal texts
     without any word; a text of fewer than five words is like no other.  A null
     text is empty.  Null ids come last; a class without any id has a null one.
-    An empty table gives no rows.
+    An empty table gives no rows.  Two blocks that change places leave fewer k-mers
+    in the same order and may thus end a likeness.  ``place`` names the column of
+    locators, as in :func:`topicweave.llm.exact.deduplicate`.
     """
     scratch = Scratch(docs.sparkSession, "near")
-    rows = located(scratch, docs).select("doc_id", whole().alias("text"), "_locator")
+    rows = narrow(scratch, docs, place).withColumn("text", whole())
     words = words_of(F.col("text"))
     digest = F.md5(F.when(F.size("words") > 0, F.array_join("words", " ")).otherwise(F.concat(F.lit("\n"), "text")).cast("binary"))
     split = rows.withColumn("words", words).select("doc_id", "_locator", digest.alias("digest"), F.transform("words", lambda w: F.xxhash64(w)).alias("words"))
@@ -293,6 +299,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     )
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows, unchanged, that :func:`near_duplicates` keeps."""
+    rows, place = located(Scratch(docs.sparkSession, "near"), docs)
+    return without(rows, place, near_duplicates(rows, place=place).where("not kept"))
+
+
 def _aligned(pairs: DataFrame, content: DataFrame, threshold: float) -> DataFrame:
     """The pairs whose alignment has the similarity."""
     a = content.select(F.col("node").alias("src"), F.col("words").alias("a"))

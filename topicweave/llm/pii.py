@@ -10,7 +10,9 @@ confidence for a kind is the share of its distinct values known to be of that
 kind, weighed by their own scores; patterns with enough known values and
 confidence are kept, and a candidate's score is the chance that not all of its
 kept patterns are wrong.  Candidates with a high score count as known in the next
-round, and after the last one all of their occurrences are spans as well.
+round, weighed by the share of all their patterns that is kept.  After the last
+round an occurrence of such a value is a span where its own context is kept, and
+elsewhere only if half of the value's occurrences stand in kept contexts.
 
 Everything is DataFrame expressions.  Edges of the graph are distinct before they
 are joined, and scores are sums with partial aggregation, so common words are no
@@ -22,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicweave.llm.exact import located
+from topicweave.llm.exact import located, narrow
 from topicweave.llm.shared import whole
 from topicweave.scratch import Scratch
 
@@ -39,8 +41,11 @@ PATTERNS = {
 #: What a text must hold for a pattern to be tried.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][ -]?[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}
 PART = r"^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])\.0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])\.0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])\.0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
-#: A token with an at sign or at least four digits.
-CANDIDATE = r"(?<!\S)(?:(?:[^\s0-9]*+[0-9]){4}|[^\s@]*+@)\S*+"
+#: A number that ends where its token does, but for signs.
+NUMBER = r"[(]?[0-9][0-9().-]*+(?=[,;:!?\"']*+(?:\s|\z))"
+#: Numbers one space apart, or a token with an at sign or at least four digits.
+CANDIDATE = rf"(?<!\S)(?:{NUMBER}(?: {NUMBER})++|(?:(?:[^\s0-9]*+[0-9]){{4}}|[^\s@]*+@)\S*+)"
+LEAST_DIGITS = 4
 SPAN = "struct<start:int,kind:int,end:int,value:string>"
 MATCH = "struct<start:int,end:int,value:string,before:string,after:string>"
 #: Characters of context looked at.
@@ -162,21 +167,34 @@ def spans_of(matches: Column) -> Column:
     ).cast(f"array<{SPAN}>")
 
 
+def _candidate(value: Column) -> Column:
+    return value.contains("@") | (F.length(digits(value)) >= LEAST_DIGITS)
+
+
 def find(
-    docs: DataFrame, rounds: int = 3, support: float = 3.0, confidence: float = 0.7, score: float = 0.8
+    docs: DataFrame,
+    rounds: int = 3,
+    support: float = 3.0,
+    confidence: float = 0.7,
+    score: float = 0.8,
+    usually: float = 0.5,
+    place: str | None = None,
 ) -> DataFrame:
     """``doc_id, _locator, base, spans`` for every row; the spans hold the base ones and those added.
 
+    ``usually`` is the share of a value's occurrences in kept contexts from which on the
+    others are spans too; ``place`` names the column of locators, as in
+    :func:`topicweave.llm.exact.deduplicate`.
     A null text is empty.  An added span never overlaps a base span of its row
     and has the kind its patterns stand for.  Ties between kinds go to the first
     listed.  Rows that repeat an id stay apart.  An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession, "pii")
-    rows = located(scratch, docs).select("doc_id", "_locator", whole().alias("text"))
+    rows = narrow(scratch, docs, place).withColumn("text", whole())
     told = rows.withColumn("known", base_matches(F.col("text"))).withColumn("tokens", places(F.col("text"), CANDIDATE, "[0-9@]"))
     taken = F.transform("known", lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end")))
     open_ = F.transform(
-        F.filter("tokens", lambda t: ~F.exists("taken", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"]))),
+        F.filter("tokens", lambda t: _candidate(t["value"]) & ~F.exists("taken", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"]))),
         lambda t: F.struct(
             t["start"].alias("start"), F.lit(-1).alias("kind"), t["end"].alias("end"), t["value"].alias("value"),
             t["before"].alias("before"), t["after"].alias("after"),
@@ -196,6 +214,8 @@ def find(
     edges = scratch.table(edges, "edges")
     known = edges.where("kind >= 0").select("value", "kind").groupBy("value").agg(F.min("kind").alias("kind")).withColumn("score", F.lit(1.0))
     known = seeds = scratch.table(known, "known")
+    unknown = edges.where("kind < 0").select("pattern", "value").join(seeds.select("value"), "value", "left_anti")
+    kept = None
     for _ in range(rounds):
         weighed = edges.select("pattern", "value").join(known, "value", "left")
         sums = [F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0.0)).alias(f"s{k}") for k in range(len(KINDS))]
@@ -204,16 +224,34 @@ def find(
         kind = F.coalesce(*[F.when(F.col(f"s{k}") == most, F.lit(k)) for k in range(len(KINDS))])
         patterns = patterns.select("pattern", kind.alias("kind"), most.alias("sure"), (most / F.col("values")).alias("confidence"))
         patterns = patterns.where((F.col("sure") >= support) & (F.col("confidence") >= confidence))
-        unknown = edges.where("kind < 0").select("pattern", "value").join(seeds.select("value"), "value", "left_anti")
-        doubt = F.sum(F.log(1 - F.least(F.col("confidence"), F.lit(0.99))))
-        scored = unknown.join(patterns, "pattern").groupBy("value", "kind").agg((1 - F.exp(doubt)).alias("score"))
-        best = scored.groupBy("value").agg(F.max(F.struct("score", (-F.col("kind")).alias("less"))).alias("best"))
-        new = best.select("value", (-F.col("best.less")).alias("kind"), F.col("best.score").alias("score")).where(F.col("score") >= score)
-        known = scratch.table(seeds.union(new), "known")
+        kept = scratch.table(patterns.select("pattern", "kind", "confidence"), "patterns", replaces=kept)
+        doubt = F.log(1 - F.least(F.col("confidence"), F.lit(0.99)))
+        of_kind = [
+            F.struct(
+                (1 - F.exp(F.sum(F.when(F.col("kind") == k, doubt).otherwise(0.0)))).alias("score"),
+                F.lit(-k).alias("less"),
+                (F.count_if(F.col("kind") == k) / F.count(F.lit(1))).alias("share"),
+            )
+            for k in range(len(KINDS))
+        ]
+        best = unknown.join(kept, "pattern", "left").groupBy("value").agg(F.greatest(*of_kind).alias("best"))
+        new = best.where(F.col("best.score") >= score).select(
+            "value", (-F.col("best.less")).alias("kind"), (F.col("best.score") * F.col("best.share")).alias("score")
+        )
+        after = scratch.table(seeds.union(new), "known")
+        if known is not seeds:
+            scratch.drop(known)
+        known = after
     learnt = known.join(seeds.select("value"), "value", "left_anti").select("value", F.col("kind").alias("as_kind"))
-    added = seen.where("kind < 0").select("_locator", "start", "end", "value").join(learnt, "value")
+    met = seen.where("kind < 0").select("_locator", "start", "end", "value", "patterns").join(learnt, "value")
+    vouched = kept.select("pattern", F.col("kind").alias("as_kind"), F.lit(1).alias("vouched"))
+    met = met.withColumn("pattern", F.explode("patterns")).join(vouched, ["pattern", "as_kind"], "left")
+    met = met.groupBy("_locator", "start", "end", "value", "as_kind").agg(F.max(F.coalesce("vouched", F.lit(0))).alias("vouched"))
+    met = scratch.table(met, "met")
+    usual = met.groupBy("value").agg((F.avg("vouched") >= usually).alias("usual"))
+    met = met.join(usual, "value").where("vouched = 1 OR usual")
     span = F.struct("start", F.col("as_kind").alias("kind"), "end", "value").cast(SPAN)
-    added = added.groupBy("_locator").agg(F.collect_list(span).alias("added"))  # no more than one text's own tokens
+    added = met.groupBy("_locator").agg(F.collect_list(span).alias("added"))  # no more than one text's own tokens
     both = found.join(added, "_locator", "left")
     spans = F.array_sort(F.concat("base", F.coalesce("added", F.array().cast(f"array<{SPAN}>"))))
     return both.select("doc_id", "_locator", "base", spans.alias("spans"))
@@ -257,3 +295,15 @@ def masked(text: Column, spans: Column) -> Column:
         return F.concat(F.array_join(seen["out"], ""), F.substring(text, seen["at"] + 1, F.char_length(text)))
 
     return F.when(F.size(spans) > 0, F.aggregate(spans, begin, put, end)).otherwise(text)
+
+
+def mask(docs: DataFrame) -> DataFrame:
+    """The rows with every span of :func:`find` in their text replaced; ``n_chars``, where there is one, follows."""
+    rows, place = located(Scratch(docs.sparkSession, "mask"), docs)
+    own = f"{place}_spans"
+    spans = find(rows, place=place).where(F.size("spans") > 0).select(F.col("_locator").alias(place), F.col("spans").alias(own))
+    text = masked(F.col("text"), F.coalesce(own, F.array().cast(f"array<{SPAN}>")))
+    out = rows.join(spans, place, "left").withColumn("text", text)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

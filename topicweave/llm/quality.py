@@ -160,8 +160,8 @@ def score_documents(
     """The rows of ``docs`` by ``doc_id`` with ``held_out, score, predicted``.
 
     Labels are learnt from rows whose id's checksum does not leave ``held_out``:
-    at most ``per_class`` of each class, with texts of at most ``max_chars``
-    characters.  A null text counts as empty; a text without a known term gets
+    at most ``per_class`` of each class, and at most ``max_chars`` characters of
+    a text.  A label whose document is missing counts for nothing.  A null text counts as empty; a text without a known term gets
     the share of label 1 among all labelled rows, and without labels 0.5.  Rows
     that repeat an id are scored one by one.  An empty table gives no rows.
     """

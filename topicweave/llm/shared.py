@@ -27,6 +27,12 @@ def whole(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def piece(most: int) -> Column:
+    """The whole text for learning, or ``most`` characters of a longer one from a place that a hash of the id chooses."""
+    at = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.length(whole()) - most + 1) + 1
+    return F.when(F.length(whole()) > most, F.substring(whole(), at.cast("int"), F.lit(most))).otherwise(whole())
+
+
 def apply_batches(
     df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
 ) -> DataFrame:
@@ -144,19 +150,20 @@ def labelled_texts(
 ) -> tuple[list[tuple[str, int]], dict[int, int]]:
     """A bounded sample of labelled texts for fitting, and the labelled rows of each class.
 
-    At most ``per_class`` labels of each value, from rows where ``learn`` holds,
-    with texts of at most ``max_chars`` characters.  An id that repeats among the
-    documents gives its largest text once.
+    At most ``per_class`` labels of each value, from rows where ``learn`` holds and
+    whose document exists; of a text over ``max_chars`` characters as :func:`piece`
+    has it.  An id that repeats among the documents gives its largest text once;
+    an id labelled with both values counts for both.
     """
     usable = labels.where(learn & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("label"))
-    usable = usable.where(F.col("label").isin(0, 1))
+    usable = usable.where(F.col("label").isin(0, 1)).join(docs.select("doc_id"), "doc_id", "left_semi")
     counts = {int(k): n for k, n in usable.groupBy("label").count().collect()}
     chosen = sample_rows(usable, "label", per_class, ["doc_id", "label"])
     if not chosen:
         return [], counts
     spark = docs.sparkSession
     wanted = F.broadcast(spark.createDataFrame(chosen, "doc_id long, label int"))  # per_class rows a class
-    texts = docs.select("doc_id", whole().alias("text")).where(F.length("text") <= max_chars)
+    texts = docs.select("doc_id", piece(max_chars).alias("text"))
     one = texts.join(F.broadcast(wanted.select("doc_id").distinct()), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"))
     rows = one.join(wanted, "doc_id").orderBy("doc_id", "label").select("text", "label").collect()
     return [(r[0], r[1]) for r in rows], counts

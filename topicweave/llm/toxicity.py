@@ -130,8 +130,8 @@ def score_documents(
     """``doc_id, held_out, score, predicted`` for every row.
 
     Labels are learnt from rows whose id's checksum does not leave ``held_out``:
-    at most ``per_class`` of each class, with texts of at most ``max_chars``
-    characters.  A null text counts as empty and scores as the bias alone.
+    at most ``per_class`` of each class, and at most ``max_chars`` characters of
+    a text.  A label whose document is missing counts for nothing.  A null text counts as empty and scores as the bias alone.
     Without any labels the score is 0.5.  Rows that repeat an id are scored one
     by one.  An empty table gives no rows.
     """
