@@ -8,43 +8,37 @@ as the operators' docstrings say.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from topicweave.llm import exact, neardup, packing, pii, quality
-from topicweave.llm.exact import located, without
 from topicweave.scratch import Scratch
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the quality classifier rejects."""
+    """Without the documents that the quality classifier rejects.
+
+    A null text is scored as an empty one; without labels every document scores
+    0.5 and is rejected.  Each row is judged on its own, so repeated ids are no matter.
+    """
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts: the largest id."""
-    rows = located(Scratch(spark, "stage"), docs)
-    return without(rows, exact.deduplicate(rows).where("not kept"))
+    """One row of each group of equal texts: the largest id, of equal ids the last in the files; null is empty."""
+    return exact.keep_one(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near-duplicates: the smallest id."""
-    rows = located(Scratch(spark, "stage"), docs)
-    return without(rows, neardup.near_duplicates(rows).where("not kept"))
+    """One row of each class of near-duplicates: the smallest id, of equal ids the first in the files; null is empty."""
+    return neardup.keep_one(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row, with the personal data in its text replaced by its kind."""
-    rows = located(Scratch(spark, "stage"), docs)
-    spans = pii.find(rows).where(F.size("spans") > 0).select("_locator", F.col("spans").alias("_spans"))
-    text = pii.masked(F.col("text"), F.coalesce("_spans", F.array().cast(f"array<{pii.SPAN}>")))
-    out = rows.join(spans, "_locator", "left").withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    """Every row, with the personal data in its text replaced by its kind; null stays null."""
+    return pii.mask(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of at most 2048 tokens."""
+    """The pieces of all documents in sequences of at most 2048 tokens; a null text has its end token only."""
     return packing.pack(docs)
 
 
@@ -61,9 +55,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces; every stage but the last is written to the scratch folder and read again."""
+    """The packed pieces; every stage but the last is written to the scratch folder, which replaces its predecessor's."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scratch = Scratch(spark, "pipeline")
+    before = None
     for name, stage in STAGES[:-1]:
-        docs = scratch.table(stage(spark, docs, sf_dir), name)
+        before = docs = scratch.table(stage(spark, docs, sf_dir), name, replaces=before)
     return STAGES[-1][1](spark, docs, sf_dir)
