@@ -15,7 +15,7 @@ from topicweave.operators.blocks import (
     BLOCK_ROWS, STRIPE_ROWS, block_join, matrix, slack, squared_distances, values,
 )
 from topicweave.operators.hierarchy import (
-    MAX_CORES, NOISE, cluster_members, condensed_hierarchy, gather_cores,
+    NOISE, cluster_members, condensed_hierarchy, gather_cores,
 )
 from topicweave.operators.neighbours import (
     CELL_ROWS, as_distance, assign_cells, collapse_copies, comparable, nearest_points,
@@ -25,6 +25,9 @@ from topicweave.operators.spanning import (
 )
 from topicweave.scratch import Scratch
 
+# topics whose moments a task of the silhouette may hold
+MAX_CORES = 200_000
+
 # neighbours listed beyond min_samples, so that most lists outlast the first round
 SPARE_NEIGHBOURS = 5
 
@@ -74,11 +77,11 @@ def cluster_grid(
     gathered, links = gather_cores(
         runs(forest), weighted, sizes.select("run", "min_cluster_size"), scratch
     )
-    trees, placed = condensed_hierarchy(gathered, links, scratch)
+    nodes, placed = condensed_hierarchy(gathered, links, scratch)
     methods: dict[int, list] = {i: [] for i in number.values()}
     for trial, size, samples, method in trials:
         methods[number[size, samples]].append((trial, method))
-    clusters = cluster_members(trees, placed, methods)
+    clusters = cluster_members(nodes, placed, methods, scratch)
     if members is not None:
         clusters = clusters.join(members, "id").select("trial", "doc_id", "cluster")
     else:

@@ -6,24 +6,20 @@ n / min_cluster_size of them.  The points are therefore gathered into *cores*,
 the places where a part first reaches that size, in rounds that at least halve
 the number of open parts.  For each point the rounds record the edge at which
 it joins a part of that size.  The result equals the full tree's.
+
+The tree of cores is a table of nodes as well, for all runs of a grid at once: it is
+built, climbed and folded in rounds of joins, and nothing of it reaches the driver.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicweave.operators.spanning import EDGE, both_ways, find_roots
+from topicweave.operators.dendrogram import fold_up, jumps, last_below, merge_tree, topmost
+from topicweave.operators.spanning import EDGE, find_roots
 from topicweave.scratch import Scratch
 
-# The tree of cores is held by the driver and every task, so its size is
-# checked; a topic list of this length has left the realm of use.
-MAX_CORES = 200_000
-
 NOISE = -1
 
 
@@ -147,184 +143,103 @@ def gather_cores(
     return scratch.table(gathered, "gathered"), edges.select("run", "a", "b", *EDGE)
 
 
-@dataclass
-class CoreTree:
-    """The merges of one run's cores, as arrays over the nodes (cores first)."""
-
-    cores: np.ndarray  # part ids, sorted
-    merges: np.ndarray  # structured (w, src, dst), in order
-    parent: np.ndarray
-    top: np.ndarray  # index of the merge that ends the node
-    birth: np.ndarray  # 1 / distance of that merge
-    children: list = field(default_factory=list)
-
-
-def build_tree(cores: np.ndarray, links: np.ndarray) -> CoreTree:
-    """Merge cores along their edges in order; parts without edge meet at infinity."""
-    cores = np.sort(cores)
-    links = links[np.lexsort((links["dst"], links["src"], links["w"]))]
-    n, m = len(cores), len(links)
-    n_roots = n - m
-    n_nodes = n + m + (1 if n_roots > 1 else 0)
-    parent = np.arange(n_nodes)
-    top = np.full(n_nodes, m)
-    birth = np.zeros(n_nodes)
-    children: list = [()] * n_nodes
-    head = np.arange(n)  # union-find over cores
-    node = np.arange(n)
-
-    def find(x: int) -> int:
-        while head[x] != x:
-            head[x] = head[head[x]]
-            x = head[x]
-        return x
-
-    first, second = np.searchsorted(cores, links["a"]), np.searchsorted(cores, links["b"])
-    for i in range(m):
-        x, y = find(first[i]), find(second[i])
-        new = n + i
-        children[new] = (int(node[x]), int(node[y]))
-        for child in children[new]:
-            parent[child], top[child] = new, i
-            birth[child] = 1.0 / links["w"][i] if links["w"][i] > 0 else np.inf
-        head[y] = x
-        node[x] = new
-    if n_roots > 1:
-        new = n_nodes - 1
-        children[new] = tuple(int(v) for v in range(n_nodes - 1) if parent[v] == v)
-        for child in children[new]:
-            parent[child] = new
-    return CoreTree(cores, links, parent, top, birth, children)
-
+def density(edge):
+    """1 / distance, infinite at distance 0; 0 where there is no edge."""
+    w = edge.getField("w")
+    return F.when(w.isNull(), 0.0).when(w == 0, float("inf")).otherwise(1 / F.when(w != 0, w))
 
-def node_of(tree: CoreTree, part: np.ndarray, w, src, dst) -> np.ndarray:
-    """The node each point joins: its core's ancestor that is alive at the point's edge."""
-    m = len(tree.merges)
-    every = [
-        np.concatenate([mine, tree.merges[name]]) for mine, name in ((dst, "dst"), (src, "src"), (w, "w"))
-    ]
-    order = np.lexsort(every)
-    is_merge = order >= len(part)
-    before = np.empty(len(order), dtype=np.int64)
-    before[order] = np.cumsum(is_merge) - is_merge
-    rank = before[: len(part)]
-    node = np.searchsorted(tree.cores, part)
-    root = tree.parent == np.arange(len(tree.parent))
-    # doubling: jump as long as the node reached ended before the point's edge
-    jumps = [tree.parent]
-    while len(jumps) < max(1, int(np.ceil(np.log2(m + 2))) + 1):
-        jumps.append(jumps[-1][jumps[-1]])
-    # a node is passed when its end lies before the edge; find the last passed one
-    passed = (tree.top[node] < rank) & ~root[node]
-    at = node.copy()
-    for jump in reversed(jumps):
-        ahead = jump[at]
-        go = passed & (tree.top[ahead] < rank) & ~root[ahead]
-        at[go] = ahead[go]
-    return np.where(passed, tree.parent[at], node)
 
+def condensed_hierarchy(gathered: DataFrame, links: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The tree of cores as a table of nodes, and ``(run, id, weight, node, level)`` for every gathered point.
 
-def select_clusters(tree: CoreTree, weight: np.ndarray, level: np.ndarray, method: str = "eom") -> dict[int, int]:
-    """Node to selected cluster, for every node inside one.
-
-    ``weight`` and ``level`` are the sums of the points' weights and of weight
-    times 1 / distance over the points that join each node.
+    ``nodes(run, node, e, up, birth)``: cores have numbers below that of noise and no edge ``e``;
+    a merge has the edge that makes it; ``birth`` is the density at which the node
+    becomes part of ``up``.  A point belongs to the last node on its core's way up
+    that is there before the point's own edge.
     """
-    n_nodes = len(tree.parent)
-    if n_nodes == 1:
-        return {}
-    root = n_nodes - 1
-    total = weight.astype(float).copy()
-    stability = np.zeros(n_nodes)
-    chosen = np.zeros(n_nodes, dtype=bool)
-    best = np.zeros(n_nodes)
-    for v in range(n_nodes):  # children come before parents
-        kids = tree.children[v]
-        own = level[v] - weight[v] * tree.birth[v]
-        if kids:
-            inside = sum(total[c] for c in kids)
-            total[v] += inside
-            own += inside * (tree.birth[kids[0]] - tree.birth[v])
-        stability[v] = 0.0 if np.isnan(own) else own
-        below = sum(best[c] for c in kids)
-        if v == root or (kids and (method == "leaf" or below > stability[v])):
-            best[v] = below
-        else:
-            best[v], chosen[v] = stability[v], True
-    inside_of: dict[int, int] = {}
-    for v in range(root, -1, -1):  # parents first
-        up = inside_of.get(int(tree.parent[v])) if v != root else None
-        if up is not None:
-            inside_of[v] = up
-        elif chosen[v]:
-            inside_of[v] = v
-    return inside_of
-
+    part = gathered.select("run", "part").distinct()
+    cores = scratch.table(part.withColumn("core", NOISE - 1 - F.monotonically_increasing_id()), "cores")
+    end = lambda x: cores.select("run", F.col("part").alias(x), F.col("core").alias(f"core_{x}"))
+    links = scratch.table(
+        links.join(end("a"), ["run", "a"]).join(end("b"), ["run", "b"]).select(
+            "run", F.monotonically_increasing_id().alias("id"), F.col("core_a").alias("a"), F.col("core_b").alias("b"), *EDGE
+        ),
+        "core_links",
+    )
+    points = gathered.join(cores, ["run", "part"]).select("run", "id", "weight", "core", "e")
+    empty = F.lit(None)
+    if Scratch.rows(links):
+        merges, first = merge_tree(links, scratch)
+        above = merges.select(F.col("id").alias("up"), F.col("e").alias("up_e"))
+        nodes = merges.select("run", F.col("id").alias("node"), "e", "up").join(above, "up", "left")
+        first = first.select("run", F.col("v").alias("core"), F.col("id").alias("at"), F.col("e").alias("at_e"))
+        alone = cores.join(first, ["run", "core"], "left").select(
+            "run", F.col("core").alias("node"), empty.cast(nodes.schema["e"].dataType).alias("e"), F.col("at").alias("up"), F.col("at_e").alias("up_e")
+        )
+        nodes = nodes.select("run", "node", "e", "up", "up_e").unionByName(alone)
+        nodes = nodes.select("run", "node", "e", "up", density(F.col("up_e")).alias("birth"))
+        met = points.join(first, ["run", "core"], "left")
+        stays = F.col("at").isNull() | ~(F.col("at_e") < F.col("e"))
+        here = met.where(stays).select("run", "id", "weight", "e", F.col("core").alias("node"))
+        higher = last_below(met.where(~stays).select("run", "id", "weight", "e", "at"), jumps(merges, scratch), scratch)
+        placed = here.unionByName(higher.withColumnRenamed("at", "node"))
+    else:
+        kind = points.schema["e"].dataType
+        nodes = cores.select("run", F.col("core").alias("node"), empty.cast(kind).alias("e"), empty.cast("long").alias("up"), F.lit(0.0).alias("birth"))
+        placed = points.withColumnRenamed("core", "node")
+    placed = placed.select("run", "id", "weight", "node", density(F.col("e")).alias("level"))
+    return scratch.table(nodes, "nodes"), scratch.table(placed, "placed")
 
-def condensed_hierarchy(
-    gathered: DataFrame, links: DataFrame, scratch: Scratch, max_cores: int = MAX_CORES
-) -> tuple[dict[int, CoreTree], DataFrame]:
-    """Trees of cores per run, and ``(run, id, weight, node, level)`` for every gathered point."""
-    cores = gathered.select("run", "part").distinct()
-    found = cores.limit(max_cores + 1).collect()
-    if len(found) > max_cores:
-        raise ValueError(f"more than {max_cores} cluster candidates: raise min_cluster_size")
-    parts: dict[int, list[int]] = {}
-    for row in found:
-        parts.setdefault(row.run, []).append(row.part)
-    # a forest: fewer edges than cores
-    between: dict[int, list[tuple]] = {}
-    for row in links.collect():
-        between.setdefault(row.run, []).append((row.a, row.b, row.w, row.src, row.dst))
-    kind = [("a", "i8"), ("b", "i8"), ("w", "f8"), ("src", "i8"), ("dst", "i8")]
-    trees = {
-        run: build_tree(np.array(ids), np.array(between.get(run, []), dtype=kind))
-        for run, ids in parts.items()
-    }
 
-    def place(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            column = lambda name: batch.column(name).to_numpy(zero_copy_only=False)
-            run, w = column("run"), column("w")
-            node = np.zeros(len(run), dtype=np.int64)
-            for r in np.unique(run):
-                i = np.nonzero(run == r)[0]
-                node[i] = node_of(trees[r], column("part")[i], w[i], column("src")[i], column("dst")[i])
-            with np.errstate(divide="ignore"):
-                level = 1.0 / w
-            yield pa.RecordBatch.from_pydict({
-                "run": batch.column("run"), "id": batch.column("id"), "weight": batch.column("weight"),
-                "node": pa.array(node), "level": pa.array(level),
-            })
+def select_clusters(nodes: DataFrame, placed: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(method, node, cluster)`` for every node inside a chosen one, by excess of mass and by leaves.
 
-    placed = gathered.select("run", "id", "weight", "part", "e.w", "e.src", "e.dst").mapInArrow(
-        place, "run int, id long, weight long, node long, level double"
+    A node's stability is the density its points have beyond its birth.  From the
+    leaves up a node is chosen if it is as stable as the best choice below it; of
+    chosen nodes the highest counts.  The node that holds a whole run is no cluster.
+    """
+    sums = placed.groupBy("node").agg(
+        F.sum("weight").cast("double").alias("weight"), F.sum(F.col("weight") * F.col("level")).alias("level")
+    )
+    kids = nodes.where("up IS NOT NULL").groupBy(F.col("up").alias("node")).agg(F.min("node").alias("c1"), F.max("node").alias("c2"))
+    ends = nodes.where("up IS NULL").groupBy("run").agg((F.count(F.lit(1)) == 1).alias("one_end"))
+    full = nodes.join(sums, "node", "left").join(kids, "node", "left").join(F.broadcast(ends), "run")  # one row a run
+    full = scratch.table(
+        full.select(
+            "node", "up", "birth", density(F.col("e")).alias("own"), "c1", "c2", (F.col("up").isNull() & F.col("one_end")).alias("whole"),
+            F.coalesce("weight", F.lit(0.0)).alias("weight"), F.coalesce("level", F.lit(0.0)).alias("level"),
+        ),
+        "tree",
     )
-    return trees, scratch.table(placed, "placed")
+    none = F.lit(None).cast("double")
+    total = fold_up(full.select("node", none.alias("low"), F.col("weight").alias("add"), "c1", "c2"), scratch)
+    inside = F.col("value") - F.col("weight")
+    stable = F.col("level") - F.col("weight") * F.col("birth")
+    stable = F.when(F.col("c1").isNull(), stable).otherwise(stable + inside * (F.col("own") - F.col("birth")))
+    full = scratch.table(
+        full.join(total, "node").select("node", "up", "c1", "c2", "whole", F.when(F.isnan(stable), 0.0).otherwise(stable).alias("stable")),
+        "stable",
+        replaces=full,
+    )
+    leaf = F.col("c1").isNull()
+    low = F.when(~F.col("whole"), F.col("stable"))
+    best = fold_up(full.select("node", low.alias("low"), F.when(~leaf | F.col("whole"), 0.0).alias("add"), "c1", "c2"), scratch)
+    of = lambda c: best.select(F.col("node").alias(c), F.col("value").alias(f"best_{c}"))
+    judged = full.join(of("c1"), "c1", "left").join(of("c2"), "c2", "left")
+    chosen = ~F.col("whole") & (leaf | ~(F.col("best_c1") + F.col("best_c2") > F.col("stable")))
+    mass = topmost(judged, chosen, scratch).select(F.lit("eom").alias("method"), "node", F.col("top").alias("cluster"))
+    leaves = full.where(~F.col("whole") & leaf).select(F.lit("leaf").alias("method"), "node", F.col("node").alias("cluster"))
+    return mass.unionByName(leaves)
 
 
 def cluster_members(
-    trees: dict[int, CoreTree], placed: DataFrame, methods: dict[int, list[tuple[int, str]]]
+    nodes: DataFrame, placed: DataFrame, methods: dict[int, list[tuple[int, str]]], scratch: Scratch
 ) -> DataFrame:
     """(trial, id, cluster) for the points inside a selected cluster.
 
     ``methods`` names the trials of every run as ``(trial, method)``.
     """
-    spark = placed.sparkSession
-    sums = placed.groupBy("run", "node").agg(
-        F.sum("weight").alias("weight"), F.sum(F.col("weight") * F.col("level")).alias("level")
-    )
-    weight = {r: np.zeros(len(t.parent)) for r, t in trees.items()}
-    level = {r: np.zeros(len(t.parent)) for r, t in trees.items()}
-    for row in sums.collect():  # at most two nodes per core
-        weight[row.run][row.node], level[row.run][row.node] = row.weight, row.level
-    rows = [
-        (trial, run, node, cluster)
-        for run, tree in trees.items()
-        for trial, method in methods[run]
-        for node, cluster in select_clusters(tree, weight[run], level[run], method).items()
-    ]
-    chosen = spark.createDataFrame(rows, "trial int, run int, node long, cluster long")
-    return placed.join(chosen, ["run", "node"]).select("trial", "id", "cluster")
+    rows = [(trial, run, method) for run, trials in methods.items() for trial, method in trials]
+    asked = F.broadcast(placed.sparkSession.createDataFrame(rows, "trial int, run int, method string"))  # the grid
+    chosen = select_clusters(nodes, placed, scratch)
+    return placed.join(chosen, "node").join(asked, ["run", "method"]).select("trial", "id", "cluster")

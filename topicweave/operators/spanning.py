@@ -113,7 +113,7 @@ def least_edges(seen: DataFrame) -> DataFrame:
     )
 
 
-def _hooks(best: DataFrame) -> DataFrame:
+def hooks(best: DataFrame) -> DataFrame:
     """(run, v, p): each vertex hangs on the other end of its least edge."""
     other = best.select("run", F.col("v").alias("o"), F.col("o").alias("back"))
     mutual = (F.col("back") == F.col("v")) & (F.col("v") < F.col("o"))
@@ -154,7 +154,7 @@ def minimum_spanning_forest(
         if not scratch.rows(best):
             break
         tree.append(best.select("run", *EDGE).distinct())
-        roots = find_roots(_hooks(best), scratch)
+        roots = find_roots(hooks(best), scratch)
         if search is not None:
             search.relabel(roots)
         a = roots.select("run", F.col("v").alias("a"), F.col("p").alias("ra"))
