@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicweave.operators import represent, tokens as tok
-from topicweave.scratch import Scratch
 from topicweave.sources.readers import read_vectors, spread
 
 # a short stopword list in the languages of the test documents
@@ -58,7 +57,6 @@ def label_topics(spark: SparkSession, sf: str) -> DataFrame:
 
 def scores(spark: SparkSession, sf: str) -> DataFrame:
     counts = represent.topic_term_counts(tokens(spark, sf), doc_topics(spark, sf))
-    counts = Scratch(spark, "counts").table(counts)  # both steps look at it several times
     return represent.ctfidf(represent.filter_vocabulary(counts))
 
 

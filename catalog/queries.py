@@ -429,6 +429,13 @@ def reduce_topics(spark: SparkSession, sf: str) -> DataFrame:
     return cluster.reduce_topics(centers, topics, 8)
 
 
+@query
+def reduce_topics_to_four(spark: SparkSession, sf: str) -> DataFrame:
+    topics = given.label_topics(spark, sf)
+    centers = represent.mean_vectors(topics.join(given.vectors(spark, sf), "doc_id"), "topic")
+    return cluster.reduce_topics(centers, topics, 4)
+
+
 # representation
 
 

@@ -345,6 +345,24 @@ SQL: dict[str, str] = {
         s="SELECT topic, row_number() OVER (ORDER BY count(*) DESC, min(doc_id)) - 1 AS new FROM merged WHERE topic <> -1 GROUP BY topic",
     )
     + "SELECT m.doc_id, CAST(coalesce(s.new, -1) AS INTEGER) AS topic FROM merged m LEFT JOIN s USING (topic)",
+    # the closest pair of groups by mean distance, merged again and again
+    "reduce_topics_to_four": "WITH RECURSIVE"
+    + cte(
+        lab=LABELS,
+        v=VECTORS,
+        rows="SELECT topic, vec FROM lab JOIN v USING (doc_id) WHERE topic <> -1",
+        c=CENTER.format(key="topic", rows="rows"),
+        pd="SELECT a.topic AS a, b.topic AS b, round(list_cosine_distance(a.vec, b.vec), 12) AS d FROM c a JOIN c b ON a.topic <> b.topic",
+        m="SELECT 0 AS step, topic, topic AS root FROM c UNION ALL "
+        "SELECT m.step + 1, m.topic, CASE WHEN m.root = x.pair.b THEN x.pair.a ELSE m.root END FROM m, ("
+        "SELECT arg_min({'a': ra, 'b': rb}, (d, ra, rb)) AS pair FROM ("
+        "SELECT p.root AS ra, q.root AS rb, round(avg(d), 12) AS d FROM m p JOIN m q ON p.root < q.root "
+        "JOIN pd ON pd.a = p.topic AND pd.b = q.topic GROUP BY 1, 2)) x WHERE m.step < (SELECT count(*) FROM c) - 4",
+        ends="SELECT topic, root FROM m WHERE step = (SELECT max(step) FROM m)",
+        merged="SELECT doc_id, coalesce(root, -1) AS topic FROM lab LEFT JOIN ends USING (topic)",
+        s="SELECT topic, row_number() OVER (ORDER BY count(*) DESC, min(doc_id)) - 1 AS new FROM merged WHERE topic <> -1 GROUP BY topic",
+    ).removeprefix("WITH")
+    + "SELECT m.doc_id, CAST(coalesce(s.new, -1) AS INTEGER) AS topic FROM merged m LEFT JOIN s USING (topic)",
     "assign_topics": cte(t=TOPICS, s="SELECT topic, row_number() OVER (ORDER BY count(*) DESC, min(doc_id)) - 1 AS new FROM t WHERE topic <> -1 GROUP BY topic")
     + "SELECT t.doc_id, CAST(coalesce(s.new, -1) AS INTEGER) AS topic FROM t LEFT JOIN s USING (topic)",
     "cluster_counts": cte(lab=LABELS, named=LABELINGS)

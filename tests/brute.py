@@ -144,3 +144,25 @@ def silhouette(x, label):
         b = min(d[i, label == k].mean() for k in set(label) if k != label[i])
         out.append((b - a) / max(a, b) if max(a, b) > 0 else 0.0)
     return float(np.mean(out))
+
+
+def average_linkage(vectors: np.ndarray, n_groups: int) -> np.ndarray:
+    """First member of the group per vector after merging the closest groups one by one."""
+    n = len(vectors)
+    group = np.arange(n)
+    if n <= max(n_groups, 1):
+        return group
+    units = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+    dist = np.round(1.0 - units @ units.T, 12)
+    np.fill_diagonal(dist, np.inf)
+    size = np.ones(n)
+    for _ in range(n - max(n_groups, 1)):
+        a, b = divmod(int(dist.argmin()), n)
+        a, b = min(a, b), max(a, b)
+        mixed = (size[a] * dist[a] + size[b] * dist[b]) / (size[a] + size[b])
+        dist[a], dist[:, a] = mixed, mixed
+        dist[a, a] = np.inf
+        dist[b], dist[:, b] = np.inf, np.inf
+        size[a] += size[b]
+        group[group == b] = a
+    return group

@@ -4,7 +4,7 @@ import time
 import numpy as np
 import pytest
 
-from topicweave.operators import quality, represent
+from topicweave.operators import quality, represent, tokens as tok, tuning
 from topicweave.plans import jobs
 from topicweave.sources import readers, writers
 
@@ -93,6 +93,44 @@ def test_tune_then_model(spark, groups, tmp_path):
         assert os.listdir(f"{out}/{part}")
 
 
+def test_a_failing_reduction_costs_its_own_trials_only(spark, groups, tmp_path, monkeypatch):
+    docs, vectors = groups
+    tokens = tok.tokenize_whitespace(docs).select("doc_id", "tokens")
+    trials = quality.expand_grid(
+        spark, {"n_neighbors": [5, 8], "n_components": [2], "min_dist": [0.0]}, {"min_cluster_size": [10], "min_samples": [3], "cluster_method": ["eom", "leaf"]}
+    )
+    calls = []
+
+    def failing(points, knn, scratch, n_components, n_neighbors, *rest):
+        calls.append(n_neighbors)
+        if n_neighbors == 8 and len(calls) < 3:
+            raise ValueError("no room")
+        return points
+
+    def measured(reduced, doc_topics, *rest):
+        return doc_topics.selectExpr("trial_id", "2L AS n_clusters", "0.1D AS noise_ratio", "0.2D AS silhouette", "0.3D AS diversity", "0.4D AS coherence")
+
+    grid = lambda vectors, trials, **more: spark.createDataFrame([(t[0],) for t in trials], "trial int")
+    monkeypatch.setattr(tuning, "reduce_points", failing)
+    monkeypatch.setattr(tuning, "cluster_grid", grid)
+    monkeypatch.setattr(tuning, "trial_metrics", measured)
+    ledger = f"{tmp_path}/ledger"
+    run = lambda: tuning.run_trials(vectors, tokens, trials, min_df=1, n_epochs=20, rounds=2, ledger=ledger).collect()
+    first = run()
+    assert {r.n_neighbors for r in first} == {5} and len(first) == 2
+    failures = tuning.Ledger(spark, ledger).failures().collect()
+    assert {(r.n_neighbors, r.cluster_method, r.error) for r in failures} == {(8, m, "ValueError: no room") for m in ("eom", "leaf")}
+    second = run()
+    assert calls == [5, 8, 8]
+    assert {r.n_neighbors for r in second} == {5, 8} and len(second) == 4
+    assert tuning.Ledger(spark, ledger).failures().isEmpty()
+    run()
+    assert calls == [5, 8, 8]
+    monkeypatch.setattr(tuning, "reduce_points", lambda *a: 1 / 0)
+    with pytest.raises(RuntimeError):
+        tuning.run_trials(vectors, tokens, trials, min_df=1).collect()
+
+
 def test_embed(spark, tmp_path):
     df = spark.createDataFrame([("x", "a b"), ("x", "a b"), ("y", "c"), ("x", ""), ("x", None)], "v string, abstract string")
     docs, vectors = jobs.embed(df, verify_column="v", verify_values=["x"], out=str(tmp_path), model_name="hash")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from catalog import inputs as given
 from catalog import queries
 from tests import brute
-from topicweave.operators import cluster, encode, neighbours, reduce, spanning
+from topicweave.operators import cluster, encode, merging, neighbours, reduce, spanning
 from topicweave.scratch import Scratch
 
 
@@ -160,9 +160,28 @@ def test_topics_are_numbered_by_size(spark):
 
 def test_average_linkage():
     x = np.array([[1, 0], [1, 0.1], [0, 1], [0.1, 1], [-1, 0]])
-    groups = cluster.average_linkage(x, 3)
+    groups = brute.average_linkage(x, 3)
     assert groups.tolist() == [0, 0, 2, 2, 4]
-    assert cluster.average_linkage(x, 9).tolist() == list(range(5))
+    assert brute.average_linkage(x, 9).tolist() == list(range(5))
+
+
+@pytest.mark.parametrize("left", [1, 9])
+def test_merging_in_rounds_is_merging_one_by_one(spark, left):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(32, 5))
+    x[7], x[30] = x[20], 0  # equal vectors, and one without direction
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    got = {r.id: r.root for r in merging.groups(df, left, Scratch(spark, "test"), block_rows=16).collect()}
+    assert [got[i] for i in range(32)] == brute.average_linkage(x, left).tolist()
+
+
+def test_chain_of_topics_merges_from_its_close_end(spark):
+    """Each topic is nearest to the one before: one pair a round."""
+    angle = np.cumsum(0.01 * 1.3 ** np.arange(14))
+    x = np.stack([np.cos(angle), np.sin(angle)], axis=1)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    got = {r.id: r.root for r in merging.groups(df, 3, Scratch(spark, "test")).collect()}
+    assert [got[i] for i in range(14)] == brute.average_linkage(x, 3).tolist()
 
 
 def test_encoders(spark):

@@ -17,6 +17,7 @@ from topicweave.operators.blocks import (
 from topicweave.operators.hierarchy import (
     NOISE, cluster_members, condensed_hierarchy, gather_cores,
 )
+from topicweave.operators.merging import groups
 from topicweave.operators.neighbours import (
     CELL_ROWS, as_distance, assign_cells, collapse_copies, comparable, nearest_points,
 )
@@ -262,39 +263,16 @@ def _distance_sums(chunk: pa.Table, block: pa.Table) -> pa.Table:
 
 
 def reduce_topics(
-    topic_vectors: DataFrame, doc_topics: DataFrame, nr_topics: int, max_topics: int = 10_000
+    topic_vectors: DataFrame, doc_topics: DataFrame, nr_topics: int, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Merge topics until ``nr_topics`` remain, by average linkage on cosine distance.
 
-    The table of topics is small and its size is checked; documents are
-    relabelled by a join.  Topic -1 stays.
+    Any number of topics; documents are relabelled by a join.  Topic -1 stays.
     """
-    spark = doc_topics.sparkSession
-    rows = topic_vectors.where(F.col("topic") != NOISE).orderBy("topic").limit(max_topics + 1).collect()
-    if len(rows) > max_topics:
-        raise ValueError(f"more than {max_topics} topics")
-    merged = [(row.topic, int(group)) for row, group in zip(rows, average_linkage(np.array([r.vec for r in rows], dtype=float), nr_topics))]
-    names = spark.createDataFrame(merged, "topic int, cluster int")
+    scratch = Scratch(doc_topics.sparkSession, "reduce")
+    rows = topic_vectors.where(F.col("topic") != NOISE).select(
+        F.col("topic").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec")
+    )
+    merged = groups(rows, nr_topics, scratch, block_rows)
+    names = merged.select(F.col("id").cast("int").alias("topic"), F.col("root").alias("cluster"))
     return assign_topics(doc_topics.join(names, "topic").select("doc_id", "cluster"), doc_topics)
-
-
-def average_linkage(vectors: np.ndarray, n_groups: int) -> np.ndarray:
-    """Group number per vector after merging the closest groups one by one."""
-    n = len(vectors)
-    group = np.arange(n)
-    if n <= max(n_groups, 1):
-        return group
-    units = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-    dist = np.round(1.0 - units @ units.T, 12)
-    np.fill_diagonal(dist, np.inf)
-    size = np.ones(n)
-    for _ in range(n - max(n_groups, 1)):
-        a, b = divmod(int(dist.argmin()), n)
-        a, b = min(a, b), max(a, b)
-        mixed = (size[a] * dist[a] + size[b] * dist[b]) / (size[a] + size[b])
-        dist[a], dist[:, a] = mixed, mixed
-        dist[a, a] = np.inf
-        dist[b], dist[:, b] = np.inf, np.inf
-        size[a] += size[b]
-        group[group == b] = a
-    return group

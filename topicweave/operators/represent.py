@@ -12,10 +12,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicweave.functions.vector import cosine
+from topicweave.scratch import Scratch
 
 MAIN = "Main"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a written table; a table that a job has written already stays as it is."""
+    return df if hasattr(df, "_scratch_path") else Scratch(df.sparkSession, name).table(df, name)
+
+
 def topic_term_counts(
     tokens: DataFrame, doc_topics: DataFrame, lowercase: bool = True
 ) -> DataFrame:
@@ -45,8 +51,9 @@ def filter_vocabulary(
 
     A topic counts as one document, since the vectoriser sees the joined texts
     of a topic.  ``doc_frequency`` (word, df) with ``n_docs`` counts over
-    documents instead.
+    documents instead.  The counts are written first, as they are read several times.
     """
+    counts = written(counts, "counts")
     if doc_frequency is not None:
         joined = counts.join(doc_frequency, "word")
         units = n_docs
@@ -64,8 +71,10 @@ def ctfidf(counts: DataFrame) -> DataFrame:
     """(topic, word, n, tf, idf, score) with score = tf * ln(1 + A / f).
 
     tf is the share of the word in its topic, f its count over all topics and
-    A the mean number of words per topic, cut to an integer.
+    A the mean number of words per topic, cut to an integer.  The counts are
+    written first, as they are read several times.
     """
+    counts = written(counts, "counts")
     totals = counts.groupBy("topic").agg(F.sum("n").alias("words_in_topic"))
     mean_words = totals.agg(F.floor(F.avg("words_in_topic"))).scalar()
     per_word = Window.partitionBy("word")
@@ -97,6 +106,7 @@ def representative_docs(
 
     Nearness is the cosine between the c-TF-IDF vectors of document and topic.
     """
+    scores = written(scores, "scores")
     word = F.lower("word") if lowercase else F.col("word")
     # the counts of one document never leave its row's task: one group per document
     doc_words = (

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from topicweave.operators.cluster import cluster_counts, cluster_grid, noise_ratio, silhouette
 from topicweave.operators.neighbours import (
     CELL_ROWS, as_distance, assign_cells, collapse_copies, comparable, nearest_points,
 )
-from topicweave.operators.quality import topic_coherence, topic_diversity, with_composite_score
+from topicweave.operators.quality import PARAMETERS, topic_coherence, topic_diversity, with_composite_score
 from topicweave.operators.reduce import BUCKET_ROWS, reduce_points
 from topicweave.operators.represent import MAIN
 from topicweave.operators.tokens import doc_word_sets
@@ -71,18 +72,30 @@ def run_trials(
     exact_tree: bool = True,
     cell_rows: int = CELL_ROWS,
     bucket_rows: int = BUCKET_ROWS,
+    ledger: str | None = None,
 ) -> DataFrame:
     """Metrics of every trial that gives at least two topics and words.
 
     The neighbour graph is searched once for the whole grid, each reduction is
     laid out once, and all clusterings of a reduction share one job per step.
+    Each reduction's trials are entered in a ledger when they are done or have
+    failed; a failure costs the trials of its reduction only, and an error is raised
+    if nothing is left.  A folder named as ``ledger`` is kept: another run takes what
+    it has finished from there and tries the rest again.
     """
     scratch = Scratch(vectors.sparkSession, "trials")
+    book = Ledger(vectors.sparkSession, ledger or f"{scratch.root}/ledger")
+    done = book.done()
+    rows = [r for r in trials.collect() if tuple(r[c] for c in PARAMETERS) not in done]  # the grid
+    settings: dict[tuple, list] = {}
+    for r in rows:
+        settings.setdefault((r.n_neighbors, r.n_components, r.min_dist), []).append(r)
+    if not settings:
+        return _measured(trials, book, target)
     points, members = collapse_copies(vectors, scratch)
     if members is not None:
         members = scratch.table(members, "members")
     cells = assign_cells(comparable(points.select("id", "vec"), "cosine"), scratch, cell_rows)
-    rows = trials.collect()  # the grid
     widest = max(r.n_neighbors for r in rows)
     knn = scratch.table(
         nearest_points(cells, widest - 1, scratch, knn_method).withColumn("dist", as_distance(F.col("d2"), "cosine")), "knn"
@@ -95,11 +108,7 @@ def run_trials(
     )
     word_sets = scratch.table(doc_word_sets(tokens), "word_sets")
 
-    settings: dict[tuple, list] = {}
-    for r in rows:
-        settings.setdefault((r.n_neighbors, r.n_components, r.min_dist), []).append(r)
-    metrics = None
-    for (n_neighbors, n_components, min_dist), group in settings.items():
+    def clustered(n_neighbors: int, n_components: int, min_dist: float, group: list) -> DataFrame:
         placed = reduce_points(
             cells.points.select("id", "vec"), knn, scratch, n_components, n_neighbors, min_dist,
             seed, n_epochs, rounds, bucket_rows,
@@ -113,11 +122,65 @@ def run_trials(
             exact_tree=exact_tree,
             cell_rows=cell_rows,
         ).withColumnRenamed("trial", "trial_id")
-        found = scratch.table(
-            trial_metrics(reduced, doc_topics, word_counts, word_sets, min_df, max_df), "metrics"
-        )
-        metrics = found if metrics is None else metrics.unionByName(found)
-    return with_composite_score(trials.join(metrics, "trial_id"), target)
+        return scratch.table(trial_metrics(reduced, doc_topics, word_counts, word_sets, min_df, max_df), "metrics")
+
+    failed = None
+    for setting, group in settings.items():
+        own = trials.where(F.col("trial_id").isin([r.trial_id for r in group]))
+        try:
+            book.enter(own.join(clustered(*setting, group), "trial_id", "left"))
+        except Exception as error:  # whatever ends one reduction, the others go on
+            book.enter(own, error)
+            failed = error
+    if failed is not None and not book.done() & {tuple(r[c] for c in PARAMETERS) for r in rows}:
+        raise RuntimeError("every reduction of the grid has failed") from failed
+    return _measured(trials, book, target)
+
+
+def _measured(trials: DataFrame, book: Ledger, target: tuple[int, int]) -> DataFrame:
+    return with_composite_score(trials.join(book.finished(), PARAMETERS), target)
+
+
+class Ledger:
+    """A folder with a row for every trial of a grid that is done or has failed; rows are only ever added."""
+
+    MEASURES = {"n_clusters": "long", "noise_ratio": "double", "silhouette": "double", "diversity": "double", "coherence": "double"}
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def enter(self, trials: DataFrame, error: Exception | None = None) -> None:
+        """Add trials with their measures, null where a trial has too few topics, or with the error that ended them."""
+        measures = [
+            (F.col(c) if c in trials.columns else F.lit(None)).cast(kind).alias(c) for c, kind in self.MEASURES.items()
+        ]
+        told = F.lit(None).cast("string") if error is None else F.lit(f"{type(error).__name__}: {error}"[:1000])
+        rows = trials.select(*PARAMETERS, F.current_timestamp().alias("entered"), told.alias("error"), *measures)
+        rows.write.mode("append").parquet(self.path)
+
+    def rows(self) -> DataFrame:
+        try:
+            return self.spark.read.parquet(self.path)
+        except AnalysisException:  # nothing entered yet
+            kinds = ["n_neighbors int", "n_components int", "min_dist double", "min_cluster_size int", "min_samples int"]
+            kinds += ["cluster_method string", "entered timestamp", "error string", *(f"{c} {k}" for c, k in self.MEASURES.items())]
+            return self.spark.createDataFrame([], ", ".join(kinds))
+
+    def done(self) -> set[tuple]:
+        """The parameters of the trials that need not run again: at most the grid."""
+        return {tuple(r) for r in self.rows().where("error IS NULL").select(*PARAMETERS).distinct().collect()}
+
+    def finished(self) -> DataFrame:
+        """Parameters and measures of the trials with topics, each once."""
+        rows = self.rows().where("error IS NULL AND n_clusters IS NOT NULL")
+        latest = F.max_by(F.struct(*self.MEASURES), "entered").alias("m")
+        return rows.groupBy(*PARAMETERS).agg(latest).select(*PARAMETERS, "m.*")
+
+    def failures(self) -> DataFrame:
+        """Parameters and error of the trials that have failed and not been finished since."""
+        rows = self.rows()
+        failed = rows.where("error IS NOT NULL").groupBy(*PARAMETERS).agg(F.max_by("error", "entered").alias("error"))
+        return failed.join(rows.where("error IS NULL").select(*PARAMETERS).distinct(), PARAMETERS, "left_anti")
 
 
 def trial_metrics(
