@@ -33,6 +33,8 @@ from topicweave.scratch import Scratch
 
 #: Letters of scripts that are written without spaces.
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}&&\p{L}]"
+#: Characters among which those letters are; one comparison tells them from all others.
+FURTHER = r"[\x{E00}-\x{10FFFF}]"
 #: Words of a k-mer, sketches of a document, and k-mers of a sketch.
 WORDS, SKETCHES, MINIMA = 5, 32, 5
 #: Documents of at most so many k-mers are also candidates by each single one.
@@ -49,7 +51,7 @@ _MIX = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 def words_of(text: Column | str) -> Column:
     """Runs of letters, their marks and digits in lower case; each character of a script without spaces is a word."""
     lower = F.lower(text)
-    apart = F.when(lower.rlike(UNSPACED), F.regexp_replace(lower, rf"({UNSPACED}\p{{M}}*+)", " $1 ")).otherwise(lower)
+    apart = F.when(lower.rlike(FURTHER), F.regexp_replace(lower, rf"({UNSPACED}\p{{M}}*+)", " $1 ")).otherwise(lower)
     return F.filter(F.split(apart, r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
 
 
