@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from catalog import inputs as given
 from topicweave.operators import (
-    cluster, corpus, dictionary, encode, neighbours, quality, reduce, represent, spanning, tokens as tok,
+    cluster, corpus, dictionary, encode, neighbours, quality, reduce, represent, separation, spanning, tokens as tok,
     tuning,
 )
 from topicweave.plans import jobs
@@ -414,12 +414,12 @@ def noise_ratio(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def silhouette(spark: SparkSession, sf: str) -> DataFrame:
-    return cluster.silhouette(given.vectors(spark, sf), given.label_topics(spark, sf)).select(*six("silhouette"))
+    return separation.silhouette(given.vectors(spark, sf), given.label_topics(spark, sf)).select(*six("silhouette"))
 
 
 @query
 def silhouette_of_trials(spark: SparkSession, sf: str) -> DataFrame:
-    return cluster.silhouette(given.vectors(spark, sf), given.labelings(spark, sf), ["trial_id"]).select("trial_id", *six("silhouette"))
+    return separation.silhouette(given.vectors(spark, sf), given.labelings(spark, sf), ["trial_id"]).select("trial_id", *six("silhouette"))
 
 
 @query

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from catalog import inputs as given
 from catalog import queries
 from tests import brute
-from topicweave.operators import cluster, encode, merging, neighbours, reduce, spanning
+from topicweave.operators import cluster, encode, merging, neighbours, reduce, separation, spanning
 from topicweave.scratch import Scratch
 
 
@@ -143,12 +143,28 @@ def test_silhouette(spark, planted):
     label[5] = 9  # alone
     rows = [(i, int(v)) for i, v in enumerate(label)]
     topics = spark.createDataFrame(rows, "doc_id long, topic int")
-    value = cluster.silhouette(frame(spark, planted), topics, block_rows=16).first().silhouette
+    value = separation.silhouette(frame(spark, planted), topics, block_rows=16, block_topics=2).first().silhouette
     assert value == pytest.approx(brute.silhouette(planted, label))
     pair = spark.createDataFrame([(0, 0), (1, 1), (2, -1)], "doc_id long, topic int")
-    assert cluster.silhouette(frame(spark, planted), pair).first().silhouette == 0.0
+    assert separation.silhouette(frame(spark, planted), pair).first().silhouette == 0.0
     noise = spark.createDataFrame([(0, -1)], "doc_id long, topic int")
-    assert cluster.silhouette(frame(spark, planted), noise).first().silhouette == 0.0
+    assert separation.silhouette(frame(spark, planted), noise).first().silhouette == 0.0
+
+
+def test_silhouette_of_runs(spark, planted):
+    """Runs by two columns, one of them with a topic of most rows and many small ones."""
+    rng = np.random.default_rng(4)
+    labels = {
+        ("a", 1): np.where(np.arange(len(planted)) % 3 > 0, 0, rng.integers(1, 12, len(planted))),
+        ("a", 2): np.arange(len(planted)) % 2,
+        ("b", 1): np.full(len(planted), 3),
+    }
+    rows = [(*key, i, int(v)) for key, label in labels.items() for i, v in enumerate(label)]
+    topics = spark.createDataFrame([*rows, ("c", 1, 0, -1)], "name string, trial int, doc_id long, topic int")
+    got = separation.silhouette(frame(spark, planted), topics, ["name", "trial"], block_rows=16, block_topics=5)
+    found = {(r.name, r.trial): r.silhouette for r in got.collect()}
+    assert found.pop(("b", 1)) == 0.0 and found.pop(("c", 1)) == 0.0
+    assert found == pytest.approx({key: brute.silhouette(planted, labels[key]) for key in found}) and len(found) == 2
 
 
 def test_topics_are_numbered_by_size(spark):

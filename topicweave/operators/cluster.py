@@ -4,16 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicweave.operators.blocks import (
-    BLOCK_ROWS, STRIPE_ROWS, block_join, matrix, slack, squared_distances, values,
-)
+from topicweave.operators.blocks import BLOCK_ROWS
 from topicweave.operators.hierarchy import (
     NOISE, cluster_members, condensed_hierarchy, gather_cores,
 )
@@ -26,9 +20,6 @@ from topicweave.operators.spanning import (
 )
 from topicweave.scratch import Scratch
 
-# topics whose moments a task of the silhouette may hold
-MAX_CORES = 200_000
-
 # neighbours listed beyond min_samples, so that most lists outlast the first round
 SPARE_NEIGHBOURS = 5
 
@@ -141,127 +132,6 @@ def noise_ratio(doc_topics: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def silhouette(
-    vectors: DataFrame,
-    doc_topics: DataFrame,
-    by: Sequence[str] = (),
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Mean Euclidean silhouette of the documents with a topic; exact.
-
-    0 unless such documents outnumber the topics.  A document needs its mean
-    distance to its own topic and to the nearest other one.  The mean distance
-    to a topic lies between the distance to the centroid and the root mean
-    square distance, both known from the topic's moments, so only topics whose
-    range reaches below the least upper end are summed up pair by pair.
-    """
-    spark = vectors.sparkSession
-    scratch = Scratch(spark, "silhouette")
-    by = list(by)
-    run = F.xxhash64(*by) if by else F.lit(0).cast("long")
-    keyed = doc_topics.where(F.col("topic") != NOISE).withColumn("run", run)
-    rows = scratch.table(
-        keyed.join(vectors.select("doc_id", F.col("vec").cast("array<double>").alias("vec")), "doc_id").select("run", "topic", F.col("doc_id").alias("id"), "vec"),
-        "rows",
-    )
-    runs = keyed.groupBy("run", *by).agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("topic").alias("n_topics")
-    )
-    square = F.aggregate("vec", F.lit(0.0), lambda t, x: t + x * x)
-    moments = rows.groupBy("run", "topic").agg(
-        F.count(F.lit(1)).alias("n"),
-        vector_to_array(Summarizer.mean(array_to_vector("vec"))).alias("center"),
-        F.avg(square).alias("square"),
-    )
-    topics: dict[int, list] = {}
-    found = moments.limit(MAX_CORES + 1).collect()  # topics, not documents
-    if len(found) > MAX_CORES:
-        raise ValueError(f"more than {MAX_CORES} topics")
-    for row in sorted(found, key=lambda r: (r.run, r.topic)):
-        center = np.array(row.center)
-        spread = max(row.square - float(center @ center), 0.0)
-        topics.setdefault(row.run, []).append((row.topic, row.n, center, spread))
-    known = {
-        r: (np.array([t[0] for t in ts]), np.array([t[1] for t in ts]), np.stack([t[2] for t in ts]), np.array([t[3] for t in ts]))
-        for r, ts in topics.items()
-    }
-
-    def route(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            vec, own, run = matrix(table, "vec"), values(table, "topic"), values(table, "run")
-            for r in np.unique(run):
-                names, _, centers, spread = known[r]
-                mine = np.nonzero(run == r)[0]
-                d2 = np.maximum(squared_distances(vec[mine], centers), 0.0)
-                low, high = np.sqrt(d2), np.sqrt(d2 + spread[None])
-                other = names[None, :] != own[mine, None]
-                least = np.where(other, high, np.inf).min(axis=1)
-                margin = 1e-6 + np.sqrt(slack(vec[mine], centers))
-                wanted = ~other | (low <= least[:, None] * (1 + 1e-6) + margin)
-                i, t = np.nonzero(wanted)
-                out = table.select(["run", "topic", "id", "vec"]).take(pa.array(mine[i]))
-                out = out.rename_columns(["q_run", "q_topic", "q_id", "q_vec"])
-                out = out.append_column("cell_run", out.column("q_run"))
-                yield from out.append_column("cell_topic", pa.array(names[t].astype(np.int32))).to_batches()
-
-    queries = scratch.table(
-        rows.mapInArrow(
-            route, "q_run long, q_topic int, q_id long, q_vec array<double>, cell_run long, cell_topic int"
-        ),
-        "queries",
-    )
-    candidates = rows.select(F.col("run").alias("cell_run"), F.col("topic").alias("cell_topic"), F.col("id").alias("c_id"), F.col("vec").alias("c_vec"))
-    sums_by_pair = block_join(
-        queries, candidates, _distance_sums, "run long, id long, topic int, other int, total double, n long",
-        cell=("cell_run", "cell_topic"), block_rows=block_rows, few_cells=False,
-    )
-    per_topic = sums_by_pair.groupBy("run", "id", "topic", "other").agg(
-        F.sum("total").alias("total"), F.sum("n").alias("n")
-    )
-    own = F.col("topic") == F.col("other")
-    scores = per_topic.groupBy("run", "id").agg(
-        F.max(F.when(own & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("a"),
-        F.min(F.when(~own, F.col("total") / F.col("n"))).alias("b"),
-    )
-    largest = F.greatest("a", "b")
-    score = F.when(F.col("a").isNull() | F.col("b").isNull() | (largest == 0), 0.0).otherwise(
-        (F.col("b") - F.col("a")) / largest
-    )
-    means = scores.groupBy("run").agg(F.avg(score).alias("mean"))
-    valid = (F.col("n") > F.col("n_topics")) & (F.col("n_topics") > 1)
-    result = runs.join(means, "run", "left").select(
-        *by, F.when(valid, F.coalesce("mean", F.lit(0.0))).otherwise(0.0).alias("silhouette")
-    )
-    if by:
-        return doc_topics.select(*by).distinct().join(result, by, "left").fillna(0.0, ["silhouette"])
-    return result if not keyed.isEmpty() else spark.createDataFrame([(0.0,)], "silhouette double")
-
-
-def _distance_sums(chunk: pa.Table, block: pa.Table) -> pa.Table:
-    """Per query: the sum of its distances to the block's points of one topic."""
-    n = chunk.num_rows if block.num_rows else 0
-    total = np.zeros(n)
-    other = int(values(block, "cell_topic")[0]) if n else 0
-    if n:
-        q, c = matrix(chunk, "q_vec"), matrix(block, "c_vec")
-        for start in range(0, n, STRIPE_ROWS):
-            rows = slice(start, start + STRIPE_ROWS)
-            square = np.zeros((len(q[rows]), len(c)))
-            for d in range(q.shape[1]):  # one coordinate at a time: no cancellation
-                diff = q[rows, d, None] - c[None, :, d]
-                square += diff * diff
-            total[rows] = np.sqrt(square).sum(axis=1)
-    head = chunk.slice(0, n)
-    return pa.table({
-        "run": head.column("q_run"), "id": head.column("q_id"), "topic": head.column("q_topic"),
-        "other": pa.array(np.full(n, other), pa.int32()),
-        "total": pa.array(total), "n": pa.array(np.full(n, block.num_rows), pa.int64()),
-    })
-
-
 def reduce_topics(
     topic_vectors: DataFrame, doc_topics: DataFrame, nr_topics: int, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:

@@ -6,13 +6,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from topicweave.operators.cluster import cluster_counts, cluster_grid, noise_ratio, silhouette
+from topicweave.operators.cluster import cluster_counts, cluster_grid, noise_ratio
 from topicweave.operators.neighbours import (
     CELL_ROWS, as_distance, assign_cells, collapse_copies, comparable, nearest_points,
 )
 from topicweave.operators.quality import PARAMETERS, topic_coherence, topic_diversity, with_composite_score
 from topicweave.operators.reduce import BUCKET_ROWS, reduce_points
 from topicweave.operators.represent import MAIN
+from topicweave.operators.separation import silhouette
 from topicweave.operators.tokens import doc_word_sets
 from topicweave.scratch import Scratch
 
