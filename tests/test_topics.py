@@ -1,4 +1,6 @@
+import itertools
 import math
+import random
 
 import numpy as np
 import pytest
@@ -48,6 +50,26 @@ def test_coherence(spark, words):
     assert got == pytest.approx(math.log(1 / 1.5))
 
 
+def test_coherence_of_many_words(spark):
+    """More words a topic than one long has bits, in two runs."""
+    rng = random.Random(8)
+    docs = [sorted({f"w{rng.randrange(90)}" for _ in range(30)}) for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, words array<string>")
+    rows = [(run, topic, rank, f"w{(rank * 7 + topic + run) % 90}") for run in (1, 2) for topic in (0, 1) for rank in range(1, 71)]
+    top = spark.createDataFrame([*rows, (3, 0, 1, "none")], "run int, topic int, rank int, word string")
+    holds = lambda *words: sum(all(w in d for w in words) for d in map(set, docs))
+    want = {}
+    for run in (1, 2):
+        means = []
+        for topic in (0, 1):
+            words = [w for r, t, _, w in rows if (r, t) == (run, topic)]
+            pairs = [(holds(a, b), holds(a), holds(b)) for a, b in itertools.combinations(words, 2)]
+            means.append(sum(math.log((ab + 1) / (a * b / 80 + 1)) for ab, a, b in pairs) / len(pairs))
+        want[run] = sum(means) / 2
+    got = {r.run: r.coherence for r in quality.topic_coherence(top, df, 70, ["run"]).collect()}
+    assert got == pytest.approx({**want, 3: 0.0})
+
+
 @pytest.mark.parametrize(
     "n, share", [(9, 0.3), (10, 0.7), (19, 0.7), (20, 1.0), (50, 1.0), (51, 0.7), (75, 0.7), (76, 0.3)]
 )

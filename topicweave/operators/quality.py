@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from topicweave.operators.represent import MAIN, of_aspect
+from topicweave.scratch import Scratch
+
+# words whose presence one long holds
+BITS = 62
 
 # Weights of the composite score, the coherence that counts as
 # full, and the scores of a topic count inside, near and far from the target.
@@ -69,13 +73,24 @@ def topic_coherence(
         *by, "topic", "rank", "word"
     )
     n_docs = doc_word_sets.agg(F.count(F.lit(1))).scalar()
-    # words per document and topic: at most top_n ranks
+    # a document's words of a topic are bits of some longs; equal bits are counted, not listed,
+    # so at most 2^top_n rows a topic go on to the pairs
+    words = range(-(-top_n // BITS))
+    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("rank") - 1 - w * BITS).cast("int"))
+    inside = lambda w: F.col("rank").between(w * BITS + 1, (w + 1) * BITS)
+    masks = [F.bit_or(F.when(inside(w), bit(w)).otherwise(F.lit(0).cast("long"))).alias(f"_bits{w}") for w in words]
+    names = [f"_bits{w}" for w in words]
     held = (
         doc_word_sets.select("doc_id", F.explode("words").alias("word"))
         .join(top, "word")
         .groupBy("doc_id", *by, "topic")
-        .agg(F.sort_array(F.collect_list("rank")).alias("ranks"))
+        .agg(*masks)
+        .groupBy(*by, "topic", *names)
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
+    held = Scratch(doc_word_sets.sparkSession, "coherence").table(held, "held")
+    set_bit = lambda r: F.getbit(f"_bits{(r - 1) // BITS}", F.lit((r - 1) % BITS)) == 1
+    ranks = F.array_compact(F.array(*[F.when(set_bit(r), F.lit(r)) for r in range(1, top_n + 1)]))
     pair = F.flatten(
         F.transform(
             "ranks",
@@ -87,9 +102,10 @@ def topic_coherence(
     )
     # r1 = r2 counts the documents of a single word
     together = (
-        held.select(*by, "topic", F.explode(pair).alias("p"))
+        held.withColumn("ranks", ranks)
+        .select(*by, "topic", "_n", F.explode(pair).alias("p"))
         .groupBy(*by, "topic", F.col("p.r1").alias("r1"), F.col("p.r2").alias("r2"))
-        .agg(F.count(F.lit(1)).alias("d"))
+        .agg(F.sum("_n").alias("d"))
     )
     single = together.where("r1 = r2").select(*by, "topic", F.col("r1").alias("rank"), "d")
     first = single.withColumnsRenamed({"rank": "r1", "d": "d1"})
