@@ -78,7 +78,8 @@ def test_tune_then_model(spark, groups, tmp_path):
     assert ranked[0].min_cluster_size == 20 and ranked[0].n_clusters == 3
     assert ranked[0].diversity == 1.0 and ranked[0].silhouette > 0.5
     result = jobs.model(
-        docs, vectors, tuned_dir=f"{out}/tuned_config", min_df=1, n_epochs=60, rounds=2, out=out
+        docs, vectors, tuned_dir=f"{out}/tuned_config", min_df=1, n_epochs=60, rounds=2, out=out,
+        knn_method="ivf", embedding_model="hash", prompt="words: [KEYWORDS]\n[DOCUMENTS]",
     )
     topics = {r.doc_id: r.topic for r in result.doc_topics.collect()}
     named = {g: {topics[i] for i in range(150) if i % 3 == g} - {-1} for g in range(3)}
@@ -91,6 +92,11 @@ def test_tune_then_model(spark, groups, tmp_path):
     assert readers.load_topic_model(spark, folder)["doc_topics"].count() == 150
     for part in ("topic_info", "doc_topics", "run_summary", "tuning_results"):
         assert os.listdir(f"{out}/{part}")
+    summary = spark.read.json(f"{out}/run_summary").first()
+    assert summary.elapsed_seconds > 0 and summary.embedding_model == "hash" and summary.n_documents == 150
+    prompts = {r.topic: r.prompt for r in spark.read.json(f"{out}/label_prompts").collect()}
+    assert prompts == {r.topic: r.prompt for r in result.prompts.collect()} and set(prompts) == {0, 1, 2}
+    assert all(p.startswith("words: g") and p.count("\n- ") == 4 for p in prompts.values())
 
 
 def test_a_failing_reduction_costs_its_own_trials_only(spark, groups, tmp_path, monkeypatch):

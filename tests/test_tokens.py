@@ -120,6 +120,26 @@ def test_tokenizer_by_name_and_function(spark):
     assert [r.tokens for r in got] == [["b", "a"], []]
     tagged = spark.createDataFrame([(1, [("사람", "NNG"), ("들", "XSN")])], "doc_id long, pairs array<struct<form:string,tag:string>>")
     assert tok.tokenize(tagged, "tagged").first().tokens == ["사람"]
+    tagged = spark.createDataFrame(
+        [(1, [("인공", "NNG"), ("지능", "NNG"), ("이", "JKS"), ("바다", "NNG"), ("새", "NNG")]), (2, [])],
+        "doc_id long, pairs array<struct<form:string,tag:string>>",
+    )
+    none = spark.createDataFrame([], dictionary.DICTIONARY_SCHEMA)
+    dicts = dictionary.register_dictionary(dictionary.register_dictionary(none, "tech", np=["인공지능"]), "sea", cp=["바다새"])
+
+    def nouns(**options):
+        got = tok.tokenize(tagged, "tagged", min_len=1, **options)
+        assert got.columns == ["doc_id", "pairs", "tokens"]
+        rows = {r.doc_id: r for r in got.collect()}
+        assert rows[2].tokens == [] and len(rows[1].pairs) == 5
+        return rows[1].tokens
+
+    assert nouns() == ["인공", "지능", "바다", "새"]
+    assert nouns(dicts=dicts, domains=["tech"]) == ["인공지능", "바다", "새"]
+    assert nouns(dicts=dicts, domains=["tech", "sea"]) == ["인공지능", "바다새"]
+    assert nouns(dicts=dicts, domains=["sea"], nominals=True) == ["인공지능", "바다새"]
+    with pytest.raises(ValueError):
+        tok.tokenize(tagged, "tagged", domains=["tech"])
     with pytest.raises(ValueError):
         tok.tokenize(df, "unknown")
 

@@ -31,11 +31,13 @@ def cluster_grid(
     exact_tree: bool = True,
     cell_rows: int = CELL_ROWS,
     block_rows: int = BLOCK_ROWS,
+    knn_method: str = "exact",
 ) -> DataFrame:
     """(trial, doc_id, topic) for trials ``(trial, min_cluster_size, min_samples, method)``.
 
     One neighbour graph serves all trials, one spanning tree all trials of a
-    ``min_samples``, one hierarchy both selection methods.
+    ``min_samples``, one hierarchy both selection methods.  With ``knn_method="ivf"``
+    the lists hold most neighbours only, and core distances and tree follow the lists.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "cluster")
@@ -44,7 +46,7 @@ def cluster_grid(
     cells = assign_cells(comparable(points.select("id", "vec"), metric), scratch, cell_rows)
     needed = sorted({t[2] for t in trials})
     k = needed[-1] + SPARE_NEIGHBOURS
-    near = nearest_points(cells, k, scratch, block_rows=block_rows)
+    near = nearest_points(cells, k, scratch, knn_method, block_rows=block_rows)
     knn = scratch.table(near.withColumn("dist", as_distance(F.col("d2"), metric)), "knn")
     core = scratch.table(
         core_distances(knn, needed, copies if members is not None else None), "core"
@@ -90,10 +92,11 @@ def hdbscan(
     exact_tree: bool = True,
     cell_rows: int = CELL_ROWS,
     block_rows: int = BLOCK_ROWS,
+    knn_method: str = "exact",
 ) -> DataFrame:
     """(doc_id, topic): density clusters, -1 for noise, 0 for the largest."""
     trial = [(0, min_cluster_size, min_samples, method)]
-    return cluster_grid(vectors, trial, metric, exact_tree, cell_rows, block_rows).select("doc_id", "topic")
+    return cluster_grid(vectors, trial, metric, exact_tree, cell_rows, block_rows, knn_method).select("doc_id", "topic")
 
 
 def assign_topics(clusters: DataFrame, docs: DataFrame, trials: Sequence[int] | None = None) -> DataFrame:

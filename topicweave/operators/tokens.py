@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import uuid
+from collections.abc import Callable, Iterable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -164,11 +165,17 @@ def tokenize(
     col: str = "text",
     stopwords: Iterable[str] | DataFrame | None = None,
     min_len: int = 2,
+    dicts: DataFrame | None = None,
+    domains: Sequence[str] = (),
+    nominals: bool = False,
 ) -> DataFrame:
     """Add ``tokens`` by a named tokenizer or a function from text to tokens.
 
     ``whitespace``, ``none`` and ``tagged`` (nouns of a ready ``pairs`` column)
-    are built in.  A function's tokens are kept as they are.
+    are built in.  A function's tokens are kept as they are.  Before nouns are
+    taken, ``tagged`` applies the named ``domains`` of the dictionaries ``dicts``
+    in their order and, with ``nominals``, merges runs of nouns; ``pairs`` itself
+    stays as it is.
     """
     if callable(tokenizer):
         run = tokenizer
@@ -183,5 +190,15 @@ def tokenize(
     if tokenizer == "none":
         return tokenize_none(df, col)
     if tokenizer == "tagged":
-        return filter_tokens(extract_nouns(df, "pairs", None, 0), "tokens", stopwords, min_len)
+        from topicweave.operators.dictionary import apply_dictionary  # which imports this module
+
+        if domains and dicts is None:
+            raise ValueError("domains without dictionaries")
+        read = f"pairs_{uuid.uuid4().hex}"  # no column of the caller's
+        tagged = df.withColumn(read, F.col("pairs"))
+        for domain in domains:
+            tagged = apply_dictionary(tagged, read, dicts, domain, read)
+        if nominals:
+            tagged = combine_nominals(tagged, read)
+        return filter_tokens(extract_nouns(tagged, read, None, 0).drop(read), "tokens", stopwords, min_len)
     raise ValueError(f"unknown tokenizer {tokenizer!r}")

@@ -122,6 +122,7 @@ def run_trials(
             [(r.trial_id, r.min_cluster_size, r.min_samples, r.cluster_method) for r in group],
             exact_tree=exact_tree,
             cell_rows=cell_rows,
+            knn_method=knn_method,
         ).withColumnRenamed("trial", "trial_id")
         return scratch.table(trial_metrics(reduced, doc_topics, word_counts, word_sets, min_df, max_df), "metrics")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -64,12 +65,17 @@ def tune(
     min_df: int | float = 5,
     max_df: int | float = 0.95,
     out: str | None = None,
+    tokenizer_options: Mapping | None = None,
     **options,
 ) -> DataFrame:
-    """All trials of the grid, best first."""
+    """All trials of the grid, best first.
+
+    ``tokenizer_options`` goes to :func:`topicweave.operators.tokens.tokenize`.
+    """
     spark = docs.sparkSession
     col = prep.resolve_text_column(docs, text_column)
-    tokens = tok.tokenize(prep.fill_missing_text(docs, col), tokenizer, col, stopwords, min_token_len)
+    texts = prep.fill_missing_text(docs, col)
+    tokens = tok.tokenize(texts, tokenizer, col, stopwords, min_token_len, **(tokenizer_options or {}))
     trials = quality.expand_grid(spark, umap_grid, hdbscan_grid)
     metrics = run_trials(
         vectors, tokens.select("doc_id", "tokens"), trials, target, min_df, max_df, **options
@@ -93,6 +99,7 @@ class TopicModel:
     topic_vectors: DataFrame
     info: DataFrame
     summary: DataFrame
+    prompts: DataFrame | None = None
 
 
 def describe(
@@ -108,12 +115,16 @@ def describe(
     mmr_diversity: float = 0.3,
     models: Mapping[str, represent.RepresentationModel] | None = None,
     word_vectors: Callable[[DataFrame], DataFrame] | None = None,
+    prompt: str | None = None,
+    text_column: str = "text",
 ) -> TopicModel:
     """The words, documents and report of given topics.
 
     ``word_vectors`` turns candidates into ``(word, vec)``, for instance with
     the encoder of the documents; by default a word is the mean of the
     documents that hold it.  ``models`` adds or replaces representation models.
+    ``prompt`` is the template of the label prompts, filled with words and
+    documents of each topic; without one there are none.
     """
     counts = represent.topic_term_counts(tokens, doc_topics)
     scores = scratch.table(
@@ -133,8 +144,12 @@ def describe(
         represent.represent(scores, known, representation, mode), "topic_words"
     )
     info = represent.topic_info(doc_topics, topic_words, reps.where("rank <= 3"))
+    prompts = None
+    if prompt is not None:
+        col = prep.resolve_text_column(docs, text_column)
+        prompts = scratch.table(represent.label_prompts(topic_words, reps, docs, prompt, col), "prompts")
     return TopicModel(
-        doc_topics, scores, topic_words, reps, centers, info, represent.run_summary(doc_topics)
+        doc_topics, scores, topic_words, reps, centers, info, represent.run_summary(doc_topics), prompts
     )
 
 
@@ -152,15 +167,26 @@ def model(
     save_model: bool = True,
     n_epochs: int = 200,
     rounds: int = 10,
+    knn_method: str = "exact",
+    embedding_model: str | None = None,
+    tokenizer_options: Mapping | None = None,
     **description,
 ) -> TopicModel:
-    """Reduce, cluster and describe a corpus; write the results below ``out``."""
+    """Reduce, cluster and describe a corpus; write the results below ``out``.
+
+    ``knn_method="ivf"`` searches neighbours in the nearest cells only, which pays
+    in many dimensions.  ``tokenizer_options`` goes to
+    :func:`topicweave.operators.tokens.tokenize`, ``embedding_model`` to the summary,
+    which also tells the seconds from the call to the end of the other outputs.
+    """
+    begun = time.monotonic()
     spark = docs.sparkSession
     encode.require_alignment(vectors, docs)
     scratch = Scratch(spark, "model")
     col = prep.resolve_text_column(docs, text_column)
+    texts = prep.fill_missing_text(docs, col)
     tokens = scratch.table(
-        tok.tokenize(prep.fill_missing_text(docs, col), tokenizer, col, stopwords, min_token_len).select("doc_id", "tokens"),
+        tok.tokenize(texts, tokenizer, col, stopwords, min_token_len, **(tokenizer_options or {})).select("doc_id", "tokens"),
         "tokens",
     )
     saved = readers.load_tuned_config(spark, tuned_dir) if tuned_dir else readers.DEFAULT_PARAMETERS
@@ -168,17 +194,17 @@ def model(
     reduced = scratch.table(
         reduce_dimensions(
             vectors, p["n_components"], p["n_neighbors"], p["min_dist"], p["umap_metric"],
-            n_epochs=n_epochs, rounds=rounds,
+            n_epochs=n_epochs, rounds=rounds, knn_method=knn_method,
         ),
         "reduced",
     )
     doc_topics = scratch.table(
-        cluster.hdbscan(reduced, p["min_cluster_size"], p["min_samples"], p["cluster_method"]), "topics"
+        cluster.hdbscan(reduced, p["min_cluster_size"], p["min_samples"], p["cluster_method"], knn_method=knn_method), "topics"
     )
     if nr_topics:
         centers = represent.mean_vectors(doc_topics.join(vectors, "doc_id"), "topic")
         doc_topics = scratch.table(cluster.reduce_topics(centers, doc_topics, nr_topics), "topics")
-    result = describe(docs, vectors, tokens, doc_topics, scratch, **description)
+    result = describe(docs, vectors, tokens, doc_topics, scratch, text_column=text_column, **description)
     if out is not None:
         run_id = writers.new_run_id(spark)
         if save_model:
@@ -188,8 +214,11 @@ def model(
             )
         writers.write_topic_info(result.info, out, run_id)
         writers.write_doc_topics(represent.doc_topics_table(docs, doc_topics), out, run_id)
+        if result.prompts is not None:
+            writers.write_label_prompts(result.prompts, out, run_id)
         writers.write_run_summary(
             result.summary, out, run_id, **{k: v for k, v in p.items()},
+            elapsed_seconds=round(time.monotonic() - begun, 1), embedding_model=embedding_model,
             tokenizer=tokenizer if isinstance(tokenizer, str) else "user",
         )
     return result

@@ -80,12 +80,19 @@ def write_topic_info(info: DataFrame, out: str, run_id: str) -> str:
     return _csv(info.coalesce(1), f"{out}/topic_info/run_id={run_id}")  # topics, not documents
 
 
+def write_label_prompts(prompts: DataFrame, out: str, run_id: str) -> str:
+    path = f"{out}/label_prompts/run_id={run_id}"
+    prompts.write.option("ignoreNullFields", False).json(path)
+    return path
+
+
 def write_doc_topics(corpus_with_topics: DataFrame, out: str, run_id: str) -> str:
     return _csv(corpus_with_topics, f"{out}/doc_topics/run_id={run_id}")
 
 
 def write_run_summary(summary: DataFrame, out: str, run_id: str, **settings) -> str:
-    fixed = [F.lit(v).alias(k) for k, v in settings.items()]
+    """The summary and the settings; one that is None becomes a null."""
+    fixed = [(F.lit(v) if v is not None else F.lit(None).cast("string")).alias(k) for k, v in settings.items()]
     return _json(
         summary.select(F.lit(run_id).alias("timestamp"), "*", *fixed), f"{out}/run_summary/run_id={run_id}"
     )
