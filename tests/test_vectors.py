@@ -107,6 +107,16 @@ def test_linear_reduction(spark, planted):
         reduce.reduce_dimensions(frame(spark, planted), method="other")
 
 
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+def test_more_components_than_coordinates(spark, planted, metric):
+    df = frame(spark, planted[:120, :3])
+    got = reduce.reduce_dimensions(df, 6, 8, metric=metric, n_epochs=20, rounds=2).toPandas().sort_values("doc_id")
+    y = np.stack(got.vec)
+    assert y.shape == (120, 6) and np.isfinite(y).all() and (y.std(axis=0) > 0).all()
+    flat = np.stack(reduce.reduce_dimensions(df, 5, method="pca").toPandas().sort_values("doc_id").vec)
+    assert flat.shape == (120, 5) and not flat[:, 3:].any() and flat[:, :3].any(axis=0).all()
+
+
 def test_spanning_forest(spark):
     edges = [(1, 2, 1.0), (2, 3, 1.0), (1, 3, 1.0), (3, 4, 2.0), (4, 5, 0.5), (7, 8, 3.0), (2, 2, 0.0), (5, 1, 2.0)]
     df = spark.createDataFrame(edges, "src long, dst long, w double")

@@ -26,6 +26,8 @@ from topicweave.scratch import Scratch
 # gradient clip, spread of the starting positions.
 BISECTION_STEPS, TOLERANCE, MIN_SCALE = 64, 1e-5, 1e-3
 NEGATIVE_SAMPLES, CLIP, START_EXTENT = 5, 4.0, 10.0
+# and the share of it in components that the vectors do not have
+FLAT_SHARE = 0.01
 
 # points per layout bucket
 BUCKET_ROWS = 4096
@@ -122,10 +124,13 @@ def layout_curve(min_dist: float, spread: float = 1.0) -> tuple[float, float]:
 
 
 def principal_components(vectors: DataFrame, n_components: int) -> DataFrame:
-    """(id, vec): projection on the first principal components."""
+    """(id, vec): projection on the first principal components, 0 for those beyond the coordinates."""
+    first = vectors.select(F.size("vec").alias("n")).first()
+    known = min(n_components, first.n if first else n_components)
     rows = vectors.select("id", array_to_vector("vec").alias("_v"))
-    model = PCA(k=n_components, inputCol="_v", outputCol="_p").fit(rows)
-    return model.transform(rows).select("id", vector_to_array("_p").alias("vec"))
+    model = PCA(k=known, inputCol="_v", outputCol="_p").fit(rows)
+    beyond = F.array_repeat(F.lit(0.0), n_components - known)
+    return model.transform(rows).select("id", F.concat(vector_to_array("_p"), beyond).alias("vec"))
 
 
 def _layout_kernel(a, b, seed, round_no, epochs, first_epoch, n_epochs):
@@ -248,10 +253,18 @@ def reduce_points(
     """(id, vec): distinct points laid out from their neighbour lists."""
     graph = scratch.table(fuzzy_graph(knn, n_neighbors), "graph")
     start = scratch.table(principal_components(points, n_components), "components")
-    widest = start.agg(F.max(F.array_max(F.transform("vec", lambda x: F.abs(x))))).first()[0] or 1.0
+    extent = start.agg(*[F.max(F.abs(F.col("vec")[j])).alias(str(j)) for j in range(n_components)]).first()
+    widest = max((e or 0.0 for e in extent), default=0.0) or 1.0
+    # forces act along differences only, so a component that all points share would never be used:
+    # it starts from small places that a hash of the id chooses
+    flat = F.array(*[F.lit(round((e or 0.0) * (START_EXTENT / widest), 6) == 0) for e in extent])
+    chosen = lambda j: F.round((F.pmod(F.xxhash64("id", j), F.lit(2001)) / 1000.0 - 1) * (START_EXTENT * FLAT_SHARE), 6)
     # rounding removes what the order of summation leaves in the last bits
     start = start.withColumn(
-        "vec", F.transform("vec", lambda x: F.round(x * (START_EXTENT / widest), 6))
+        "vec",
+        F.transform(
+            "vec", lambda x, j: F.when(F.get(flat, j), chosen(j)).otherwise(F.round(x * (START_EXTENT / widest), 6))
+        ),
     )
     return layout(start, graph, min_dist, scratch, seed, n_epochs, rounds, bucket_rows)
 
