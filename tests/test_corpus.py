@@ -46,3 +46,16 @@ def test_doc_ids_are_dense_and_stable(spark):
     assert sorted(map(key, one.collect()), key=str) == sorted(map(key, many.collect()), key=str)
     assert sorted(r.doc_id for r in one.collect()) == list(range(101))
     assert sorted((r.text, r.k) for r in one.where("text is not null").collect()) == sorted(r for r in rows if r[0])
+
+
+def test_doc_ids_with_clashing_names_maps_and_alike_joins(spark):
+    rows = [("a\x1fb", "c", {"k": 1}), ("a", "b\x1fc", {"k": 1}), ("a", "b\x1fc", {"k": 2}), (None, "\x00", None), ("\x00", None, None)]
+    df = spark.createDataFrame(rows * 3, "row string, digest string, n map<string,int>")
+    got = corpus.with_doc_id(df, rows_per_task=2).collect()
+    assert sorted(r.doc_id for r in got) == list(range(15))
+    assert sorted(map(str, ((r.row, r.digest, r.n) for r in got))) == sorted(map(str, rows * 3))
+    runs = {}
+    for r in got:
+        runs.setdefault(str((r.row, r.digest, r.n)), []).append(r.doc_id)
+    assert all(max(ids) - min(ids) == 2 for ids in runs.values())  # equal rows lie next to each other
+    assert corpus.with_doc_id(df.limit(0)).count() == 0

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicweave.functions.text import non_empty
+from topicweave.scratch import Scratch
 
 # Text column names tried in this order after the preferred one.
 TEXT_COLUMNS = ("text", "abstract", "content", "본문")
@@ -75,52 +76,67 @@ def missing_text_report(
 def with_doc_id(
     df: DataFrame,
     id_column: str | None = None,
-    buckets: int = 1024,
+    buckets: int | None = None,
     rows_per_task: int = 100_000,
 ) -> DataFrame:
     """Add ``doc_id``: the given column, or dense numbers in content order.
 
     The order is that of a digest of the whole row, so the numbers do not
-    depend on how the input is split.  Equal rows are counted, not shuffled one
-    by one: a row that makes up a third of the table is one group of size n/3
-    until the copies are written out again, in chunks spread over all tasks.  A
+    depend on how the input is split.  ``df`` is read twice and must then hold
+    the same rows.  First only digests travel: equal rows are counted map-side,
+    and the digests are numbered in equal stretches of their range, one for a
+    million different rows unless ``buckets`` says otherwise (digests spread
+    evenly, so no sample has to find the stretches).  Then each different row is
+    shuffled once, to the first number of its digest, and its copies are written
+    out; a row with more than ``rows_per_task`` copies is spread over tasks.  A
     ``doc_id`` that the table has already is kept, as a number.
     """
     if id_column is None and "doc_id" in df.columns:
         id_column = "doc_id"
     if id_column:
         return df.withColumn("doc_id", F.col(id_column).cast("long"))
-    cols = df.columns
+    scratch = Scratch(df.sparkSession, "doc-id")
     nested = ("array", "map", "struct")
-    texts = [
-        F.coalesce(F.to_json(c) if t.startswith(nested) else F.col(c).cast("string"), F.lit("\x00"))
-        for c, t in df.dtypes
-    ]
-    digest = F.md5(F.concat_ws("\x1f", *texts))
-    copies = (
-        df.groupBy(*cols)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_digest", digest)
-        .withColumn("_bucket", F.conv(F.substring("_digest", 1, 8), 16, 10).cast("long") * buckets)
-        .withColumn("_bucket", F.shiftright("_bucket", 32))
+    # columns by name, in one struct: no name of the table can clash with those used here
+    named = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+    texts = [F.to_json(c) if t.startswith(nested) else c.cast("string") for c, (_, t) in zip(named, df.dtypes)]
+    order = F.md5(F.concat_ws("\x1f", *[F.coalesce(t, F.lit("\x00")) for t in texts]))
+    # lengths keep apart what only joins to the same text
+    told = [F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    rows = df.select(
+        F.struct(*named).alias("row"), order.alias("digest"), F.unhex(F.sha2(F.concat(*told), 256)).alias("identity")
     )
-    # at most `buckets` rows from here on
-    starts = copies.groupBy("_bucket").agg(F.sum("_n").alias("_size")).select(
-        "_bucket",
-        (F.sum("_size").over(Window.orderBy("_bucket")) - F.col("_size")).alias("_start"),
+    copies = scratch.table(rows.groupBy("digest", "identity").agg(F.count(F.lit(1)).alias("n")), "copies")
+    n = buckets or 1 + scratch.rows(copies) // 1_000_000
+    stretch = F.shiftright(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") * n, 32)
+    copies = copies.withColumn("stretch", stretch)
+    # one row a stretch
+    starts = copies.groupBy("stretch").agg(F.sum("n").alias("size")).select(
+        "stretch", (F.sum("size").over(Window.orderBy("stretch")) - F.col("size")).alias("start")
     )
     within = (
-        Window.partitionBy("_bucket").orderBy("_digest", *cols).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy("stretch").orderBy("digest", "identity").rowsBetween(Window.unboundedPreceding, 0)
     )
-    numbered = (
-        copies.withColumn("_before", F.sum("_n").over(within) - F.col("_n"))
-        .join(F.broadcast(starts), "_bucket")
-        .withColumn("_first", F.col("_start") + F.col("_before"))
+    firsts = (
+        copies.withColumn("before", F.sum("n").over(within) - F.col("n"))
+        .join(F.broadcast(starts), "stretch")
+        .select("digest", "identity", "n", (F.col("start") + F.col("before")).alias("first"))
     )
-    chunked = numbered.withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(rows_per_task)))
-    ).repartition("_digest", "_chunk")
-    last = F.least(F.col("_chunk") + rows_per_task, F.col("_n")) - 1
-    return chunked.select(F.explode(F.sequence(F.col("_chunk"), last)).alias("_copy"), "_first", *cols).select(
-        (F.col("_first") + F.col("_copy")).alias("doc_id"), *cols
+    different = rows.groupBy("digest", "identity").agg(F.first("row").alias("row"))
+    numbered = scratch.table(
+        different.join(firsts, ["digest", "identity"]).select("first", "n", "row"), "numbered"
     )
+    scratch.drop(copies)
+    few = numbered.where(F.col("n") <= rows_per_task).select(
+        F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("doc_id"), "row"
+    )
+    chunk = F.sequence(F.col("first"), F.col("first") + F.col("n") - 1, F.lit(rows_per_task))
+    many = (
+        numbered.where(F.col("n") > rows_per_task)
+        .select(F.explode(chunk).alias("chunk"), (F.col("first") + F.col("n")).alias("end"), "row")
+        .repartition("chunk")
+        .select(
+            F.explode(F.sequence("chunk", F.least(F.col("chunk") + rows_per_task, F.col("end")) - 1)).alias("doc_id"), "row"
+        )
+    )
+    return few.unionByName(many).select("doc_id", "row.*")
