@@ -21,6 +21,54 @@ def test_csv_edges(spark, tmp_path):
     assert raw.columns == ["id", "text", "score"] and raw.where("text = 'NA'").count() == 1
 
 
+def _csv_rows(rng, n):
+    words = ["plain", 'a "quoted" word', "two\nlines", "\n\n", "", 'x"y', "comma, here", "é가😀", '"', "\r\nend", " lead", "long " * 30]
+    return [(str(i), *(" ".join(rng.choice(words, 2)) for _ in range(2))) for i in range(n)]
+
+
+def _csv_bytes(rng, rows, end):
+    field = lambda v: '"' + v.replace('"', '""') + '"' if rng.random() < 0.2 or any(c in v for c in ',"\n\r') else v
+    return end.join(",".join(map(field, r)) for r in [("id", "a", "b"), *rows]).encode("utf-8")
+
+
+@pytest.fixture
+def small_splits(spark):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_csv_with_line_breaks_is_read_in_splits(spark, tmp_path, small_splits):
+    rng = np.random.default_rng(1)
+    for i, n in enumerate((400, 1, 0)):
+        (tmp_path / f"{i}.csv").write_bytes(_csv_bytes(rng, _csv_rows(rng, n), "\n"))
+    # a stray quote in an unquoted field opens nothing; empty lines are no records; one text spans several splits
+    (tmp_path / "3.csv").write_bytes(b'id,a,b\n\n1,5" pipe,x\n\n2,"' + b"word\n" * 3000 + b'",y\n3,,""""\n')
+    one_task = spark.read.options(header=True, multiLine=True, quote='"', escape='"').csv(str(tmp_path))
+    assert spark.read.text(str(tmp_path / "0.csv")).rdd.getNumPartitions() >= 8
+    got = readers.read_corpus_csv(spark, str(tmp_path), pandas_na=False).collect()
+    assert len(got) == 404 and sorted(map(str, got)) == sorted(map(str, one_task.collect()))
+
+
+def test_csv_keeps_line_breaks_of_either_kind(spark, tmp_path, small_splits):
+    rng = np.random.default_rng(2)
+    rows = _csv_rows(rng, 300)
+    (tmp_path / "c.csv").write_bytes(b"\xef\xbb\xbf" + _csv_bytes(rng, rows, "\r\n"))
+    got = readers.read_corpus_csv(spark, str(tmp_path), pandas_na=False).collect()
+    assert sorted(tuple(v or "" for v in r) for r in got) == sorted(rows)
+
+
+def test_quotes_open_fields_only_at_their_beginning():
+    from topicweave.sources.records import ends_inside
+
+    cases = {'a,b': 0, 'a,"b': 1, '"a""': 1, '"a"': 0, '""': 0, '"""': 1, '""""': 0, 'a"b,c': 0, '"a,b",c': 0, '"a" x,"': 1, ',"': 1, '': 0}
+    for line, inside in cases.items():
+        assert ends_inside(line, False) == bool(inside), line
+    assert ends_inside('b",c', True) is False and ends_inside('b""', True) is True and ends_inside('",', True) is False
+    assert ends_inside('b","', True) is True and ends_inside("", True) is True
+
+
 def test_word_list_and_user_dict(spark, tmp_path):
     (tmp_path / "w.txt").write_text("# note\n  그 \n\nthe\nthe\n", encoding="utf-8")
     words = readers.read_word_list(spark, str(tmp_path / "w.txt"))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from topicweave.sources.records import csv_records
+
 # The strings pandas reads as missing.
 MISSING = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -28,17 +30,17 @@ def read_corpus_csv(
 ) -> DataFrame:
     """A CSV with header, quotes doubled inside quotes, BOM or not.
 
-    Columns are strings, or those of ``schema``.  Multi-line fields keep a file
-    in one task; write large corpora as many files or set ``multi_line=False``.
+    Columns are strings, or those of ``schema``.  Fields may hold line breaks, and a
+    large file is still read by many tasks (see ``records``); ``multi_line=False``
+    saves the second pass where no field does.  Files in partition folders
+    (``column=value``) are read whole by one task each.
     """
-    df = (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-        .csv(path)
-    )
+    options = dict(header=True, quote='"', escape='"', encoding="UTF-8", multiLine=multi_line)
+    df = spark.read.options(**options).csv(path)
+    if multi_line and len(spark.read.text(path).columns) == 1:
+        strings = T.StructType([T.StructField(c, T.StringType()) for c in df.columns])
+        parsed = F.from_csv("record", strings.toDDL(), dict(quote='"', escape='"', multiLine="true"))
+        df = csv_records(spark, path).select(parsed.alias("row")).select("row.*")
     if pandas_na:
         df = df.select(
             [F.when(~F.col(f"`{c}`").isin(*MISSING), F.col(f"`{c}`")).alias(c) for c in df.columns]
