@@ -100,6 +100,16 @@ def benchmark_bigrams(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def benchmark_carets(spark: SparkSession, sf: str) -> DataFrame:
+    """Long words of the benchmark texts, to be split behind the fourth letter, as caret terms."""
+    items = tok.tokenize_none(table(spark, sf, "benchmark").select("item_id", "text"))
+    words = items.select(F.explode("tokens").alias("word")).distinct().where("char_length(word) >= 8 and not contains(word, '^')")
+    term = F.concat_ws("^", F.substring("word", 1, 4), F.substring("word", 5, 1_000_000))
+    return words.select(
+        F.lit("bench").alias("domain"), F.lit("cp_caret").alias("kind"), F.lit(0).cast("long").alias("pos"), term.alias("term")
+    )
+
+
 def labelings(spark: SparkSession, sf: str) -> DataFrame:
     """Three labelings of the embedded documents, as three trials."""
     both = documents(spark, sf).select("doc_id", "source", "lang").join(

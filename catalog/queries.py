@@ -274,9 +274,8 @@ def list_dictionary_domains(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def apply_dictionary(spark: SparkSession, sf: str) -> DataFrame:
-    rows = dictionary.apply_dictionary(
-        given.pairs(spark, sf), "pairs", given.benchmark_bigrams(spark, sf), "bench"
-    )
+    terms = given.benchmark_bigrams(spark, sf).unionByName(given.benchmark_carets(spark, sf))
+    rows = dictionary.apply_dictionary(given.pairs(spark, sf), "pairs", terms, "bench")
     return rows.select(
         "doc_id",
         F.size("pairs").cast("long").alias("n_before"),

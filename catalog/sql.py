@@ -299,11 +299,15 @@ SQL: dict[str, str] = {
         picked="""SELECT doc_id, min(i) AS i, arg_min(n, i) AS n FROM hits GROUP BY doc_id UNION ALL
           SELECT h.doc_id, min(h.i), arg_min(h.n, h.i) FROM picked p JOIN hits h ON h.doc_id = p.doc_id AND h.i >= p.i + p.n GROUP BY h.doc_id""",
         inner_="SELECT doc_id, unnest(range(i + 1, i + n)) AS i FROM picked",
-        outp="""SELECT n.doc_id, n.i, CASE WHEN p.i IS NOT NULL
-            THEN array_to_string(l.w[n.i : n.i + p.n - 1], '') ELSE form END AS form, q.i AS swallowed
+        carets=f"""SELECT DISTINCT word FROM (SELECT unnest({words('text')}) AS word FROM benchmark)
+          WHERE len(word) >= 8 AND NOT contains(word, '^')""",
+        outp="""SELECT n.doc_id, n.i, CASE WHEN p.i IS NOT NULL THEN array_to_string(l.w[n.i : n.i + p.n - 1], '')
+            WHEN c.word IS NOT NULL THEN left(form, 4) || ' ' || substr(form, 5) ELSE form END AS form, q.i AS swallowed,
+            p.i IS NULL AND c.word IS NOT NULL AS is_split
           FROM nxt n JOIN lists l USING (doc_id) LEFT JOIN picked p ON n.doc_id = p.doc_id AND n.i = p.i
-          LEFT JOIN inner_ q ON n.doc_id = q.doc_id AND n.i = q.i""",
-        agg="""SELECT doc_id, count(*) AS n_before, count(*) FILTER (swallowed IS NULL) AS n_after,
+          LEFT JOIN inner_ q ON n.doc_id = q.doc_id AND n.i = q.i LEFT JOIN carets c ON c.word = n.form""",
+        agg="""SELECT doc_id, count(*) AS n_before,
+            count(*) FILTER (swallowed IS NULL) + count(*) FILTER (swallowed IS NULL AND is_split) AS n_after,
           string_agg(form, ' ' ORDER BY i) FILTER (swallowed IS NULL) AS forms FROM outp GROUP BY doc_id""",
     )
     + "SELECT doc_id, coalesce(n_before, 0) AS n_before, coalesce(n_after, 0) AS n_after, coalesce(forms, '') AS forms FROM documents LEFT JOIN agg USING (doc_id)",

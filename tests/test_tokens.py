@@ -1,5 +1,6 @@
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -112,6 +113,38 @@ def test_dictionary(spark):
         3: [("학교", "NNG"), ("폭력", "NNG"), ("은", "JX")],
         4: [],
     }
+    sliced = dictionary.apply_dictionary(df, "pairs", dicts, "youth", max_chars=4)
+    assert sliced.columns == ["doc_id", "pairs", "after"]
+    assert {r.doc_id: [(p.form, p.tag) for p in r.after] for r in sliced.collect()} == got
+
+
+def test_dictionary_against_every_stretch_of_tokens(spark):
+    rng = np.random.default_rng(5)
+    word = lambda n: "".join(rng.choice(list("ab"), n))
+    docs = [(i, [(word(rng.integers(1, 4)), "X") for _ in range(rng.integers(0, 12))]) for i in range(200)]
+    docs.append((200, [("ab", "X")] * 5000))
+    whole, carets = {word(rng.integers(2, 9)) for _ in range(60)} | {"abab"}, {"a^ba", "b^b", "bb^a", "a^b^b"}
+    split = {c.replace("^", ""): c.split("^") for c in carets}
+
+    def expected(forms):
+        out, i = [], 0
+        while i < len(forms):
+            fit = [n for n in range(2, min(len(forms) - i, 9) + 1) if "".join(forms[i : i + n]) in whole]
+            if fit:
+                out.append(("".join(forms[i : i + max(fit)]), "NNP"))
+            else:
+                out += [(p, "NNG") for p in split[forms[i]]] if forms[i] in split else [(forms[i], "X")]
+            i += max(fit, default=1)
+        return out
+
+    none = spark.createDataFrame([], dictionary.DICTIONARY_SCHEMA)
+    dicts = dictionary.register_dictionary(none, "d", np=whole, cp_caret=carets)
+    df = spark.createDataFrame(docs, "doc_id long, pairs array<struct<form:string,tag:string>>")
+    for bound in (8_000_000, 100):
+        got = dictionary.apply_dictionary(df, "pairs", dicts, "d", max_chars=bound).collect()
+        assert len(got) == 201
+        for r in got:
+            assert [tuple(p) for p in r.after] == expected([f for f, _ in docs[r.doc_id][1]]), bound
 
 
 def test_tokenizer_by_name_and_function(spark):

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+from bisect import bisect_left
 from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicweave.operators.tokens import COMMON_NOUN, PROPER_NOUN
+from topicweave.scratch import Scratch
 
 DICTIONARY_SCHEMA = "domain string, kind string, pos long, term string"
 PAIRS = "array<struct<form:string,tag:string>>"
+MET = "array<struct<at:int,n:int,put:array<string>,whole:boolean>>"
 
 
 def register_dictionary(
@@ -44,67 +51,111 @@ def list_dictionary_domains(dicts: DataFrame) -> DataFrame:
     return dicts.select("domain").distinct()
 
 
+def _meet(forms: list, terms: list[str], carets: dict[str, list[str]]) -> list[dict]:
+    """The longest term that begins at each token and ends with one, and caret terms that are a token.
+
+    ``terms`` is sorted: what a joined form begins is a stretch of it, which narrows with every token.
+    """
+    met = []
+    for at, form in enumerate(forms):
+        if form is None:
+            continue
+        joined, low, best = form, bisect_left(terms, form), 0
+        for end in range(at + 1, len(forms)):
+            if low == len(terms) or not terms[low].startswith(joined) or forms[end] is None:
+                break
+            joined += forms[end]
+            low = bisect_left(terms, joined, low)
+            if low < len(terms) and terms[low] == joined:
+                best, term = end - at + 1, joined
+        if best:
+            met.append({"at": at, "n": best, "put": [term], "whole": True})
+        if form in carets:
+            met.append({"at": at, "n": 1, "put": carets[form], "whole": False})
+    return met
+
+
+def _rewrite(pairs: list[dict], met: list[dict]) -> list[dict]:
+    """The tokens with the met terms put in: from left to right, the longest first."""
+    out, since = [], 0
+    for span in sorted(met, key=lambda s: (s["at"], -s["n"])):
+        if span["at"] >= since:
+            tag = PROPER_NOUN if span["whole"] else COMMON_NOUN
+            out += pairs[since : span["at"]] + [{"form": form, "tag": tag} for form in span["put"]]
+            since = span["at"] + span["n"]
+    return out + pairs[since:]
+
+
+def _forms(pairs: list[dict] | None) -> list:
+    return [p and p["form"] for p in pairs or []]
+
+
+def _column(function, returned: str, *cols):
+    """A column of an Arrow function of rows; Spark may not copy it into a lambda, where it could not run."""
+    arrow = pa.list_(pa.struct({"at": pa.int32(), "n": pa.int32(), "put": pa.list_(pa.string()), "whole": pa.bool_()}))
+    if returned == PAIRS:
+        arrow = pa.list_(pa.struct({"form": pa.string(), "tag": pa.string()}))
+
+    def run(first: pa.Array) -> pa.Array:
+        return pa.array(map(function, first.to_pylist()), arrow)
+
+    def run_two(first: pa.Array, second: pa.Array) -> pa.Array:
+        return pa.array(map(function, first.to_pylist(), second.to_pylist()), arrow)
+
+    return F.arrow_udf(run if len(cols) == 1 else run_two, returned).asNondeterministic()(*cols)
+
+
+def _share(spark: SparkSession, terms: DataFrame) -> Broadcast:
+    """The given terms, whose size the caller has checked, on every worker."""
+    rows = terms.select("whole", "term", "parts").collect()
+    return spark.sparkContext.broadcast(
+        (sorted(r.term for r in rows if r.whole), {r.term: r.parts for r in rows if not r.whole})
+    )
+
+
 def apply_dictionary(
-    df: DataFrame, pairs_col: str, dicts: DataFrame, domain: str, out: str = "after"
+    df: DataFrame, pairs_col: str, dicts: DataFrame, domain: str, out: str = "after", max_chars: int = 8_000_000
 ) -> DataFrame:
     """Add ``out``: the tagged tokens as they read with the dictionary of ``domain``.
 
     Neighbouring tokens whose joined form is a term become that term, the
     longest first from left to right; a token that is a caret term without its
-    carets is split at them.  ``df`` needs ``doc_id``.
+    carets is split at them.  ``df`` needs ``doc_id``, one row each.
+
+    Documents stay where they are: terms go to all workers, as a sorted array
+    that serves as a trie.  Their characters are counted first.  A domain of more
+    than ``max_chars`` is dealt into slices that are applied one after the other,
+    each by a pass over the documents, so no worker or driver holds more than one.
     """
     terms = dicts.where(F.col("domain") == domain)
-    whole = terms.where(F.col("kind") != "cp_caret").select("term").distinct()
-    carets = terms.where(F.col("kind") == "cp_caret").select(
-        F.replace("term", F.lit("^"), F.lit("")).alias("term"), F.split("term", r"\^").alias("parts")
+    whole = terms.where(F.col("kind") != "cp_caret").select(
+        F.lit(True).alias("whole"), "term", F.lit(None).cast("array<string>").alias("parts")
     )
-    carets = carets.groupBy("term").agg(F.min("parts").alias("parts"))
-    pairs = F.col(pairs_col)
-    forms = F.transform(pairs, lambda p: p["form"])
-    # a term is met through its beginning, the joined form of two neighbours
-    # (zip_with, not positions: a lambda that looks into the array would rebuild it per token)
-    begins = F.zip_with(forms, F.slice(forms, 2, F.greatest(F.size(pairs), F.lit(1))), lambda a, b: F.concat(a, b))
-    met = df.select("doc_id", F.posexplode(begins).alias("pos", "begin")).where("begin is not null")
-    beginnings = whole.select(
-        "term",
-        F.explode(F.transform(F.sequence(F.lit(1), F.char_length("term")), lambda n: F.substring("term", F.lit(1), n))).alias("begin"),
+    carets = (
+        terms.where(F.col("kind") == "cp_caret")
+        .groupBy(F.replace("term", F.lit("^"), F.lit("")).alias("term"))
+        .agg(F.min(F.split("term", r"\^")).alias("parts"))
+        .select(F.lit(False).alias("whole"), "term", "parts")
     )
-    parts = F.transform("parts", lambda p: F.struct(p.alias("form"), F.lit(COMMON_NOUN).alias("tag")))
-    whole_put = F.array(F.struct(F.col("term").alias("form"), F.lit(PROPER_NOUN).alias("tag")))
-    candidates = (
-        met.join(beginnings, "begin")
-        .select("doc_id", "pos", "term", whole_put.alias("put"), F.lit(2).alias("least"))
-        .unionByName(
-            df.select("doc_id", F.posexplode(forms).alias("pos", "term"))
-            .join(carets, "term")
-            .select("doc_id", "pos", "term", parts.alias("put"), F.lit(1).alias("least"))
-        )
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct((F.col("pos") + 1).alias("at"), "term", "put", "least")).alias("_met"))
-    )
-
-    def spans(m: Column) -> Column:
-        # a form has at least one character, so a term ends within its length
-        most = F.when(m["least"] == 1, 1).otherwise(
-            F.least(F.char_length(m["term"]), F.size(pairs) - m["at"] + 1)
-        )
-        joined = lambda n: F.array_join(F.transform(F.slice(pairs, m["at"], n), lambda p: p["form"]), "")
-        fitting = F.filter(F.sequence(m["least"], most), lambda n: joined(n) == m["term"])
-        return F.transform(
-            fitting, lambda n: F.struct(m["at"].alias("at"), (-n).alias("neg_n"), m["put"].alias("put"))
-        )
-
-    def take(state: Column, m: Column) -> Column:
-        end = m["at"] - m["neg_n"]
-        gap = F.slice(pairs, state["next"], m["at"] - state["next"])
-        taken = F.struct(
-            end.alias("next"), F.concat(state["out"], gap, m["put"]).cast(PAIRS).alias("out")
-        )
-        return F.when(m["at"] >= state["next"], taken).otherwise(state)
-
-    begin = F.struct(F.lit(1).alias("next"), F.array().cast(PAIRS).alias("out"))
-    finish = lambda s: F.concat(s["out"], F.slice(pairs, s["next"], F.size(pairs)))
-    matched = df.join(candidates, "doc_id", "left").withColumn("_spans", F.array_sort(F.flatten(F.transform("_met", spans))))
-    return matched.withColumn(
-        out, F.coalesce(F.aggregate("_spans", begin, take, finish), pairs.cast(PAIRS))
-    ).drop("_met", "_spans")
+    # an empty term would be met nowhere
+    entries = whole.distinct().unionByName(carets).where(F.char_length("term") > 0)
+    chars = entries.agg(F.coalesce(F.sum(F.char_length("term")), F.lit(0))).first()[0]
+    pairs = F.col(pairs_col).cast(PAIRS)
+    spark = df.sparkSession
+    if chars <= max_chars:
+        told = _share(spark, entries)
+        return df.withColumn(out, _column(lambda row: row and _rewrite(row, _meet(_forms(row), *told.value)), PAIRS, pairs))
+    scratch = Scratch(spark, "dictionary")
+    n = 1 + 2 * chars // max_chars
+    entries = scratch.table(entries.withColumn("slice", F.pmod(F.xxhash64("term"), F.lit(n))), "terms")
+    slices = []
+    for k in range(n):
+        told = _share(spark, entries.where(F.col("slice") == k))
+        spans = _column(lambda row, told=told: _meet(_forms(row), *told.value), MET, pairs)
+        slices.append(scratch.table(df.select("doc_id", spans.alias("met")).where(F.size("met") > 0), "met"))
+        told.destroy()
+    scratch.drop(entries)
+    name = f"met_{uuid.uuid4().hex}"  # of no column of the table
+    met = reduce(DataFrame.unionByName, slices).groupBy("doc_id").agg(F.flatten(F.collect_list("met")).alias(name))
+    rewritten = _column(lambda row, met: row and _rewrite(row, met or []), PAIRS, pairs, F.col(name))
+    return df.join(met, "doc_id", "left").withColumn(out, rewritten).drop(name)
