@@ -143,6 +143,25 @@ def test_clusters_equal_full_tree(spark, planted, crowded, case):
         assert label.tolist() == brute.hdbscan(x, size, samples, method).tolist()
 
 
+def test_outside_search_moves_only_vectors_that_may_be_met(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    centers = np.array([[0, 0], [30, 0], [0, 30], [30, 30], [300, 300]])
+    x = np.vstack([c + rng.normal(size=(60, 2)) for c in centers])
+    searches = []
+
+    class Recorded(spanning.OutsideSearch):
+        def __init__(self, *args):
+            super().__init__(*args)
+            searches.append(self)
+
+    monkeypatch.setattr(cluster, "OutsideSearch", Recorded)
+    got = cluster.cluster_grid(frame(spark, x), [(0, 10, 3, "eom")], cell_rows=12, block_rows=64).toPandas()
+    assert got.sort_values("doc_id").topic.tolist() == brute.hdbscan(x, 10, 3, "eom").tolist()
+    moved = searches[0].moved
+    # all searches together send fewer vectors than one search of everything would
+    assert len(moved) >= 2 and sum(moved) < len(x)
+
+
 def test_no_cluster(spark):
     got = cluster.hdbscan(frame(spark, np.random.default_rng(0).normal(size=(12, 3))), 10, 2)
     assert [r.topic for r in got.collect()] == [-1] * 12

@@ -201,6 +201,7 @@ class OutsideSearch:
         block_rows: int = BLOCK_ROWS,
     ):
         self.cells, self.scratch, self.block_rows = cells, scratch, block_rows
+        self.moved: list[int] = []  # candidates whose vectors were sent, by search
         points = cells.points.select("id", "cell").join(core, "id").join(list_end, "id", "left")
         self.labels = scratch.table(
             points.select("run", "id", "cell", "core", F.coalesce("list_end", F.lit(0.0)).alias("list_end"), F.col("id").alias("comp")),
@@ -236,7 +237,12 @@ class OutsideSearch:
         )
         if not scratch.rows(open_points):
             return None
-        vectors = cells.points.select("id", "vec")
+        vectors = cells.points.select("id", "vec", F.col("cell").alias("at"))
+
+        def of_cells(rows: DataFrame) -> DataFrame:
+            """Vectors of the cells that ``rows`` name; the others do not move."""
+            some = F.broadcast(rows.select(F.col("cell").alias("at")).distinct())  # at most one row a cell
+            return vectors.join(some, "at", "left_semi").drop("at")
 
         # the pivots are points: the nearest one outside bounds the best edge
         pivot_ids = cells.pivot_ids.tolist()
@@ -270,7 +276,7 @@ class OutsideSearch:
                     {"run": batch.column("run"), "comp": batch.column("comp"), "bound": pa.array(bound)}
                 )
 
-        placed = open_points.join(vectors, "id").select("run", "id", "cell", "core", "comp", "bound", "vec")
+        placed = open_points.join(of_cells(open_points), "id").select("run", "id", "cell", "core", "comp", "bound", "vec")
         bounds = (
             placed.select("run", "comp", "core", "bound", "vec")
             .mapInArrow(by_pivot, "run int, comp long, bound double")
@@ -307,14 +313,25 @@ class OutsideSearch:
             )
         )
         queries = scratch.table(queries, "queries")
-        candidates = self.labels.join(vectors, "id").select(
-            "run", "cell", F.col("id").alias("c_id"), F.col("core").alias("c_core"), F.col("comp").alias("c_comp"), F.col("vec").alias("c_vec"),
+        # of a cell that is looked into, points whose own distance is beyond all bounds cannot be reached;
+        # one row a run and cell
+        visited = queries.groupBy("run", "cell").agg(F.max("bound").alias("farthest"))
+        wanted = scratch.table(
+            self.labels.join(F.broadcast(visited), ["run", "cell"]).where(F.col("core") <= F.col("farthest")).select(
+                "run", "cell", F.col("id"), F.col("core").alias("c_core"), F.col("comp").alias("c_comp")
+            ),
+            "wanted",
         )
+        self.moved.append(scratch.rows(wanted))
+        candidates = wanted.join(of_cells(wanted), "id").withColumnsRenamed({"id": "c_id", "vec": "c_vec"})
         found = block_join(
             queries, candidates, _outside_kernel, "run int, v long, o long, w double, src long, dst long",
             cell=("run", "cell"), block_rows=self.block_rows,
         )
-        return scratch.table(least_edges(found), "outside", replaces=queries)
+        outside = scratch.table(least_edges(found), "outside", replaces=queries)
+        scratch.drop(wanted)
+        scratch.drop(open_points)
+        return outside
 
 
 def _outside_kernel(chunk: pa.Table, block: pa.Table) -> pa.Table:
