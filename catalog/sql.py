@@ -311,6 +311,10 @@ SQL: dict[str, str] = {
           string_agg(form, ' ' ORDER BY i) FILTER (swallowed IS NULL) AS forms FROM outp GROUP BY doc_id""",
     )
     + "SELECT doc_id, coalesce(n_before, 0) AS n_before, coalesce(n_after, 0) AS n_after, coalesce(forms, '') AS forms FROM documents LEFT JOIN agg USING (doc_id)",
+    "embed_corpus": """SELECT row_number() OVER (ORDER BY md5(text || chr(31) || coalesce(lang, chr(0)) || chr(31)
+          || coalesce(source, chr(0)) || chr(31) || coalesce(n_chars::VARCHAR, chr(0)) || chr(31) || quality || chr(31)
+          || coalesce(toxic::VARCHAR, chr(0)) || chr(31) || left(text, 2500))) - 1 AS doc_id, lang, CAST(64 AS INTEGER) AS dim
+        FROM documents JOIN labels USING (doc_id) WHERE quality = 1 AND text <> ''""",
     "hash_documents": cte(
         w=f"SELECT doc_id, unnest({words('text')}) AS w FROM documents",
         s="""SELECT doc_id, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 64 AS slot,
