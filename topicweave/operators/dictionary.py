@@ -9,7 +9,7 @@ from functools import reduce
 
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicweave.operators.tokens import COMMON_NOUN, PROPER_NOUN
@@ -17,6 +17,7 @@ from topicweave.scratch import Scratch
 
 DICTIONARY_SCHEMA = "domain string, kind string, pos long, term string"
 PAIRS = "array<struct<form:string,tag:string>>"
+SPANS = "array<struct<at:int,n:int,put:array<string>,whole:boolean,since:int>>"
 MET = "array<struct<at:int,n:int,put:array<string>,whole:boolean>>"
 
 
@@ -75,34 +76,25 @@ def _meet(forms: list, terms: list[str], carets: dict[str, list[str]]) -> list[d
     return met
 
 
-def _rewrite(pairs: list[dict], met: list[dict]) -> list[dict]:
-    """The tokens with the met terms put in: from left to right, the longest first."""
-    out, since = [], 0
+def _leftmost(met: list[dict]) -> list[dict]:
+    """Spans that do not overlap, from left to right, the longest first; ``since``: the end of the one before."""
+    taken, since = [], 0
     for span in sorted(met, key=lambda s: (s["at"], -s["n"])):
         if span["at"] >= since:
-            tag = PROPER_NOUN if span["whole"] else COMMON_NOUN
-            out += pairs[since : span["at"]] + [{"form": form, "tag": tag} for form in span["put"]]
+            taken.append({**span, "since": since})
             since = span["at"] + span["n"]
-    return out + pairs[since:]
+    return taken
 
 
-def _forms(pairs: list[dict] | None) -> list:
-    return [p and p["form"] for p in pairs or []]
-
-
-def _column(function, returned: str, *cols):
+def _column(function, returned: str, col):
     """A column of an Arrow function of rows; Spark may not copy it into a lambda, where it could not run."""
-    arrow = pa.list_(pa.struct({"at": pa.int32(), "n": pa.int32(), "put": pa.list_(pa.string()), "whole": pa.bool_()}))
-    if returned == PAIRS:
-        arrow = pa.list_(pa.struct({"form": pa.string(), "tag": pa.string()}))
-
-    def run(first: pa.Array) -> pa.Array:
-        return pa.array(map(function, first.to_pylist()), arrow)
+    fields = [("at", pa.int32()), ("n", pa.int32()), ("put", pa.list_(pa.string())), ("whole", pa.bool_())]
+    arrow = pa.list_(pa.struct(fields + [("since", pa.int32())] * (returned == SPANS)))
 
-    def run_two(first: pa.Array, second: pa.Array) -> pa.Array:
-        return pa.array(map(function, first.to_pylist(), second.to_pylist()), arrow)
+    def run(rows: pa.Array) -> pa.Array:
+        return pa.array((function(row or []) for row in rows.to_pylist()), arrow)
 
-    return F.arrow_udf(run if len(cols) == 1 else run_two, returned).asNondeterministic()(*cols)
+    return F.arrow_udf(run, returned).asNondeterministic()(col)
 
 
 def _share(spark: SparkSession, terms: DataFrame) -> Broadcast:
@@ -141,21 +133,31 @@ def apply_dictionary(
     entries = whole.distinct().unionByName(carets).where(F.char_length("term") > 0)
     chars = entries.agg(F.coalesce(F.sum(F.char_length("term")), F.lit(0))).first()[0]
     pairs = F.col(pairs_col).cast(PAIRS)
+    forms = F.transform(pairs, lambda p: p["form"])
     spark = df.sparkSession
+    name = f"met_{uuid.uuid4().hex}"  # of no column of the table
     if chars <= max_chars:
         told = _share(spark, entries)
-        return df.withColumn(out, _column(lambda row: row and _rewrite(row, _meet(_forms(row), *told.value)), PAIRS, pairs))
-    scratch = Scratch(spark, "dictionary")
-    n = 1 + 2 * chars // max_chars
-    entries = scratch.table(entries.withColumn("slice", F.pmod(F.xxhash64("term"), F.lit(n))), "terms")
-    slices = []
-    for k in range(n):
-        told = _share(spark, entries.where(F.col("slice") == k))
-        spans = _column(lambda row, told=told: _meet(_forms(row), *told.value), MET, pairs)
-        slices.append(scratch.table(df.select("doc_id", spans.alias("met")).where(F.size("met") > 0), "met"))
-        told.destroy()
-    scratch.drop(entries)
-    name = f"met_{uuid.uuid4().hex}"  # of no column of the table
-    met = reduce(DataFrame.unionByName, slices).groupBy("doc_id").agg(F.flatten(F.collect_list("met")).alias(name))
-    rewritten = _column(lambda row, met: row and _rewrite(row, met or []), PAIRS, pairs, F.col(name))
-    return df.join(met, "doc_id", "left").withColumn(out, rewritten).drop(name)
+        spanned = df.withColumn(name, _column(lambda row: _leftmost(_meet(row, *told.value)), SPANS, forms))
+    else:
+        scratch = Scratch(spark, "dictionary")
+        n = 1 + 2 * chars // max_chars
+        entries = scratch.table(entries.withColumn("slice", F.pmod(F.xxhash64("term"), F.lit(n))), "terms")
+        slices = []
+        for k in range(n):
+            told = _share(spark, entries.where(F.col("slice") == k))
+            spans = _column(lambda row, told=told: _meet(row, *told.value), MET, forms)
+            slices.append(scratch.table(df.select("doc_id", spans.alias("met")).where(F.size("met") > 0), "met"))
+            told.destroy()
+        scratch.drop(entries)
+        met = reduce(DataFrame.unionByName, slices).groupBy("doc_id").agg(F.flatten(F.collect_list("met")).alias(name))
+        spanned = df.join(met, "doc_id", "left").withColumn(name, _column(_leftmost, SPANS, F.col(name)))
+
+    def put(span: Column) -> Column:
+        tag = F.when(span["whole"], F.lit(PROPER_NOUN)).otherwise(F.lit(COMMON_NOUN))
+        new = F.transform(span["put"], lambda form: F.struct(form.alias("form"), tag.alias("tag")))
+        return F.concat(F.slice(pairs, span["since"] + 1, span["at"] - span["since"]), new.cast(PAIRS))
+
+    last = F.try_element_at(name, F.lit(-1))
+    tail = F.slice(pairs, F.coalesce(last["at"] + last["n"], F.lit(0)) + 1, F.greatest(F.size(pairs), F.lit(0)))
+    return spanned.withColumn(out, F.concat(F.flatten(F.transform(name, put)), tail)).drop(name)
