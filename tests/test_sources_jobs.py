@@ -59,6 +59,14 @@ def test_csv_keeps_line_breaks_of_either_kind(spark, tmp_path, small_splits):
     assert sorted(tuple(v or "" for v in r) for r in got) == sorted(rows)
 
 
+def test_csv_without_rows(spark, tmp_path):
+    (tmp_path / "none.csv").write_bytes(b"")
+    none = readers.read_corpus_csv(spark, str(tmp_path / "none.csv"))
+    assert none.columns == [] and none.count() == 0
+    (tmp_path / "open.csv").write_bytes(b'id,text\n1,"never closed\nsecond line\n')
+    assert [(r.id, r.text.rstrip("\n")) for r in readers.read_corpus_csv(spark, str(tmp_path / "open.csv")).collect()] == [("1", "never closed\nsecond line")]
+
+
 def test_quotes_open_fields_only_at_their_beginning():
     from topicweave.sources.records import ends_inside
 

@@ -33,11 +33,12 @@ def read_corpus_csv(
     Columns are strings, or those of ``schema``.  Fields may hold line breaks, and a
     large file is still read by many tasks (see ``records``); ``multi_line=False``
     saves the second pass where no field does.  Files in partition folders
-    (``column=value``) are read whole by one task each.
+    (``column=value``) are read whole by one task each.  Lines end with ``\\n`` or
+    ``\\r\\n``; line breaks inside fields are kept as they are.
     """
     options = dict(header=True, quote='"', escape='"', encoding="UTF-8", multiLine=multi_line)
     df = spark.read.options(**options).csv(path)
-    if multi_line and len(spark.read.text(path).columns) == 1:
+    if multi_line and df.columns and len(spark.read.text(path).columns) == 1:
         strings = T.StructType([T.StructField(c, T.StringType()) for c in df.columns])
         parsed = F.from_csv("record", strings.toDDL(), dict(quote='"', escape='"', multiLine="true"))
         df = csv_records(spark, path).select(parsed.alias("row")).select("row.*")
