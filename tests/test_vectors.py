@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from catalog import inputs as given
 from catalog import queries
 from tests import brute
-from topicweave.operators import cluster, encode, merging, neighbours, reduce, separation, spanning
+from topicweave.operators import blocks, cluster, encode, merging, neighbours, reduce, separation, spanning
 from topicweave.scratch import Scratch
 
 
@@ -196,6 +196,36 @@ def test_silhouette_of_runs(spark, planted):
     assert found == pytest.approx({key: brute.silhouette(planted, labels[key]) for key in found}) and len(found) == 2
 
 
+def test_distance_sums_with_copies_and_far_origin():
+    rng = np.random.default_rng(6)
+    for shift in (0.0, 1e6):
+        c = np.vstack([rng.normal(size=(300, 7)), np.zeros((400, 7)), rng.normal(size=(9, 7)) * 1e-7]) + shift
+        q = np.vstack([c[::5], c[:1] + 30])
+        want = np.array([np.sqrt(((c - row) ** 2).sum(axis=1)).sum() for row in q])
+        assert blocks.distance_sums(q, c) == pytest.approx(want, rel=1e-9)
+    assert np.isinf(blocks.distance_sums(np.array([[np.inf, 0.0]]), np.zeros((3, 2)))).all()
+
+
+def test_silhouette_sends_blocks_to_shares_not_to_every_block(spark, monkeypatch):
+    """What a block wants of a topic is sent once for all blocks of it, and gives one sum a document."""
+    x = np.random.default_rng(2).normal(size=(600, 3))
+    topics = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, topic int")
+    met = []
+    frames = type(topics)
+    plain = frames.mapInArrow
+
+    def recorded(self, kernel, schema, *args):
+        if kernel is separation._distance_sums:
+            met.append((self.select("run", "topic", "place", "other", "met").distinct().count(), plain(self, kernel, schema).count()))
+        return plain(self, kernel, schema, *args)
+
+    monkeypatch.setattr(frames, "mapInArrow", recorded)
+    got = separation.silhouette(frame(spark, x), topics, block_rows=32).first().silhouette
+    assert got == pytest.approx(brute.silhouette(x, np.arange(600) % 2))
+    # 20 blocks that want 2 topics of 10 blocks each: 40 sendings, 2 sums a document, where there were 400 and 20
+    assert met == [(40, 1200)]
+
+
 def test_topics_are_numbered_by_size(spark):
     df = spark.createDataFrame([(1, 7), (2, 7), (3, 4), (4, 4), (5, 9), (6, -1)], "doc_id long, cluster int")
     docs = spark.range(1, 8).withColumnRenamed("id", "doc_id")

@@ -16,13 +16,16 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicweave.operators.blocks import STRIPE_ROWS, list_column, matrix, slack, squared_distances, values
+from topicweave.operators.blocks import distance_sums, list_column, matrix, slack, squared_distances, values
 from topicweave.operators.hierarchy import NOISE
 from topicweave.scratch import Scratch
 
 # rows of a packed block of vectors, and topics of a packed block of moments
 PACKED_ROWS = 1024
 PACKED_TOPICS = 1024
+# blocks of a topic that are met together, and shares of the blocks that meet them apart from each other
+MET_PARTS = 16
+SHARES = 16
 
 
 def silhouette(
@@ -41,8 +44,9 @@ def silhouette(
     range reaches below the least upper end are summed up pair by pair.
 
     Every block of documents meets every block of moments of its run; what it
-    wants of a topic travels as one packed value to each block of that topic, so
-    a topic that holds a third of all documents is many tasks.
+    wants of a topic travels as one packed value to each group of ``MET_PARTS`` blocks
+    of that topic, and these blocks travel to ``SHARES`` tasks, so a topic that holds a
+    third of all documents is many tasks and no block is sent to each other one.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "silhouette")
@@ -62,10 +66,18 @@ def silhouette(
     least = held.join(topics, "run").mapInArrow(_upper_ends, "run int, topic int, part int, least binary")
     ends = least.groupBy("run", "topic", "part").agg(F.collect_list("least").alias("ends"))  # one a block of moments
     wanted = blocks.select("run", "topic", "part", "n", "ids", "vecs").join(ends, ["run", "topic", "part"]).join(topics, "run")
-    requests = wanted.mapInArrow(_requests, "run int, topic int, other int, parts int, ids binary, vecs binary")
-    dealt = requests.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    theirs = blocks.select("run", F.col("topic").alias("other"), "part", F.col("n").alias("n_other"), F.col("vecs").alias("others"))
-    met = dealt.join(theirs, ["run", "other", "part"]).select("run", "topic", "other", "ids", "vecs", "n_other", "others")
+    requests = wanted.mapInArrow(_requests, "run int, topic int, place int, other int, parts int, ids binary, vecs binary")
+    met_parts = F.lit(MET_PARTS)
+    dealt = requests.withColumn("met", F.explode(F.sequence(F.lit(0), F.floor((F.col("parts") - 1) / met_parts).cast("int"))))
+    dealt = dealt.withColumn("share", F.pmod(F.xxhash64("topic", "place"), F.lit(SHARES)).cast("int"))
+    theirs = blocks.select(
+        "run", F.col("topic").alias("other"), F.floor(F.col("part") / met_parts).cast("int").alias("met"),
+        F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))).alias("share"),
+        F.col("n").alias("n_other"), F.col("vecs").alias("others"),
+    )
+    # merged, what is sent comes once with the few blocks that it meets, one after the other
+    met = dealt.join(theirs.hint("merge"), ["run", "other", "met", "share"])
+    met = met.select("run", "topic", "place", "other", "met", "ids", "vecs", "n_other", "others")
     sums = met.mapInArrow(_distance_sums, "run int, id long, topic int, other int, total double, n long")
 
     per_topic = sums.groupBy("run", "id", "topic", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
@@ -181,6 +193,7 @@ def _requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_pydict({
                     "run": pa.array([row["run"]], pa.int32()),
                     "topic": pa.array([row["topic"]], pa.int32()),
+                    "place": pa.array([row["part"]], pa.int32()),
                     "other": pa.array(names[t : t + 1]),
                     "parts": pa.array(parts[t : t + 1]),
                     "ids": pa.array([ids[rows].tobytes()], pa.binary()),
@@ -189,23 +202,29 @@ def _requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _distance_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per wanting document: the sum of its distances to the vectors of one block."""
+    """Per wanting document: the sum of its distances to the vectors of blocks that follow each other."""
+
+    def told(key: tuple, ids: np.ndarray, total: np.ndarray, n: int) -> pa.RecordBatch:
+        run, topic, _, other, _ = key
+        whole = lambda value, kind: pa.array(np.full(len(ids), value), kind)
+        return pa.RecordBatch.from_pydict({
+            "run": whole(run, pa.int32()), "id": pa.array(ids),
+            "topic": whole(topic, pa.int32()), "other": whole(other, pa.int32()),
+            "total": pa.array(total), "n": whole(n, pa.int64()),
+        })
+
+    now, ids, total, n = None, None, None, 0
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
-            ids = np.frombuffer(row["ids"], dtype=np.int64)
-            q, c = _rows(row["vecs"], len(ids)), _rows(row["others"], row["n_other"])
-            total = np.zeros(len(q))
-            for start in range(0, len(q), STRIPE_ROWS):
-                rows = slice(start, start + STRIPE_ROWS)
-                square = np.zeros((len(q[rows]), len(c)))
-                for d in range(q.shape[1]):  # one coordinate at a time: no cancellation
-                    diff = q[rows, d, None] - c[None, :, d]
-                    square += diff * diff
-                total[rows] = np.sqrt(square).sum(axis=1)
-            whole = lambda value, kind: pa.array(np.full(len(ids), value), kind)
-            yield pa.RecordBatch.from_pydict({
-                "run": whole(row["run"], pa.int32()), "id": pa.array(ids),
-                "topic": whole(row["topic"], pa.int32()), "other": whole(row["other"], pa.int32()),
-                "total": pa.array(total), "n": whole(row["n_other"], pa.int64()),
-            })
+            key = tuple(row[c] for c in ("run", "topic", "place", "other", "met"))
+            mine = np.frombuffer(row["ids"], dtype=np.int64)
+            # keys may come more than once: what follows is added up by the caller
+            if key != now or len(mine) != len(ids) or (mine != ids).any():
+                if now is not None:
+                    yield told(now, ids, total, n)
+                now, ids, total, n = key, mine, np.zeros(len(mine)), 0
+            total += distance_sums(_rows(row["vecs"], len(mine)), _rows(row["others"], row["n_other"]))
+            n += row["n_other"]
+    if now is not None:
+        yield told(now, ids, total, n)
