@@ -69,6 +69,44 @@ def test_probed_query_has_its_recall_without_groups(spark, monkeypatch):
     assert sum(len(got[i] & set(want[i])) for i in range(len(x))) >= 0.9 * 15 * len(x)
 
 
+@pytest.mark.parametrize("method", ["exact", "ivf"])
+def test_search_sends_blocks_not_a_row_for_each_cell(spark, monkeypatch, method):
+    """Points without groups look into nearly all cells; a block is sent once for each group of blocks."""
+    x = np.random.default_rng(9).normal(size=(900, 12))
+    sent = []
+    plain = Scratch.table
+
+    def recorded(self, df, name="t", *args, **more):
+        out = plain(self, df, name, *args, **more)
+        sent.append((name, self.rows(out)))
+        return out
+
+    monkeypatch.setattr(Scratch, "table", recorded)
+    knn = neighbours.knn_graph(frame(spark, x), 4, "euclidean", method, 100, cell_rows=9, block_rows=30)
+    got = {}
+    for r in knn.collect():
+        got.setdefault(r.src, []).append((r.rank, r.dst))
+    assert [[d for _, d in sorted(got[i])] for i in range(len(x))] == brute.knn(x, 4, "euclidean")
+    # 100 cells; rows of a point and a cell were 40,000 and more
+    assert max(n for name, n in sent if name not in ("nearest", "points")) <= 900
+
+
+def test_one_wide_and_many_narrow_requests(monkeypatch):
+    """Cells compared one by one, or all at once, give the same."""
+    rng = np.random.default_rng(5)
+    c, cell = rng.normal(size=(400, 6)), np.sort(rng.integers(0, 20, 400))
+    q, wanted = rng.normal(size=(70, 6)), rng.random((70, 20)) < 0.15
+    for share in (0.0, 1.0):
+        monkeypatch.setattr(neighbours, "SPARSE", share)
+        near = neighbours.Nearest(np.arange(1000, 1070), q, 5)
+        for part in (slice(0, 150), slice(150, 400)):
+            near.look_into(np.arange(400)[part], c[part], cell[part], wanted)
+        for i in range(70):
+            far = ((c - q[i]) ** 2).sum(axis=1)
+            want = [j for _, j in sorted((far[j], j) for j in range(400) if wanted[i, cell[j]])][:5]
+            assert [j for j in near.other[i].tolist() if j >= 0] == want
+
+
 def test_fuzzy_graph(spark, planted):
     knn = neighbours.knn_graph(frame(spark, planted), 9).persist()
     one = reduce.fuzzy_strengths(knn, 10)

@@ -7,7 +7,7 @@ a cell that holds a third of all rows is many tasks, not one.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,8 @@ BLOCK_ROWS = 4096
 STRIPE_ROWS = 512
 # pairs whose difference vectors are held at once inside a task
 PAIRS_AT_ONCE = 32_768
+# entries of a matrix of rows by cells held at once inside a task
+ENTRIES_AT_ONCE = 1 << 20
 # squared distances below this share of the two squared lengths are taken from the differences
 CANCELLED = 1e-4
 # coordinates from here on, and those that are no numbers, are never multiplied
@@ -43,6 +45,13 @@ def list_column(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()))
 
 
+def slices(batch: pa.RecordBatch, width: int, entries: int = ENTRIES_AT_ONCE) -> Iterator[pa.Table]:
+    """Stretches of a batch, each with at most ``entries`` of a matrix of its rows by ``width``."""
+    step = max(1, entries // max(width, 1))
+    for start in range(0, batch.num_rows, step):
+        yield pa.Table.from_batches([batch.slice(start, step)])
+
+
 def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Fast squared Euclidean distances, good to about ``slack(a, b)``."""
     return (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)

@@ -2,13 +2,17 @@
 
 A hash-chosen sample of the points serves as pivots and every point belongs to
 the cell of its nearest pivot.  The sample follows the density, so a crowded
-region is cut into many cells.  A first pass searches the nearest cells and
-gives each point a bound on its k-th distance; the second pass visits every
-other cell that the triangle inequality does not rule out, so nothing is lost.
+region is cut into many cells.  Cells that lie near each other are packed into
+blocks of bounded rows, and blocks travel, never a row for each cell it visits:
+what a point wants of the cells of another block is a line of bits.  A first pass
+searches each block by itself and gives each point a bound on its k-th distance;
+the second pass visits every other cell that the triangle inequality does not rule
+out, so nothing is lost.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,12 +22,14 @@ from pyspark.sql import functions as F
 
 from topicweave.operators.blocks import (
     BLOCK_ROWS,
+    ENTRIES_AT_ONCE,
     STRIPE_ROWS,
-    block_join,
+    exact_pairs,
     exact_squared,
     list_column,
     matrix,
     slack,
+    slices,
     squared_distances,
     values,
 )
@@ -35,6 +41,11 @@ CELL_ROWS = 2048
 # Queries whose true neighbours decide how many cells are probed, and the recall asked for.
 RECALL_QUERIES = 256
 RECALL = 0.9
+# blocks that are met together, and shares of the blocks that meet them apart from each other
+MET_BLOCKS = 8
+SHARES = 16
+# pairs asked for as a share of all, below which cells are compared one by one
+SPARSE = 0.2
 
 
 def collapse_copies(vectors: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
@@ -108,16 +119,14 @@ def assign_cells(points: DataFrame, scratch: Scratch, cell_rows: int = CELL_ROWS
 
     def assign(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            rows = matrix(table, "vec")
-            squared = squared_distances(rows, pivots)
-            cell = squared.argmin(axis=1)
-            reach = np.sqrt(exact_squared(rows, pivots[cell]))
-            table = table.append_column("cell", pa.array(cell.astype(np.int32)))
-            table = table.append_column("reach", pa.array(reach))
-            yield from table.to_batches()
+            for table in slices(batch, len(pivots)):
+                rows = matrix(table, "vec")
+                squared = squared_distances(rows, pivots)
+                cell = squared.argmin(axis=1)
+                reach = np.sqrt(exact_squared(rows, pivots[cell]))
+                table = table.append_column("cell", pa.array(cell.astype(np.int32)))
+                table = table.append_column("reach", pa.array(reach))
+                yield from table.to_batches()
 
     placed = scratch.table(
         points.mapInArrow(assign, f"{_ddl(points)}, cell int, reach double"), "cells"
@@ -143,7 +152,8 @@ def reachable(
     to_pivot = np.sqrt(np.maximum(squared_distances(rows, pivots), 0.0))
     margin = 1e-5 * (1.0 + to_pivot)
     near = to_pivot - radius[None, :] <= bound[:, None] + margin
-    between = np.sqrt(np.maximum(squared_distances(pivots, pivots), 0.0))[own]
+    cells, which = np.unique(own, return_inverse=True)
+    between = np.sqrt(np.maximum(squared_distances(pivots[cells], pivots), 0.0))[which]
     mine = to_pivot[np.arange(len(rows)), own]
     gap = to_pivot**2 - mine[:, None] ** 2
     reach = np.where(np.isfinite(bound), bound, np.finfo(float).max / 1e9)
@@ -151,39 +161,151 @@ def reachable(
     return near & plane
 
 
-def _nearest_kernel(k: int):
-    """Per query of a chunk: the k nearest candidates of the block within the bound."""
-
-    def kernel(chunk: pa.Table, block: pa.Table) -> pa.Table:
-        src = dst = np.zeros(0, dtype=np.int64)
-        far = np.zeros(0)
-        if chunk.num_rows and block.num_rows:
-            q, c = matrix(chunk, "q_vec"), matrix(block, "c_vec")
-            q_id, c_id = values(chunk, "q_id"), values(block, "c_id")
-            bound = values(chunk, "bound")
-            eps = slack(q, c)
-            found = []
-            for start in range(0, len(q), STRIPE_ROWS):
-                rows = slice(start, start + STRIPE_ROWS)
-                fast = squared_distances(q[rows], c)
-                limit = bound[rows] * (1 + 1e-12) + eps
-                if len(c) > k + 1:
-                    # one more than k, since the query may be its own candidate
-                    limit = np.minimum(limit, np.partition(fast, k, axis=1)[:, k] + 2 * eps)
-                i, j = np.nonzero(fast <= limit[:, None])
-                i += start
-                other = q_id[i] != c_id[j]
-                i, j = i[other], j[other]
-                d = exact_squared(q[i], c[j])
-                order = np.lexsort((c_id[j], d, i))
-                i, j, d = i[order], j[order], d[order]
-                first = np.searchsorted(i, i)
-                keep = np.arange(len(i)) - first < k
-                found.append((q_id[i[keep]], c_id[j[keep]], d[keep]))
-            src, dst, far = (np.concatenate(parts) for parts in zip(*found))
-        return pa.table({"src": pa.array(src, pa.int64()), "dst": pa.array(dst, pa.int64()), "d2": pa.array(far, pa.float64())})
-
-    return kernel
+@dataclass
+class Blocks:
+    """Points packed into blocks of whole cells; a cell of more rows than a block has is cut into several."""
+
+    packed: DataFrame  # block, ids, cells, vecs
+    first: np.ndarray  # by cell: its first block, and how many it has
+    pieces: np.ndarray
+    count: int
+
+    def group_cells(self) -> list[np.ndarray]:
+        """The cells of each group of blocks that are met together, in rising order."""
+        low, high = self.first // MET_BLOCKS, (self.first + self.pieces - 1) // MET_BLOCKS
+        return [np.flatnonzero((low <= g) & (g <= high)) for g in range(-(-self.count // MET_BLOCKS))]
+
+
+def _near_each_other(pivots: np.ndarray) -> list[int]:
+    """The pivots in an order of halves by their widest coordinate."""
+    order, todo = [], [np.arange(len(pivots))]
+    while todo:
+        part = todo.pop()
+        if len(part) < 2:
+            order += part.tolist()
+            continue
+        widest = int(np.argmax(pivots[part].var(axis=0)))
+        part = part[np.argsort(pivots[part, widest], kind="stable")]
+        todo += [part[len(part) // 2 :], part[: len(part) // 2]]
+    return order
+
+
+def pack_blocks(cells: Cells, scratch: Scratch, block_rows: int = BLOCK_ROWS) -> Blocks:
+    """Pack the points of cells that lie near each other into blocks of about ``block_rows``."""
+    first, pieces = np.zeros(len(cells.size), dtype=np.int64), np.ones(len(cells.size), dtype=np.int64)
+    block, held = 0, 0
+    for cell in _near_each_other(cells.pivots):
+        size = int(cells.size[cell])
+        if held and held + size > block_rows:
+            block, held = block + 1, 0
+        first[cell], pieces[cell] = block, max(1, -(-size // block_rows))
+        held += size
+        if pieces[cell] > 1:
+            block, held = block + int(pieces[cell]), 0
+    places = list(zip(range(len(first)), first.tolist(), pieces.tolist()))  # one row a cell
+    spark = cells.points.sparkSession
+    places = F.broadcast(spark.createDataFrame(places, "cell int, _first int, _pieces int"))
+    dealt = cells.points.select("id", "vec", "cell").join(places, "cell").select(
+        (F.col("_first") + F.pmod(F.xxhash64("id"), F.col("_pieces"))).cast("int").alias("block"), "id", "cell", "vec"
+    )
+
+    def pack(table: pa.Table) -> pa.Table:
+        ids, cell = values(table, "id"), values(table, "cell")
+        order = np.lexsort((ids, cell))
+        held = {"ids": ids[order].astype(np.int64), "cells": cell[order].astype(np.int32), "vecs": matrix(table, "vec")[order]}
+        return pa.table({
+            "block": table.column("block").slice(0, 1), **{name: pa.array([x.tobytes()], pa.binary()) for name, x in held.items()},
+        })
+
+    packed = dealt.groupBy("block").applyInArrow(pack, "block int, ids binary, cells binary, vecs binary")
+    return Blocks(scratch.table(packed, "blocks"), first, pieces, block + 1)
+
+
+def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+def _unpacked(row: dict, ids: str = "ids", vecs: str = "vecs") -> tuple[np.ndarray, np.ndarray]:
+    held = np.frombuffer(row[ids], dtype=np.int64)
+    return held, np.frombuffer(row[vecs]).reshape(len(held), -1)
+
+
+class Nearest:
+    """The nearest candidates so far of some points, none beyond a point's bound (squared)."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, k: int, bound: np.ndarray | None = None):
+        self.ids, self.rows = ids, rows
+        self.bound = np.full(len(ids), np.inf) if bound is None else bound
+        self.far = np.full((len(ids), k), np.inf)
+        self.other = np.full((len(ids), k), -1, dtype=np.int64)
+
+    def look(self, c_ids: np.ndarray, c: np.ndarray) -> None:
+        """Compare all points with all candidates."""
+        self._compare(np.arange(len(self.ids)), c_ids, c)
+
+    def look_into(self, c_ids: np.ndarray, c: np.ndarray, cell: np.ndarray, wanted: np.ndarray) -> None:
+        """Compare with candidates in order of ``cell``, each point with those in cells ``wanted``, points by cells."""
+        here, rows = np.unique(cell, return_counts=True)
+        here, rows = here[wanted[:, here].any(axis=0)], rows[wanted[:, here].any(axis=0)]
+        some = np.flatnonzero(wanted[:, here].any(axis=1))
+        if not len(some):
+            return
+        asked = wanted[some][:, here]
+        if asked.mean(axis=0) @ rows < SPARSE * rows.sum():
+            for one, column in enumerate(here):  # most of the product would be for nothing
+                of = slice(*np.searchsorted(cell, [column, column + 1]))
+                self._compare(some[asked[:, one]], c_ids[of], c[of])
+            return
+        place = np.minimum(np.searchsorted(here, cell), len(here) - 1)
+        of = here[place] == cell
+        self._compare(some, c_ids[of], c[of], None if asked.all() else asked, place[of])
+
+    def _compare(self, some, c_ids, c, asked=None, place=None) -> None:
+        """Points ``some`` with candidates, as far as ``asked``, points by places, holds at a candidate's ``place``."""
+        k = self.far.shape[1]
+        q, bound = self.rows[some], np.minimum(self.bound[some], self.far[some, -1])
+        eps = slack(q, c)
+        ones = lambda x: np.ones((len(x), 1))
+        left = np.hstack([-2.0 * q, (q * q).sum(axis=1)[:, None], ones(q)])
+        right = np.hstack([c, ones(c), (c * c).sum(axis=1)[:, None]]).T.copy()
+        for start in range(0, len(some), STRIPE_ROWS):
+            rows = slice(start, start + STRIPE_ROWS)
+            fast = left[rows] @ right
+            limit = bound[rows] * (1 + 1e-12) + eps
+            unbound = np.flatnonzero(np.isinf(limit))
+            if len(unbound) and len(c) > k + 1:
+                open_ = fast[unbound]
+                if asked is not None:
+                    open_[~asked[start + unbound][:, place]] = np.inf
+                # one more than k, since the query may be its own candidate
+                limit[unbound] = np.partition(open_, k, axis=1)[:, k] + 2 * eps
+            i, j = np.nonzero(fast <= np.minimum(limit, np.finfo(float).max)[:, None])
+            i += start
+            meant = self.ids[some[i]] != c_ids[j]
+            if asked is not None:
+                meant &= asked[i, place[j]]
+            i, j = i[meant], j[meant]
+            if len(i):
+                self._take(some[i], c_ids[j], exact_pairs(q, c, i, j))
+
+    def _take(self, i: np.ndarray, other: np.ndarray, d: np.ndarray) -> None:
+        k, touched = self.far.shape[1], np.unique(i)
+        i = np.concatenate([i, np.repeat(touched, k)])
+        d = np.concatenate([d, self.far[touched].ravel()])
+        other = np.concatenate([other, self.other[touched].ravel()])
+        order = np.lexsort((other, d, i))
+        i, d, other = i[order], d[order], other[order]
+        place = np.arange(len(i)) - np.searchsorted(i, i)
+        kept = place < k
+        self.far[i[kept], place[kept]], self.other[i[kept], place[kept]] = d[kept], other[kept]
+
+    def found(self) -> pa.RecordBatch:
+        i, j = np.nonzero(np.isfinite(self.far))
+        return pa.RecordBatch.from_pydict({
+            "src": pa.array(self.ids[i]), "dst": pa.array(self.other[i, j]), "d2": pa.array(self.far[i, j])
+        })
 
 
 def probes_for(cells: Cells, k: int, recall: float = RECALL, queries: int = RECALL_QUERIES) -> int:
@@ -244,71 +366,123 @@ def nearest_points(
     nprobe: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """(src, dst, rank, d2) over distinct points; ties fall to the smaller id."""
-    pivots, radius, size = cells.pivots, cells.radius, cells.size
-    least = 1 if method == "exact" else probes_for(cells, k) if nprobe is None else nprobe
+    """(src, dst, rank, d2) over distinct points; ties fall to the smaller id.
 
-    def probe(batches):
-        for batch in batches:
-            if not batch.num_rows:
+    What a block wants of a group of ``MET_BLOCKS`` blocks is sent once, with a bit for each
+    point and cell; these blocks are sent to ``SHARES`` tasks.  So what travels grows with the
+    blocks, and a task holds one block that asks and the few that it meets.
+    """
+    pivots, radius, size = cells.pivots, cells.radius, cells.size
+    blocks = pack_blocks(cells, scratch, block_rows)
+    first, pieces, group_cells = blocks.first, blocks.pieces, blocks.group_cells()
+    exact = method == "exact"
+    least = 0 if exact else probes_for(cells, k) if nprobe is None else nprobe
+
+    def alone(batches):
+        """Each block searched by itself: bounds for the other blocks, and what was found."""
+        for row in _block_rows(batches):
+            near = Nearest(*_unpacked(row), k)
+            near.look(near.ids, near.rows)
+            held = {"bounds": near.far[:, -1], "far": near.far, "others": near.other}
+            yield pa.RecordBatch.from_pydict({
+                "block": pa.array([row["block"]], pa.int32()),
+                **{name: pa.array([row[name]], pa.binary()) for name in ("ids", "cells", "vecs")},
+                **{name: pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for name, x in held.items()},
+            })
+
+    def listed(batches):
+        for row in _block_rows(batches):
+            near = Nearest(np.frombuffer(row["ids"], dtype=np.int64), np.zeros((0, 0)), k)
+            near.far = np.frombuffer(row["far"]).reshape(-1, k)
+            near.other = np.frombuffer(row["others"], dtype=np.int64).reshape(-1, k)
+            yield near.found()
+
+    def probed(rows: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Which cells each row looks into: the nearest ones, enough for k neighbours besides the point itself."""
+        order = np.argsort(squared_distances(rows, pivots), axis=1, kind="stable")
+        seen = np.cumsum(size[order], axis=1)
+        n = np.minimum(np.maximum(1 + (seen < k + 1).sum(axis=1), least), len(pivots))
+        looked = np.zeros(order.shape, dtype=bool)
+        np.put_along_axis(looked, order, np.arange(order.shape[1])[None, :] < n[:, None], axis=1)
+        # the point's own cell comes first even if two pivots tie
+        looked[np.arange(len(rows)), own] = True
+        return looked
+
+    def requests(batches):
+        for row in _block_rows(batches):
+            ids, rows = _unpacked(row)
+            own = np.frombuffer(row["cells"], dtype=np.int32)
+            bound = np.frombuffer(row["bounds"]) if exact else np.full(len(ids), np.inf)
+            wanted = np.ones((len(ids), len(pivots)), dtype=bool)
+            step = max(1, ENTRIES_AT_ONCE // len(pivots))
+            for start in range(0, len(ids), step):
+                some = slice(start, start + step)
+                if exact:
+                    wanted[some] = reachable(rows[some], own[some], np.sqrt(bound[some]), pivots, radius)
+                elif len(pivots) > least:
+                    wanted[some] = probed(rows[some], own[some])
+            if exact:  # cells that lie in this block as a whole have been searched
+                wanted[:, (first == row["block"]) & (pieces == 1)] = False
+            wanted[:, size == 0] = False
+            for group, of in enumerate(group_cells):
+                here = wanted[:, of]
+                asks = here.any(axis=1)
+                if not asks.any():
+                    continue
+                held = {
+                    "ids": ids[asks], "vecs": rows[asks], "bounds": bound[asks],
+                    "wanted": np.packbits(here[asks], axis=1), "of": of.astype(np.int32),
+                }
+                yield pa.RecordBatch.from_pydict({
+                    "block": pa.array([row["block"]], pa.int32()), "met": pa.array([group], pa.int32()),
+                    "share": pa.array([row["block"] % SHARES], pa.int32()),
+                    **{name: pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for name, x in held.items()},
+                })
+
+    def search(batches):
+        now, near, wanted = None, None, None
+        for row in _block_rows(batches):
+            if (row["block"], row["met"]) != now:
+                if near is not None:
+                    yield near.found()
+                now = row["block"], row["met"]
+                ids, rows = _unpacked(row)
+                near = Nearest(ids, rows, k, np.frombuffer(row["bounds"]))
+                of = np.frombuffer(row["of"], dtype=np.int32)
+                bits = np.frombuffer(row["wanted"], dtype=np.uint8).reshape(len(ids), -1)
+                wanted = np.unpackbits(bits, axis=1, count=len(of)).astype(bool)
+            if exact and row["c_block"] == row["block"]:
                 continue
-            table = pa.Table.from_batches([batch])
-            order = np.argsort(squared_distances(matrix(table, "vec"), pivots), axis=1, kind="stable")
-            seen = np.cumsum(size[order], axis=1)
-            # enough cells for k neighbours besides the point itself
-            n = np.maximum(1 + (seen < k + 1).sum(axis=1), least)
-            n = np.minimum(n, len(pivots))
-            # the point's own cell comes first even if two pivots tie
-            own = values(table, "cell")
-            probed = [np.union1d(row[:m], [o]).astype(np.int32) for row, m, o in zip(order, n, own)]
-            yield from table.append_column(
-                "probed", pa.array(probed, pa.list_(pa.int32()))
-            ).to_batches()
-
-    candidates = cells.points.select("cell", F.col("id").alias("c_id"), F.col("vec").alias("c_vec"))
-    base = cells.points.select("id", "vec", "cell")
-    if len(pivots) <= least:
-        routed = base.withColumn("probed", F.sequence(F.lit(0), F.lit(len(pivots) - 1)))
-    else:
-        routed = scratch.table(base.mapInArrow(probe, f"{_ddl(base)}, probed array<int>"), "probes")
-    first = routed.select(
-        F.col("id").alias("q_id"),
-        F.col("vec").alias("q_vec"),
-        F.lit(float("inf")).alias("bound"),
-        F.explode("probed").alias("cell"),
-    )
-    schema = "src long, dst long, d2 double"
-    found = block_join(first, candidates, _nearest_kernel(k), schema, block_rows=block_rows)
-    best = scratch.table(_best(found, k), "nearest")
-    if method != "exact" or len(pivots) <= least:
-        return best
+            c_ids, c = _unpacked(row, "c_ids", "c_vecs")
+            near.look_into(c_ids, c, np.searchsorted(of, np.frombuffer(row["c_cells"], dtype=np.int32)), wanted)
+        if near is not None:
+            yield near.found()
 
-    bounds = best.where(F.col("rank") == k).select(F.col("src").alias("id"), F.col("d2").alias("bound"))
-    bounded = routed.join(bounds, "id", "left").withColumn(
-        "bound", F.coalesce("bound", F.lit(float("inf")))
+    schema = "src long, dst long, d2 double"
+    packed = "block int, ids binary, cells binary, vecs binary"
+    asking = blocks.packed
+    if exact:
+        asking = scratch.table(
+            asking.mapInArrow(alone, f"{packed}, bounds binary, far binary, others binary"), "alone"
+        )
+    sent = asking.select("block", "ids", "cells", "vecs", *["bounds"] * exact).mapInArrow(
+        requests,
+        "block int, met int, share int, ids binary, vecs binary, bounds binary, wanted binary, of binary",
     )
-
-    def visit(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            bound = values(table, "bound")
-            wanted = reachable(matrix(table, "vec"), values(table, "cell"), np.sqrt(bound), pivots, radius)
-            probed = table.column("probed").combine_chunks()
-            row = np.repeat(np.arange(len(bound)), probed.value_lengths().to_numpy())
-            wanted[row, probed.flatten().to_numpy()] = False
-            wanted[:, size == 0] = False
-            i, cell = np.nonzero(wanted)
-            out = table.select(["id", "vec", "bound"]).take(pa.array(i))
-            out = out.rename_columns(["q_id", "q_vec", "bound"])
-            yield from out.append_column("cell", pa.array(cell.astype(np.int32))).to_batches()
-
-    second = bounded.mapInArrow(visit, "q_id long, q_vec array<double>, bound double, cell int")
-    second = scratch.table(second, "visits")
-    more = block_join(second, candidates, _nearest_kernel(k), schema, block_rows=block_rows)
-    both = best.select("src", "dst", "d2").unionByName(more)
-    return scratch.table(_best(both, k), "nearest", replaces=second)
+    theirs = blocks.packed.select(
+        F.floor(F.col("block") / F.lit(MET_BLOCKS)).cast("int").alias("met"),
+        F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))).alias("share"),
+        F.col("block").alias("c_block"), F.col("ids").alias("c_ids"), F.col("cells").alias("c_cells"), F.col("vecs").alias("c_vecs"),
+    )
+    # merged, what is sent comes once with the few blocks that it meets, one after the other
+    found = sent.join(theirs.hint("merge"), ["met", "share"]).mapInArrow(search, schema)
+    if exact:
+        found = asking.select("ids", "far", "others").mapInArrow(listed, schema).unionByName(found)
+    best = scratch.table(_best(found, k), "nearest")
+    scratch.drop(blocks.packed)
+    if exact:
+        scratch.drop(asking)
+    return best
 
 
 def knn_graph(

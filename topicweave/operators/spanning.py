@@ -16,9 +16,10 @@ from topicweave.operators.blocks import (
     BLOCK_ROWS,
     STRIPE_ROWS,
     block_join,
-    exact_squared,
+    exact_pairs,
     matrix,
     slack,
+    slices,
     squared_distances,
     values,
 )
@@ -27,6 +28,8 @@ from topicweave.scratch import Scratch
 
 EDGE = ["w", "src", "dst"]
 
+# rows by cells that may be visited, each with its vector, held at once inside a task
+ROUTED_AT_ONCE = 1 << 17
 # steps towards the root between two tables; the way shrinks by HOPS + 1 each time
 HOPS = 3
 
@@ -258,10 +261,7 @@ class OutsideSearch:
             whole.setdefault(row.run, np.full(len(pivots), -1))[row.cell] = row.lo
 
         def by_pivot(batches):
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                table = pa.Table.from_batches([batch])
+            for table in (part for batch in batches for part in slices(batch, len(pivots))):
                 rows, run, comp = matrix(table, "vec"), values(table, "run"), values(table, "comp")
                 core, bound = values(table, "core"), values(table, "bound").copy()
                 far = np.sqrt(np.maximum(squared_distances(rows, pivots), 0.0)) * (1 + 1e-9) + 1e-9
@@ -272,9 +272,7 @@ class OutsideSearch:
                     w = np.maximum(np.maximum(far[mine], pivot_core[r][None, :]), core[mine, None])
                     w[pivot_comp[r][None, :] == comp[mine, None]] = np.inf
                     bound[mine] = np.minimum(bound[mine], w.min(axis=1))
-                yield pa.RecordBatch.from_pydict(
-                    {"run": batch.column("run"), "comp": batch.column("comp"), "bound": pa.array(bound)}
-                )
+                yield from table.select(["run", "comp"]).append_column("bound", pa.array(bound)).to_batches()
 
         placed = open_points.join(of_cells(open_points), "id").select("run", "id", "cell", "core", "comp", "bound", "vec")
         bounds = (
@@ -285,10 +283,8 @@ class OutsideSearch:
         )
 
         def route(batches):
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                table = pa.Table.from_batches([batch])
+            # a row may look into all cells: rows are taken for few entries at once
+            for table in (part for batch in batches for part in slices(batch, len(pivots), ROUTED_AT_ONCE)):
                 rows, own, bound = matrix(table, "vec"), values(table, "own"), values(table, "bound")
                 wanted = reachable(rows, own, bound, pivots, radius) & (size > 0)[None, :]
                 run, comp = values(table, "run"), values(table, "q_comp")
@@ -358,7 +354,7 @@ def _outside_kernel(chunk: pa.Table, block: pa.Table) -> pa.Table:
             i += start
             if not len(i):
                 continue
-            d = np.sqrt(exact_squared(q[i], c[j]))
+            d = np.sqrt(exact_pairs(q, c, i, j))
             exact = np.maximum(np.maximum(d, q_core[i]), c_core[j])
             src, dst = np.minimum(q_id[i], c_id[j]), np.maximum(q_id[i], c_id[j])
             order = np.lexsort((dst, src, exact, q_comp[i]))
