@@ -153,3 +153,23 @@ def test_reports(spark, words):
     corpus = spark.createDataFrame([(1, "one"), (2, "two")], "doc_id long, text string")
     prompts = {r.topic: r.prompt for r in represent.label_prompts(listed, reps, corpus, template="[KEYWORDS]|[DOCUMENTS]").collect()}
     assert prompts == {0: "a, b|- two\n- one\n", 1: "a, c, never|"}
+
+
+def test_scores_go_to_the_documents(spark, monkeypatch):
+    """The words of documents stay where they are, and the result does not depend on that."""
+    tokens = spark.createDataFrame([(i, [f"w{j}" for j in range(i % 5 + 1)]) for i in range(40)], "doc_id long, tokens array<string>")
+    topics = spark.createDataFrame([(i, i % 3) for i in range(40)], "doc_id long, topic int")
+    scores = represent.ctfidf(represent.topic_term_counts(tokens, topics))
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = []
+        for bound, joins in ((represent.SHARED_SCORES, 1), (0, 0)):
+            monkeypatch.setattr(represent, "SHARED_SCORES", bound)
+            reps = represent.representative_docs(tokens, topics, scores, 2)
+            plan = reps._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("rightHint=(strategy=broadcast)") == joins
+            got.append(sorted((r.topic, r.rank, r.doc_id, round(r.similarity, 9)) for r in reps.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert got[0] == got[1] and len(got[0]) == 6

@@ -18,6 +18,8 @@ from topicweave.scratch import Scratch
 DICTIONARY_SCHEMA = "domain string, kind string, pos long, term string"
 PAIRS = "array<struct<form:string,tag:string>>"
 SPANS = "array<struct<at:int,n:int,put:array<string>,whole:boolean,since:int>>"
+# tokens whose place among the terms a task remembers
+MAX_PLACES = 100_000
 MET = "array<struct<at:int,n:int,put:array<string>,whole:boolean>>"
 
 
@@ -52,17 +54,26 @@ def list_dictionary_domains(dicts: DataFrame) -> DataFrame:
     return dicts.select("domain").distinct()
 
 
-def _meet(forms: list, terms: list[str], carets: dict[str, list[str]]) -> list[dict]:
+def _meet(forms: list, terms: list[str], carets: dict[str, list[str]], places: dict[str, int]) -> list[dict]:
     """The longest term that begins at each token and ends with one, and caret terms that are a token.
 
     ``terms`` is sorted: what a joined form begins is a stretch of it, which narrows with every token.
+    ``places`` remembers where the stretch of a token begins, -1 for none: most tokens come often and begin no term.
     """
     met = []
     for at, form in enumerate(forms):
         if form is None:
             continue
-        joined, low, best = form, bisect_left(terms, form), 0
-        for end in range(at + 1, len(forms)):
+        low = places.get(form)
+        if low is None:
+            low = bisect_left(terms, form)
+            if low == len(terms) or not terms[low].startswith(form):
+                low = -1
+            if len(places) >= MAX_PLACES:
+                places.clear()
+            places[form] = low
+        joined, best = form, 0
+        for end in range(at + 1, len(forms)) if low >= 0 else ():
             if low == len(terms) or not terms[low].startswith(joined) or forms[end] is None:
                 break
             joined += forms[end]
@@ -76,6 +87,12 @@ def _meet(forms: list, terms: list[str], carets: dict[str, list[str]]) -> list[d
     return met
 
 
+def _meeting(told: Broadcast):
+    """``_meet`` with the shared terms; what it remembers lasts as long as a task."""
+    places: dict[str, int] = {}
+    return lambda row: _meet(row, *told.value, places)
+
+
 def _leftmost(met: list[dict]) -> list[dict]:
     """Spans that do not overlap, from left to right, the longest first; ``since``: the end of the one before."""
     taken, since = [], 0
@@ -138,7 +155,8 @@ def apply_dictionary(
     name = f"met_{uuid.uuid4().hex}"  # of no column of the table
     if chars <= max_chars:
         told = _share(spark, entries)
-        spanned = df.withColumn(name, _column(lambda row: _leftmost(_meet(row, *told.value)), SPANS, forms))
+        meet = _meeting(told)
+        spanned = df.withColumn(name, _column(lambda row: _leftmost(meet(row)), SPANS, forms))
     else:
         scratch = Scratch(spark, "dictionary")
         n = 1 + 2 * chars // max_chars
@@ -146,7 +164,7 @@ def apply_dictionary(
         slices = []
         for k in range(n):
             told = _share(spark, entries.where(F.col("slice") == k))
-            spans = _column(lambda row, told=told: _meet(row, *told.value), MET, forms)
+            spans = _column(_meeting(told), MET, forms)
             slices.append(scratch.table(df.select("doc_id", spans.alias("met")).where(F.size("met") > 0), "met"))
             told.destroy()
         scratch.drop(entries)

@@ -15,6 +15,8 @@ from topicweave.functions.vector import cosine
 from topicweave.scratch import Scratch
 
 MAIN = "Main"
+# scores that are sent to every worker, instead of the words of all documents to the scores
+SHARED_SCORES = 1_000_000
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -104,7 +106,8 @@ def representative_docs(
 ) -> DataFrame:
     """(topic, rank, doc_id, similarity): documents nearest their topic.
 
-    Nearness is the cosine between the c-TF-IDF vectors of document and topic.
+    Nearness is the cosine between the c-TF-IDF vectors of document and topic.  Up to
+    ``SHARED_SCORES`` scores go to the documents, whose words then stay where they are.
     """
     scores = written(scores, "scores")
     word = F.lower("word") if lowercase else F.col("word")
@@ -121,8 +124,11 @@ def representative_docs(
         F.sqrt(F.sum(F.col("score") * F.col("score"))).alias("topic_norm")
     )
     weight = F.col("k") * F.col("idf")
+    known = scores.select("topic", "word", "idf", "score")
+    if Scratch.rows(scores) <= SHARED_SCORES:
+        known = F.broadcast(known)
     sims = (
-        doc_words.join(scores.select("topic", "word", "idf", "score"), ["topic", "word"])
+        doc_words.join(known, ["topic", "word"])
         .groupBy("topic", "doc_id")
         .agg(
             F.sum(weight * F.col("score")).alias("dot"),
