@@ -69,12 +69,13 @@ def pairs(spark: SparkSession, sf: str) -> DataFrame:
     docs = tok.tokenize_none(documents(spark, sf).select("doc_id", "text"))
 
     def tag(w):
+        first, last = F.substring(w, 1, 1), F.substring(w, -1, 1)
         return (
-            F.when(w.rlike("^[A-Z]"), "NNP")
-            .when(w.rlike("s$"), "XSN")
+            F.when(first.between("A", "Z"), "NNP")
+            .when(last == "s", "XSN")
             .when(F.char_length(w) <= 2, "XPN")
-            .when(w.rlike("[aiou]$"), "JKB")
-            .when(w.rlike("^[a-e]"), "SL")
+            .when(last.isin("a", "i", "o", "u"), "JKB")
+            .when(first.between("a", "e"), "SL")
             .otherwise("NNG")
         )
 

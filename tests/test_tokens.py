@@ -181,3 +181,23 @@ def test_word_sets_skip_empty_documents(spark):
     df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, [])], "doc_id long, tokens array<string>")
     assert [(r.doc_id, r.words) for r in tok.doc_word_sets(df).collect()] == [(1, ["a", "b"])]
     assert tok.join_tokens(df).orderBy("doc_id").first().document == "a b a"
+
+
+def test_dictionary_casts_a_document_once(spark):
+    """The list of tokens is a column when spans are put in, not a cast that every span would do again."""
+    docs = spark.createDataFrame([(1, "ab cd e")], "doc_id long, text string")
+    pair = lambda w: F.struct(w.alias("form"), F.lit("NNG").alias("tag"))
+    docs = docs.select("doc_id", F.transform(F.split("text", " "), pair).alias("pairs"))
+    dicts = spark.createDataFrame([("d", "np", 0, "abcd")], dictionary.DICTIONARY_SCHEMA)
+    out = dictionary.apply_dictionary(docs, "pairs", dicts, "d")
+    assert [tuple(p) for p in out.first().after] == [("abcd", "NNP"), ("e", "NNG")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("cast(pairs") <= 1 and plan.count("cast(transform(") <= 1
+
+
+def test_places_of_tokens_are_remembered(monkeypatch):
+    monkeypatch.setattr(dictionary, "MAX_PLACES", 2)
+    terms, places = ["ab", "abcd", "x"], {}
+    met = [dictionary._meet(list(row), terms, {}, places) for row in (["a", "b", "zz"], ["ab", "cd", "x", "y"])]
+    assert [[(m["at"], m["n"], m["put"]) for m in row] for row in met] == [[(0, 2, ["ab"])], [(0, 2, ["abcd"])]]
+    assert len(places) <= 2 and all(terms[low].startswith(w) for w, low in places.items() if low >= 0)

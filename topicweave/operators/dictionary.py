@@ -149,10 +149,12 @@ def apply_dictionary(
     # an empty term would be met nowhere
     entries = whole.distinct().unionByName(carets).where(F.char_length("term") > 0)
     chars = entries.agg(F.coalesce(F.sum(F.char_length("term")), F.lit(0))).first()[0]
-    pairs = F.col(pairs_col).cast(PAIRS)
-    forms = F.transform(pairs, lambda p: p["form"])
     spark = df.sparkSession
     name = f"met_{uuid.uuid4().hex}"  # of no column of the table
+    # a column of its own: as an expression the whole list would be cast again for every span
+    df = df.withColumn(f"{name}_pairs", F.col(pairs_col).cast(PAIRS))
+    pairs = F.col(f"{name}_pairs")
+    forms = F.transform(pairs, lambda p: p["form"])
     if chars <= max_chars:
         told = _share(spark, entries)
         meet = _meeting(told)
@@ -178,4 +180,4 @@ def apply_dictionary(
 
     last = F.try_element_at(name, F.lit(-1))
     tail = F.slice(pairs, F.coalesce(last["at"] + last["n"], F.lit(0)) + 1, F.greatest(F.size(pairs), F.lit(0)))
-    return spanned.withColumn(out, F.concat(F.flatten(F.transform(name, put)), tail)).drop(name)
+    return spanned.withColumn(out, F.concat(F.flatten(F.transform(name, put)), tail)).drop(name, f"{name}_pairs")
