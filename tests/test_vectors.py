@@ -329,3 +329,41 @@ def test_topics_are_merged(spark):
     topics = spark.createDataFrame([(1, 0), (2, 1), (3, 2), (4, -1), (5, 2), (6, 2)], "doc_id long, topic int")
     got = {r.doc_id: r.topic for r in cluster.reduce_topics(vectors, topics, 2).collect()}
     assert got == {1: 1, 2: 1, 3: 0, 5: 0, 6: 0, 4: -1}
+
+
+def test_silhouette_compares_vectors_once_for_all_runs(monkeypatch):
+    """Two groups of two blocks and three runs: four comparisons, with the sums of both sides and every run."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(4, 20, 3))
+    x[1, 5:9] = x[0, 2]  # copies, within a block and across
+    labels = rng.integers(0, 3, (4, 20, 3))
+    labels[:, ::7, 1] = separation.NOISE
+    wants = [int(c) for run in (1, 2, 3) for c in separation._code(run, np.arange(3))]
+    table = separation.pa.Table.from_pylist([
+        {"a": 0, "b": 1, "group": i // 2, "place": i % 2, "n": 20, "labels": labels[i].astype(np.int32).tobytes(),
+         "vecs": x[i].tobytes(), "wants": wants}
+        for i in range(4)
+    ])
+    compared = []
+    plain = separation.distance_stripes
+    monkeypatch.setattr(separation, "distance_stripes", lambda q, c: compared.append(1) or plain(q, c))
+    got = separation._sums_of_groups(table).to_pylist()
+    assert len(compared) == 4 and len(got) == 4 * 9
+    for r in got:
+        run, topic = separation._run_and_topic(r["code"])
+        theirs = [i for i in range(4) if i // 2 != r["group"]]
+        of = np.concatenate([x[i][labels[i, :, run - 1] == topic] for i in theirs])
+        far = np.sqrt(((x[2 * r["group"] + r["place"]][:, None] - of[None]) ** 2).sum(axis=2))
+        assert r["n"] == len(of) and np.frombuffer(r["total"]) == pytest.approx(far.sum(axis=1))
+
+
+def test_silhouette_of_runs_with_many_topics(spark):
+    """Sums by topic, not by product, give the same."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(300, 4))
+    labels = {1: np.arange(300) % 90, 2: np.where(np.arange(300) % 4 == 0, -1, np.arange(300) % 3)}
+    rows = [(run, i, int(v)) for run, label in labels.items() for i, v in enumerate(label)]
+    topics = spark.createDataFrame(rows, "run_name int, doc_id long, topic int")
+    got = separation.silhouette(frame(spark, x), topics, ["run_name"], block_rows=128, block_topics=50)
+    want = {run: brute.silhouette(x, label) for run, label in labels.items()}
+    assert {r.run_name: r.silhouette for r in got.collect()} == pytest.approx(want)

@@ -85,30 +85,43 @@ def distinct_rows(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return x[first], which.ravel(), counts.astype(np.float64)
 
 
-def distance_sums(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Per row of ``q`` the sum of its distances to the rows of ``c``, good to about 1e-11 of itself.
+def distance_stripes(q: np.ndarray, c: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Stretches of the rows of ``q`` with their distances to the rows of ``c``.
 
     Distances come from matrix products about the mean of ``c``; where two rows are so near
-    that the product cancels, from their difference.  Equal rows are one row with a count.
+    that the product cancels, from their difference.
     """
-    q, which, _ = distinct_rows(q)
-    c, _, counts = distinct_rows(c)
-    if not max(np.abs(q).max(initial=0.0), np.abs(c).max(initial=0.0)) < LARGEST:
-        return np.array([np.sqrt(exact_squared(row, c)) @ counts for row in q])[which]
     middle = c.mean(axis=0)
     a, b = q - middle, c - middle
     aa, bb = (a * a).sum(axis=1), (b * b).sum(axis=1)
     ones = lambda x: np.ones((len(x), 1))
     left, right = np.hstack([-2.0 * a, aa[:, None], ones(a)]), np.hstack([b, ones(b), bb[:, None]]).T.copy()
-    total = np.empty(len(q))
     for start in range(0, len(q), STRIPE_ROWS):
         rows = slice(start, start + STRIPE_ROWS)
         square = left[rows] @ right
         i, j = np.nonzero(square <= CANCELLED * (aa[rows] + bb.max())[:, None])
         if len(i):
             square[i, j] = exact_pairs(q[rows], c, i, j)
-        np.sqrt(square, out=square)
-        total[rows] = square @ counts
+        yield rows, np.sqrt(square, out=square)
+
+
+def far_from_range(*x: np.ndarray) -> bool:
+    """Whether a coordinate is too large for products, or no number."""
+    return not max(np.abs(one).max(initial=0.0) for one in x) < LARGEST
+
+
+def distance_sums(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Per row of ``q`` the sum of its distances to the rows of ``c``, good to about 1e-11 of itself.
+
+    Equal rows are one row with a count.
+    """
+    q, which, _ = distinct_rows(q)
+    c, _, counts = distinct_rows(c)
+    if far_from_range(q, c):
+        return np.array([np.sqrt(exact_squared(row, c)) @ counts for row in q])[which]
+    total = np.empty(len(q))
+    for rows, far in distance_stripes(q, c):
+        total[rows] = far @ counts
     return total[which]
 
 
