@@ -367,3 +367,31 @@ def test_silhouette_of_runs_with_many_topics(spark):
     got = separation.silhouette(frame(spark, x), topics, ["run_name"], block_rows=128, block_topics=50)
     want = {run: brute.silhouette(x, label) for run, label in labels.items()}
     assert {r.run_name: r.silhouette for r in got.collect()} == pytest.approx(want)
+
+
+@pytest.mark.parametrize("method", ["exact", "ivf"])
+def test_knn_tasks_get_bounded_blocks_once(spark, monkeypatch, method):
+    """A task gets few blocks that ask and few that they meet, and none of them twice."""
+    x = np.random.default_rng(13).normal(size=(400, 3))
+    monkeypatch.setattr(neighbours, "MET_BLOCKS", 2)
+    monkeypatch.setattr(neighbours, "SHARES", 2)
+    tasks = []
+    cogroups = type(spark.range(1).groupBy("id").cogroup(spark.range(1).groupBy("id")))
+    plain = cogroups.applyInArrow
+
+    def checked(self, kernel, schema):
+        def bounded(asking, met):
+            assert asking.num_rows <= 2 and met.num_rows <= 2
+            assert len(set(asking.column("block").to_pylist())) == asking.num_rows
+            return kernel(asking, met)
+
+        tasks.append(schema)
+        return plain(self, bounded, schema)
+
+    monkeypatch.setattr(cogroups, "applyInArrow", checked)
+    got = neighbours.knn_graph(frame(spark, x), 5, "euclidean", method, 40, cell_rows=20, block_rows=20).collect()
+    assert len(tasks) == 1
+    far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(far, np.inf)
+    want = {(i, int(j), r + 1) for i in range(400) for r, j in enumerate(np.argsort(far[i])[:5])}
+    assert {(r.src, r.dst, r.rank) for r in got} == want

@@ -41,7 +41,7 @@ CELL_ROWS = 2048
 # Queries whose true neighbours decide how many cells are probed, and the recall asked for.
 RECALL_QUERIES = 256
 RECALL = 0.9
-# blocks that are met together, and shares of the blocks that meet them apart from each other
+# blocks that are met together, and the least shares of the blocks that meet them apart from each other
 MET_BLOCKS = 8
 SHARES = 16
 # pairs asked for as a share of all, below which cells are compared one by one
@@ -369,12 +369,14 @@ def nearest_points(
     """(src, dst, rank, d2) over distinct points; ties fall to the smaller id.
 
     What a block wants of a group of ``MET_BLOCKS`` blocks is sent once, with a bit for each
-    point and cell; these blocks are sent to ``SHARES`` tasks.  So what travels grows with the
-    blocks, and a task holds one block that asks and the few that it meets.
+    point and cell; these blocks are sent to ``SHARES`` tasks, and to more where a share would be
+    more than ``MET_BLOCKS`` blocks.  So a task holds that many blocks that ask and that many that
+    they meet, each once, whatever the number of points.
     """
     pivots, radius, size = cells.pivots, cells.radius, cells.size
     blocks = pack_blocks(cells, scratch, block_rows)
     first, pieces, group_cells = blocks.first, blocks.pieces, blocks.group_cells()
+    shares = max(SHARES, len(group_cells))
     exact = method == "exact"
     least = 0 if exact else probes_for(cells, k) if nprobe is None else nprobe
 
@@ -435,28 +437,29 @@ def nearest_points(
                 }
                 yield pa.RecordBatch.from_pydict({
                     "block": pa.array([row["block"]], pa.int32()), "met": pa.array([group], pa.int32()),
-                    "share": pa.array([row["block"] % SHARES], pa.int32()),
+                    "share": pa.array([row["block"] % shares], pa.int32()),
                     **{name: pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for name, x in held.items()},
                 })
 
-    def search(batches):
-        now, near, wanted = None, None, None
-        for row in _block_rows(batches):
-            if (row["block"], row["met"]) != now:
-                if near is not None:
-                    yield near.found()
-                now = row["block"], row["met"]
-                ids, rows = _unpacked(row)
-                near = Nearest(ids, rows, k, np.frombuffer(row["bounds"]))
-                of = np.frombuffer(row["of"], dtype=np.int32)
-                bits = np.frombuffer(row["wanted"], dtype=np.uint8).reshape(len(ids), -1)
-                wanted = np.unpackbits(bits, axis=1, count=len(of)).astype(bool)
-            if exact and row["c_block"] == row["block"]:
-                continue
-            c_ids, c = _unpacked(row, "c_ids", "c_vecs")
-            near.look_into(c_ids, c, np.searchsorted(of, np.frombuffer(row["c_cells"], dtype=np.int32)), wanted)
-        if near is not None:
-            yield near.found()
+    def search(asking: pa.Table, met: pa.Table) -> pa.Table:
+        theirs = [
+            (block.as_py(), *_unpacked({"ids": i.as_py(), "vecs": v.as_py()}), np.frombuffer(cells.as_py(), dtype=np.int32))
+            for block, i, cells, v in zip(*(met.column(c) for c in ("c_block", "ids", "cells", "vecs")))
+        ] if asking.num_rows else []
+        found = []
+        for row in (row for batch in asking.to_batches() for row in _block_rows([batch])):
+            ids, rows = _unpacked(row)
+            near = Nearest(ids, rows, k, np.frombuffer(row["bounds"]))
+            of = np.frombuffer(row["of"], dtype=np.int32)
+            bits = np.frombuffer(row["wanted"], dtype=np.uint8).reshape(len(ids), -1)
+            wanted = np.unpackbits(bits, axis=1, count=len(of)).astype(bool)
+            for block, c_ids, c, c_cells in theirs:
+                if not exact or block != row["block"]:
+                    near.look_into(c_ids, c, np.searchsorted(of, c_cells), wanted)
+            found.append(near.found())
+        return pa.Table.from_batches(found) if found else pa.table({
+            "src": pa.array([], pa.int64()), "dst": pa.array([], pa.int64()), "d2": pa.array([], pa.float64())
+        })
 
     schema = "src long, dst long, d2 double"
     packed = "block int, ids binary, cells binary, vecs binary"
@@ -471,11 +474,11 @@ def nearest_points(
     )
     theirs = blocks.packed.select(
         F.floor(F.col("block") / F.lit(MET_BLOCKS)).cast("int").alias("met"),
-        F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))).alias("share"),
-        F.col("block").alias("c_block"), F.col("ids").alias("c_ids"), F.col("cells").alias("c_cells"), F.col("vecs").alias("c_vecs"),
+        F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"),
+        F.col("block").alias("c_block"), "ids", "cells", "vecs",
     )
-    # merged, what is sent comes once with the few blocks that it meets, one after the other
-    found = sent.join(theirs.hint("merge"), ["met", "share"]).mapInArrow(search, schema)
+    keys = ["met", "share"]
+    found = sent.groupBy(*keys).cogroup(theirs.groupBy(*keys)).applyInArrow(search, schema)
     if exact:
         found = asking.select("ids", "far", "others").mapInArrow(listed, schema).unionByName(found)
     best = scratch.table(_best(found, k), "nearest")
