@@ -583,10 +583,12 @@ def topic_coherence(spark: SparkSession, sf: str) -> DataFrame:
 
 def _measured(spark: SparkSession, sf: str) -> DataFrame:
     scratch = Scratch(spark, "measured")
-    tokens = given.tokens(spark, sf).join(given.vectors(spark, sf).select("doc_id"), "doc_id", "left_semi")
+    embedded = given.documents(spark, sf).join(given.vectors(spark, sf).select("doc_id"), "doc_id", "left_semi")
+    tokens = scratch.table(tok.tokenize_whitespace(embedded.select("doc_id", "text")).select("doc_id", "tokens"), "tokens")
     counts = tokens.select("doc_id", F.explode("tokens").alias("word")).groupBy(
         "doc_id", F.lower("word").alias("word")
     ).agg(F.count(F.lit(1)).alias("n"))
+    counts = scratch.table(counts, "word_counts")
     metrics = tuning.trial_metrics(
         given.vectors(spark, sf), given.labelings(spark, sf), counts, tok.doc_word_sets(tokens), 1, 0.95
     )

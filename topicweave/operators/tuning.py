@@ -30,10 +30,12 @@ def trial_top_words(
     ``word_counts(doc_id, word, n)`` are counted once per document; every trial
     adds them up per topic.
     """
-    counts = (
+    scratch = Scratch(word_counts.sparkSession, "trial_words")  # what follows reads these tables several times
+    counts = scratch.table(
         word_counts.join(doc_topics, "doc_id")
         .groupBy("trial_id", "topic", "word")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("n")),
+        "counts",
     )
     units = counts.groupBy("trial_id").agg(F.count_distinct("topic").alias("units"))
     bound = lambda limit: F.col("units") * limit if isinstance(limit, float) else F.lit(limit)
@@ -44,6 +46,7 @@ def trial_top_words(
         .join(units, "trial_id")
         .where((F.col("df") >= bound(min_df)) & (F.col("df") <= bound(max_df)))
     )
+    kept = scratch.table(kept, "kept", replaces=counts)
     totals = kept.groupBy("trial_id", "topic").agg(F.sum("n").alias("in_topic"))
     mean = totals.groupBy("trial_id").agg(F.floor(F.avg("in_topic")).alias("mean"))
     scored = (
@@ -200,7 +203,8 @@ def trial_metrics(
     by = ["trial_id"]
     counts = cluster_counts(doc_topics, by).where("n_clusters >= 2")
     kept = doc_topics.join(counts.select("trial_id"), "trial_id", "left_semi")
-    words = trial_top_words(word_counts, kept, min_df, max_df)
+    scratch = Scratch(doc_topics.sparkSession, "trial_metrics")
+    words = scratch.table(trial_top_words(word_counts, kept, min_df, max_df), "words")  # read by two measures
     return (
         counts.join(noise_ratio(kept, by), by)
         .join(silhouette(reduced, kept, by), by)
