@@ -8,14 +8,18 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import product
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from topicweave.operators.represent import MAIN, of_aspect
+from topicweave.operators.represent import MAIN, SHARED_SCORES, of_aspect, written
 from topicweave.scratch import Scratch
 
-# words whose presence one long holds
-BITS = 62
+# documents whose words a task packs into bits, the least number of such pieces, pieces that are met together,
+# lists of words that meet them, and lists whose bits are held at once inside a task
+PIECE_DOCS, LEAST_PIECES, MET_PIECES = 4096, 16, 8
+SHARE_LISTS, STRIPE_LISTS = 8192, 256
 
 # Weights of the composite score, the coherence that counts as
 # full, and the scores of a topic count inside, near and far from the target.
@@ -67,46 +71,25 @@ def topic_coherence(
     counts all documents with words.  Pairs with a word no document holds, and
     topics without pairs, are left out.  Of a table with several aspects only
     ``aspect`` counts.
+
+    A word's documents are bits, packed once for all topics; so there is no row for
+    each document and topic that share a word.
     """
     by = list(by)
     top = of_aspect(topic_words, aspect).where((F.col("topic") != -1) & (F.col("rank") <= top_n)).select(
         *by, "topic", "rank", "word"
     )
-    n_docs = doc_word_sets.agg(F.count(F.lit(1))).scalar()
-    # a document's words of a topic are bits of some longs; equal bits are counted, not listed,
-    # so at most 2^top_n rows a topic go on to the pairs
-    words = range(-(-top_n // BITS))
-    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("rank") - 1 - w * BITS).cast("int"))
-    inside = lambda w: F.col("rank").between(w * BITS + 1, (w + 1) * BITS)
-    masks = [F.bit_or(F.when(inside(w), bit(w)).otherwise(F.lit(0).cast("long"))).alias(f"_bits{w}") for w in words]
-    names = [f"_bits{w}" for w in words]
-    held = (
-        doc_word_sets.select("doc_id", F.explode("words").alias("word"))
-        .join(top, "word")
-        .groupBy("doc_id", *by, "topic")
-        .agg(*masks)
-        .groupBy(*by, "topic", *names)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    held = Scratch(doc_word_sets.sparkSession, "coherence").table(held, "held")
-    set_bit = lambda r: F.getbit(f"_bits{(r - 1) // BITS}", F.lit((r - 1) % BITS)) == 1
-    ranks = F.array_compact(F.array(*[F.when(set_bit(r), F.lit(r)) for r in range(1, top_n + 1)]))
-    pair = F.flatten(
-        F.transform(
-            "ranks",
-            lambda a: F.transform(
-                F.filter("ranks", lambda b: b >= a),
-                lambda b: F.struct(a.alias("r1"), b.alias("r2")),
-            ),
-        )
+    doc_word_sets = written(doc_word_sets, "word_sets")
+    n_docs = F.lit(Scratch.rows(doc_word_sets))
+    scratch = Scratch(doc_word_sets.sparkSession, "coherence")
+    words = scratch.table(
+        top.where(F.col("word").isNotNull()).select("word").distinct().withColumn("_w", F.monotonically_increasing_id()), "words"
     )
+    listed = top.join(words, "word").groupBy(*by, "topic").agg(F.collect_list(F.struct("rank", "_w")).alias("_words"))
+    # at most top_n words a list
+    lists = scratch.table(listed.withColumn("_list", F.monotonically_increasing_id()), "lists")
     # r1 = r2 counts the documents of a single word
-    together = (
-        held.withColumn("ranks", ranks)
-        .select(*by, "topic", "_n", F.explode(pair).alias("p"))
-        .groupBy(*by, "topic", F.col("p.r1").alias("r1"), F.col("p.r2").alias("r2"))
-        .agg(F.sum("_n").alias("d"))
-    )
+    together = lists.drop("_words").join(_documents_together(doc_word_sets, words, lists, scratch), "_list")
     single = together.where("r1 = r2").select(*by, "topic", F.col("r1").alias("rank"), "d")
     first = single.withColumnsRenamed({"rank": "r1", "d": "d1"})
     second = single.withColumnsRenamed({"rank": "r2", "d": "d2"})
@@ -128,6 +111,77 @@ def topic_coherence(
     return top.select(*by).distinct().join(result, by, "left").fillna(0.0, ["coherence"])
 
 
+def _documents_together(doc_word_sets: DataFrame, words: DataFrame, lists: DataFrame, scratch: Scratch) -> DataFrame:
+    """(_list, r1, r2, d): documents with the words of two ranks ``r1 <= r2`` of a list, without pairs in no document.
+
+    A task packs the words of a bounded number of documents, or looks up a bounded number
+    of lists in ``MET_PIECES`` such pieces.
+    """
+    pieces = max(LEAST_PIECES, -(-Scratch.rows(doc_word_sets) // PIECE_DOCS))
+    shares = max(1, -(-Scratch.rows(lists) // SHARE_LISTS))
+    asked = F.broadcast(words) if Scratch.rows(words) <= SHARED_SCORES else words
+    held = doc_word_sets.select("doc_id", F.explode("words").alias("word")).join(asked, "word").select(
+        F.pmod(F.xxhash64("doc_id"), F.lit(pieces)).cast("int").alias("_piece"), "doc_id", "_w"
+    )
+
+    def pack(rows: pa.Table) -> pa.Table:
+        docs = rows.column("doc_id").combine_chunks().dictionary_encode(null_encoding="encode")
+        doc = docs.indices.to_numpy()
+        known, word = np.unique(rows.column("_w").to_numpy(), return_inverse=True)
+        bits = np.zeros((len(known), -(-len(docs.dictionary) // 64) * 8), dtype=np.uint8)
+        np.bitwise_or.at(bits, (word, doc >> 3), np.left_shift(1, doc & 7).astype(np.uint8))
+        return pa.table({
+            "_piece": rows.column("_piece").slice(0, 1),
+            "known": pa.array([known.astype(np.int64).tobytes()], pa.binary()), "bits": pa.array([bits.tobytes()], pa.binary()),
+        })
+
+    def look_up(packed: pa.Table, wanted: pa.Table) -> pa.Table:
+        number, rank, word = (wanted.column(n).to_numpy() for n in ("_list", "rank", "_w"))
+        order = np.lexsort((rank, number))
+        number, rank, word = number[order], rank[order], word[order]
+        own, of = np.unique(number, return_inverse=True)
+        width = int(rank.max(initial=0))
+        total = np.zeros((len(own), width + 1, width + 1), dtype=np.int64)
+        for row in range(packed.num_rows if len(own) else 0):
+            known = np.frombuffer(packed.column("known")[row].as_py(), dtype=np.int64)
+            bits = np.frombuffer(packed.column("bits")[row].as_py(), dtype=np.uint64).reshape(len(known), -1)
+            place = np.minimum(np.searchsorted(known, word), len(known) - 1)
+            here = np.flatnonzero(known[place] == word)
+            for start in range(0, len(own), STRIPE_LISTS):
+                some = here[slice(*np.searchsorted(of[here], [start, start + STRIPE_LISTS]))]
+                if not len(some):
+                    continue
+                # words of one rank are one word that stands for any of them
+                slot = (of[some] - start) * (width + 1) + rank[some]
+                slots, first = np.unique(slot, return_index=True)
+                docs = np.zeros((min(STRIPE_LISTS, len(own) - start), width + 1, bits.shape[1]), dtype=np.uint64)
+                docs.reshape(-1, bits.shape[1])[slots] = np.bitwise_or.reduceat(bits[place[some]], first, axis=0)
+                for r in range(1, width + 1):
+                    both = np.bitwise_count(docs[:, r, None] & docs[:, r:]).sum(axis=2, dtype=np.int64)
+                    total[start : start + len(docs), r, r:] += both
+        i, r1, r2 = np.nonzero(total)
+        return pa.table({
+            "_list": pa.array(own[i].astype(np.int64)), "r1": pa.array(r1.astype(np.int32)), "r2": pa.array(r2.astype(np.int32)),
+            "d": pa.array(total[i, r1, r2]),
+        })
+
+    packed = scratch.table(
+        held.groupBy("_piece").applyInArrow(pack, "_piece int, known binary, bits binary"), "packed"
+    )
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    group = F.floor(F.col("_piece") / F.lit(MET_PIECES)).cast("int")
+    sent = packed.select(group.alias("_group"), each(shares).alias("_share"), "known", "bits")
+    rows = lists.select(
+        "_list", F.pmod(F.xxhash64("_list"), F.lit(shares)).cast("int").alias("_share"), F.inline("_words")
+    ).where(F.col("rank") >= 1).withColumn("rank", F.col("rank").cast("int"))
+    groups = -(-pieces // MET_PIECES)
+    keys = ["_group", "_share"]
+    found = sent.groupBy(*keys).cogroup(rows.withColumn("_group", each(groups)).groupBy(*keys)).applyInArrow(
+        look_up, "_list long, r1 int, r2 int, d long"
+    )
+    return scratch.table(found.groupBy("_list", "r1", "r2").agg(F.sum("d").alias("d")), "together")
+
+
 def composite_score(target: tuple[int, int] = (20, 50)) -> Column:
     """Weighted score of a trial's metrics; low coherence has no floor."""
     low, high = target

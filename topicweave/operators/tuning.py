@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import Future, ThreadPoolExecutor, as_completed
+
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,6 +20,9 @@ from topicweave.operators.separation import silhouette
 from topicweave.operators.tokens import doc_word_sets
 from topicweave.scratch import Scratch
 
+# reductions that are clustered and measured side by side: most of these jobs are too small for all workers
+AT_ONCE = 3
+
 
 def trial_top_words(
     word_counts: DataFrame,
@@ -82,7 +88,7 @@ def run_trials(
 
     The neighbour graph is searched once for the whole grid, each reduction is
     laid out once, and all clusterings of a reduction share one job per step.
-    Each reduction's trials are entered in a ledger when they are done or have
+    ``AT_ONCE`` reductions are clustered and measured side by side while others are laid out.  Each reduction's trials are entered in a ledger when they are done or have
     failed; a failure costs the trials of its reduction only, and an error is raised
     if nothing is left.  A folder named as ``ledger`` is kept: another run takes what
     it has finished from there and tries the rest again.
@@ -112,14 +118,16 @@ def run_trials(
     )
     word_sets = scratch.table(doc_word_sets(tokens), "word_sets")
 
-    def clustered(n_neighbors: int, n_components: int, min_dist: float, group: list) -> DataFrame:
-        placed = reduce_points(
+    def placed(n_neighbors: int, n_components: int, min_dist: float) -> DataFrame:
+        places = reduce_points(
             cells.points.select("id", "vec"), knn, scratch, n_components, n_neighbors, min_dist,
             seed, n_epochs, rounds, bucket_rows,
         )
-        reduced = placed.withColumnRenamed("id", "doc_id")
-        if members is not None:
-            reduced = scratch.table(members.join(placed, "id").select("doc_id", "vec"), "reduced")
+        if members is None:
+            return places.withColumnRenamed("id", "doc_id")
+        return scratch.table(members.join(places, "id").select("doc_id", "vec"), "reduced")
+
+    def measured(reduced: DataFrame, group: list) -> DataFrame:
         doc_topics = cluster_grid(
             reduced,
             [(r.trial_id, r.min_cluster_size, r.min_samples, r.cluster_method) for r in group],
@@ -127,16 +135,26 @@ def run_trials(
             cell_rows=cell_rows,
             knn_method=knn_method,
         ).withColumnRenamed("trial", "trial_id")
-        return scratch.table(trial_metrics(reduced, doc_topics, word_counts, word_sets, min_df, max_df), "metrics")
+        own = Scratch(vectors.sparkSession, "measured")  # others run beside it
+        return own.table(trial_metrics(reduced, doc_topics, word_counts, word_sets, min_df, max_df), "metrics")
 
     failed = None
-    for setting, group in settings.items():
-        own = trials.where(F.col("trial_id").isin([r.trial_id for r in group]))
-        try:
-            book.enter(own.join(clustered(*setting, group), "trial_id", "left"))
-        except Exception as error:  # whatever ends one reduction, the others go on
-            book.enter(own, error)
-            failed = error
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        running = {}
+        for setting, group in settings.items():
+            try:
+                running[pool.submit(inheritable_thread_target(measured), placed(*setting), group)] = group
+            except Exception as error:  # whatever ends one reduction, the others go on
+                lost = Future()
+                lost.set_exception(error)
+                running[lost] = group
+        for future in as_completed(running):  # only this thread writes to the ledger
+            own = trials.where(F.col("trial_id").isin([r.trial_id for r in running[future]]))
+            try:
+                book.enter(own.join(future.result(), "trial_id", "left"))
+            except Exception as error:
+                book.enter(own, error)
+                failed = error
     if failed is not None and not book.done() & {tuple(r[c] for c in PARAMETERS) for r in rows}:
         raise RuntimeError("every reduction of the grid has failed") from failed
     return _measured(trials, book, target)
