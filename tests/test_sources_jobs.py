@@ -6,6 +6,7 @@ import pytest
 
 from topicweave.operators import quality, represent, tokens as tok, tuning
 from topicweave.plans import jobs
+from topicweave.scratch import Scratch
 from topicweave.sources import readers, writers
 
 
@@ -200,3 +201,30 @@ def test_embed(spark, tmp_path):
     assert vectors.count() == 2
     info = spark.read.json(f"{tmp_path}/info").first()
     assert (info.n_documents, info.embedding_dim, info.model_name) == (2, 64, "hash")
+
+
+def test_words_of_a_model_are_not_left_in_few_tasks(spark, monkeypatch):
+    """Documents that a filter leaves in one of many files are dealt out before their words are taken."""
+
+    class Written(Exception):
+        pass
+
+    def stop(*_, **__):
+        raise Written
+
+    rows = []
+    table = Scratch.table
+
+    def watched(self, df, name="t", *more, **options):
+        if name == "tokens":
+            rows.extend(df.rdd.mapPartitions(lambda part: [sorted(r.doc_id for r in part)]).collect())
+        return table(self, df, name, *more, **options)
+
+    docs = spark.range(0, 8000, 1, 8).where("id < 1000").selectExpr("id AS doc_id", "concat('word', id, ' other') AS text")
+    vectors = docs.selectExpr("doc_id", "array(1.0D, doc_id) AS vec")
+    monkeypatch.setattr(jobs, "reduce_dimensions", stop)
+    monkeypatch.setattr(Scratch, "table", watched)
+    with pytest.raises(Written):
+        jobs.model(docs, vectors)
+    assert sorted(i for part in rows for i in part) == list(range(1000))
+    assert max(map(len, rows)) < 400

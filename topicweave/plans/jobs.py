@@ -52,6 +52,13 @@ def embed(
     return docs, vectors
 
 
+def dealt_out(docs: DataFrame) -> DataFrame:
+    """``docs`` over all tasks by ``doc_id``: a filter may have left them in a few of the files they were read from."""
+    spark = docs.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return docs.repartition(parts, "doc_id")
+
+
 def tune(
     docs: DataFrame,
     vectors: DataFrame,
@@ -74,7 +81,7 @@ def tune(
     """
     spark = docs.sparkSession
     col = prep.resolve_text_column(docs, text_column)
-    texts = prep.fill_missing_text(docs, col)
+    texts = dealt_out(prep.fill_missing_text(docs, col))
     tokens = tok.tokenize(texts, tokenizer, col, stopwords, min_token_len, **(tokenizer_options or {}))
     trials = quality.expand_grid(spark, umap_grid, hdbscan_grid)
     metrics = run_trials(
@@ -184,7 +191,7 @@ def model(
     encode.require_alignment(vectors, docs)
     scratch = Scratch(spark, "model")
     col = prep.resolve_text_column(docs, text_column)
-    texts = prep.fill_missing_text(docs, col)
+    texts = dealt_out(prep.fill_missing_text(docs, col))
     tokens = scratch.table(
         tok.tokenize(texts, tokenizer, col, stopwords, min_token_len, **(tokenizer_options or {})).select("doc_id", "tokens"),
         "tokens",
