@@ -228,3 +228,9 @@ def test_words_of_a_model_are_not_left_in_few_tasks(spark, monkeypatch):
         jobs.model(docs, vectors)
     assert sorted(i for part in rows for i in part) == list(range(1000))
     assert max(map(len, rows)) < 400
+
+
+def test_dealing_out_is_not_left_to_a_join(spark):
+    ids = spark.range(100).withColumnRenamed("id", "doc_id")
+    joined = ids.join(ids.hint("merge"), "doc_id", "left_semi")
+    assert "REPARTITION_BY_NUM" in jobs.dealt_out(joined)._jdf.queryExecution().executedPlan().toString()

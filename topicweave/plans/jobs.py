@@ -53,10 +53,14 @@ def embed(
 
 
 def dealt_out(docs: DataFrame) -> DataFrame:
-    """``docs`` over all tasks by ``doc_id``: a filter may have left them in a few of the files they were read from."""
+    """``docs`` over all tasks by ``doc_id``: a filter may have left them in a few of the files they were read from.
+
+    The hash is not that of a join on ``doc_id``: the planner would leave this out for such a join, and then join
+    by broadcast, where the files were read.
+    """
     spark = docs.sparkSession
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return docs.repartition(parts, "doc_id")
+    return docs.repartition(parts, F.xxhash64("doc_id"))
 
 
 def tune(
