@@ -85,21 +85,38 @@ def distinct_rows(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return x[first], which.ravel(), counts.astype(np.float64)
 
 
+def stripes(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[slice, np.ndarray, Callable]]:
+    """Stretches of the rows of ``left`` with their product with ``right``, and its places at or below a limit a row.
+
+    Fresh memory for every product costs more than the product, so all use the same.
+    """
+    shape = (min(STRIPE_ROWS, len(left)), right.shape[1])
+    held, marked = np.empty(shape, dtype=left.dtype), np.empty(shape, dtype=bool)
+    for start in range(0, len(left), STRIPE_ROWS):
+        rows = slice(start, min(start + STRIPE_ROWS, len(left)))
+        product = np.matmul(left[rows], right, out=held[: rows.stop - start])
+
+        def below(limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            under = np.less_equal(product, limit[:, None], out=marked[: len(product)])
+            return np.divmod(np.flatnonzero(under), shape[1])
+
+        yield rows, product, below
+
+
 def distance_stripes(q: np.ndarray, c: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
     """Stretches of the rows of ``q`` with their distances to the rows of ``c``.
 
     Distances come from matrix products about the mean of ``c``; where two rows are so near
-    that the product cancels, from their difference.
+    that the product cancels, from their difference.  All stretches use the same memory: one
+    holds until the next is asked for.
     """
     middle = c.mean(axis=0)
     a, b = q - middle, c - middle
     aa, bb = (a * a).sum(axis=1), (b * b).sum(axis=1)
     ones = lambda x: np.ones((len(x), 1))
     left, right = np.hstack([-2.0 * a, aa[:, None], ones(a)]), np.hstack([b, ones(b), bb[:, None]]).T.copy()
-    for start in range(0, len(q), STRIPE_ROWS):
-        rows = slice(start, start + STRIPE_ROWS)
-        square = left[rows] @ right
-        i, j = np.nonzero(square <= CANCELLED * (aa[rows] + bb.max())[:, None])
+    for rows, square, below in stripes(left, right):
+        i, j = below(CANCELLED * (aa[rows] + bb.max()))
         if len(i):
             square[i, j] = exact_pairs(q[rows], c, i, j)
         yield rows, np.sqrt(square, out=square)

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from topicweave.operators import spanning
 from topicweave.operators.blocks import BLOCK_ROWS
 from topicweave.operators.hierarchy import (
-    NOISE, cluster_members, condensed_hierarchy, gather_cores,
+    NOISE, cluster_members, clusters_of_runs, condensed_hierarchy, gather_cores,
 )
 from topicweave.operators.merging import groups
 from topicweave.operators.neighbours import (
@@ -68,14 +69,18 @@ def cluster_grid(
     per_run = F.broadcast(sizes.select("run", F.col("samples").alias("_s")))
     runs = lambda df: df.withColumnRenamed("run", "_s").join(per_run, "_s").drop("_s")
     weighted = runs(core.join(copies, "id")).select("run", "id", F.col("copies").alias("weight"), "core")
-    gathered, links = gather_cores(
-        runs(forest), weighted, sizes.select("run", "min_cluster_size"), scratch
-    )
-    nodes, placed = condensed_hierarchy(gathered, links, scratch)
     methods: dict[int, list] = {i: [] for i in number.values()}
     for trial, size, samples, method in trials:
         methods[number[size, samples]].append((trial, method))
-    clusters = cluster_members(nodes, placed, methods, scratch)
+    # a run has the points of one core distance
+    if Scratch.rows(core) <= spanning.TASK_ROWS * len(needed):
+        clusters = clusters_of_runs(runs(forest), weighted, {i: size for (size, _), i in number.items()}, methods)
+    else:
+        gathered, links = gather_cores(
+            runs(forest), weighted, sizes.select("run", "min_cluster_size"), scratch
+        )
+        nodes, placed = condensed_hierarchy(gathered, links, scratch)
+        clusters = cluster_members(nodes, placed, methods, scratch)
     if members is not None:
         clusters = clusters.join(members, "id").select("trial", "doc_id", "cluster")
     else:

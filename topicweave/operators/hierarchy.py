@@ -9,18 +9,27 @@ it joins a part of that size.  The result equals the full tree's.
 
 The tree of cores is a table of nodes as well, for all runs of a grid at once: it is
 built, climbed and folded in rounds of joins, and nothing of it reaches the driver.
+
+Those rounds are some hundred small jobs, whatever the size.  Spanning trees of a bounded
+number of edges are walked by one task a run instead, in the order of their edges, which
+gives the same nodes and points (``clusters_of_runs``).
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from topicweave.operators.blocks import values
 from topicweave.operators.dendrogram import fold_up, jumps, last_below, merge_tree, topmost
 from topicweave.operators.spanning import EDGE, find_roots
 from topicweave.scratch import Scratch
 
 NOISE = -1
+# edges of a tree that are held as Python numbers at once
+EDGES_AT_ONCE = 1 << 16
 
 
 def _edge(*names: str):
@@ -243,3 +252,139 @@ def cluster_members(
     asked = F.broadcast(placed.sparkSession.createDataFrame(rows, "trial int, run int, method string"))  # the grid
     chosen = select_clusters(nodes, placed, scratch)
     return placed.join(chosen, "node").join(asked, ["run", "method"]).select("trial", "id", "cluster")
+
+
+def clusters_of_runs(
+    forest: DataFrame, points: DataFrame, sizes: dict[int, int], methods: dict[int, list[tuple[int, str]]]
+) -> DataFrame:
+    """(trial, id, cluster) of ``cluster_members``, from trees and points that one task a run can hold.
+
+    ``forest(run, src, dst, w)``, ``points(run, id, weight, core)``; ``sizes`` has each run's ``min_cluster_size``.
+    """
+
+    def walk(forest: pa.Table, points: pa.Table) -> pa.Table:
+        parts = []
+        if points.num_rows:
+            run = int(values(points, "run")[0])
+            tree = CoreTree(sizes[run], *(values(points, c) for c in ("id", "weight", "core")), *(values(forest, c) for c in EDGE))
+            for method in sorted({method for _, method in methods[run]}):
+                ids, cluster = tree.members(method)
+                for trial in (t for t, m in methods[run] if m == method):
+                    parts.append(pa.table({
+                        "trial": pa.array(np.full(len(ids), trial), pa.int32()),
+                        "id": pa.array(ids, pa.int64()), "cluster": pa.array(cluster, pa.int64()),
+                    }))
+        return pa.concat_tables(parts) if parts else pa.table({
+            "trial": pa.array([], pa.int32()), "id": pa.array([], pa.int64()), "cluster": pa.array([], pa.int64())
+        })
+
+    points = points.withColumn("run", F.col("run").alias("run"))  # both sides may come from one table of runs
+    return forest.groupBy("run").cogroup(points.groupBy("run")).applyInArrow(walk, "trial int, id long, cluster long")
+
+
+class CoreTree:
+    """The tree of cores of one spanning forest, merged edge by edge.
+
+    ``node`` and ``joins`` tell each point's node and the edge by which it joins it: -1 for the point's own
+    core distance; ``node`` is -1 for points that join no part of full size.  Rows of one id are one point.
+    """
+
+    def __init__(self, full: int, ids, weight, core, w, src, dst):
+        self.ids, rows, self.which = np.unique(ids, return_index=True, return_inverse=True)
+        self.weight = np.zeros(len(self.ids), dtype=np.int64)
+        np.add.at(self.weight, self.which, weight)
+        ids = self.ids
+        by_edge = np.lexsort((dst, src, w))
+        self.w, a, b = w[by_edge], np.searchsorted(self.ids, src[by_edge]), np.searchsorted(self.ids, dst[by_edge])
+        self.up, self.edge = [], []  # by node: the one above, and the edge that made it, -1 for cores
+        root = list(range(len(ids)))
+        ring = root.copy()  # points of an open part, one after the other
+        held, joins, node = self.weight.tolist(), [-1] * len(ids), [-1] * len(ids)
+        of = [-1] * len(ids)  # by root: the node of a part of full size
+
+        def new(edge: int) -> int:
+            self.up.append(-1)
+            self.edge.append(edge)
+            return len(self.up) - 1
+
+        def join(first: int, to: int, edge: int) -> None:
+            one = first
+            while True:
+                node[one], joins[one] = to, edge
+                one = ring[one]
+                if one == first:
+                    return
+
+        for i in np.flatnonzero(self.weight >= full).tolist():
+            of[i] = node[i] = new(-1)
+        for start in range(0, len(a), EDGES_AT_ONCE):
+            some = slice(start, start + EDGES_AT_ONCE)
+            for edge, (i, j) in enumerate(zip(a[some].tolist(), b[some].tolist()), start):
+                while root[i] != i:
+                    root[i] = root[root[i]]
+                    i = root[i]
+                while root[j] != j:
+                    root[j] = root[root[j]]
+                    j = root[j]
+                if held[i] < held[j]:  # so a part of full size comes before an open one
+                    i, j = j, i
+                one, two = of[i], of[j]
+                if one >= 0 and two >= 0:
+                    of[i] = self.up[one] = self.up[two] = new(edge)
+                elif one >= 0:
+                    join(j, one, edge)
+                else:
+                    ring[i], ring[j] = ring[j], ring[i]
+                    if held[i] + held[j] >= full:
+                        of[i] = new(-1)
+                        join(i, of[i], edge)
+                root[j] = i
+                held[i] += held[j]
+        self.up, self.edge = np.array(self.up, dtype=np.int64), np.array(self.edge, dtype=np.int64)
+        self.node, self.joins, self.core = np.array(node, dtype=np.int64), np.array(joins, dtype=np.int64), core[rows]
+
+    def clusters(self, method: str) -> np.ndarray:
+        """By node the chosen node that it lies in, -1 without one; as ``select_clusters`` does."""
+        n = len(self.up)
+        inside, top = self.up >= 0, np.full(n, -1)
+        leaf = self.edge < 0
+        whole = ~inside & (np.count_nonzero(~inside) == 1)
+        if method == "leaf":
+            return np.where(leaf & ~whole, np.arange(n), top)
+        if method != "eom":
+            return top
+        with np.errstate(divide="ignore", invalid="ignore"):
+            density = 1.0 / np.abs(np.append(self.w, 0.0))  # the last one is not used
+            birth = np.where(inside, density[self.edge[self.up]], 0.0)
+            own = density[self.edge]
+            known = self.node >= 0
+            at, weight = self.node[known], self.weight[known].astype(float)
+            level = np.where(self.joins < 0, 1.0 / np.abs(self.core), density[self.joins])[known]
+            mass = np.bincount(at, weight, minlength=n)
+            levels = np.bincount(at, weight * level, minlength=n)
+            total = mass.copy()
+            for node in np.flatnonzero(inside).tolist():  # a node comes before the one above it
+                total[self.up[node]] += total[node]
+            stable = levels - mass * birth
+            stable = np.where(leaf, stable, stable + (total - mass) * (own - birth))
+            stable = np.where(np.isnan(stable), 0.0, stable)
+        below = np.zeros(n)
+        chosen = np.zeros(n, dtype=bool)
+        for node in range(n):
+            if leaf[node]:
+                chosen[node], best = not whole[node], 0.0 if whole[node] else stable[node]
+            else:
+                chosen[node] = not whole[node] and not below[node] > stable[node]
+                best = below[node] if whole[node] else max(stable[node], below[node])
+            if inside[node]:
+                below[self.up[node]] += best
+        for node in range(n - 1, -1, -1):
+            above = top[self.up[node]] if inside[node] else -1
+            top[node] = above if above >= 0 else node if chosen[node] else -1
+        return top
+
+    def members(self, method: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the points inside a chosen node, and the node."""
+        cluster = np.append(self.clusters(method), -1)[self.node][self.which]
+        inside = cluster >= 0
+        return self.ids[self.which][inside], cluster[inside]

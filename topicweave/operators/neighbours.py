@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from topicweave.operators.blocks import (
     BLOCK_ROWS,
     ENTRIES_AT_ONCE,
-    STRIPE_ROWS,
     exact_pairs,
     exact_squared,
     list_column,
@@ -31,6 +30,7 @@ from topicweave.operators.blocks import (
     slack,
     slices,
     squared_distances,
+    stripes,
     values,
 )
 from topicweave.scratch import Scratch
@@ -46,6 +46,8 @@ MET_BLOCKS = 8
 SHARES = 16
 # pairs asked for as a share of all, below which cells are compared one by one
 SPARSE = 0.2
+# error of products in single precision as a share of the usual bound, up to which they tell the candidates
+ROUGH = 1e-3
 
 
 def collapse_copies(vectors: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
@@ -232,6 +234,12 @@ def _unpacked(row: dict, ids: str = "ids", vecs: str = "vecs") -> tuple[np.ndarr
     return held, np.frombuffer(row[vecs]).reshape(len(held), -1)
 
 
+def rough_slack(left: np.ndarray, qq: np.ndarray, cc: np.ndarray) -> float:
+    """More than the error of squared distances from products in single precision; infinite where its range may not do."""
+    largest = qq.max(initial=0.0) + cc.max(initial=0.0)
+    return (left.shape[1] + 8) * 2.0**-22 * largest if 1e-20 < largest < 1e30 else np.inf
+
+
 class Nearest:
     """The nearest candidates so far of some points, none beyond a point's bound (squared)."""
 
@@ -268,20 +276,24 @@ class Nearest:
         q, bound = self.rows[some], np.minimum(self.bound[some], self.far[some, -1])
         eps = slack(q, c)
         ones = lambda x: np.ones((len(x), 1))
-        left = np.hstack([-2.0 * q, (q * q).sum(axis=1)[:, None], ones(q)])
-        right = np.hstack([c, ones(c), (c * c).sum(axis=1)[:, None]]).T.copy()
-        for start in range(0, len(some), STRIPE_ROWS):
-            rows = slice(start, start + STRIPE_ROWS)
-            fast = left[rows] @ right
+        qq, cc = (q * q).sum(axis=1), (c * c).sum(axis=1)
+        left = np.hstack([-2.0 * q, qq[:, None], ones(q)])
+        right = np.hstack([c, ones(c), cc[:, None]]).T.copy()
+        rough = rough_slack(left, qq, cc)
+        if rough <= ROUGH * np.median(bound) < np.inf:  # false for what is no number
+            left, right, eps = left.astype(np.float32), right.astype(np.float32), rough
+        for rows, fast, below in stripes(left, right):
+            start = rows.start
             limit = bound[rows] * (1 + 1e-12) + eps
             unbound = np.flatnonzero(np.isinf(limit))
             if len(unbound) and len(c) > k + 1:
-                open_ = fast[unbound]
+                open_ = fast[unbound].astype(float)
                 if asked is not None:
                     open_[~asked[start + unbound][:, place]] = np.inf
                 # one more than k, since the query may be its own candidate
                 limit[unbound] = np.partition(open_, k, axis=1)[:, k] + 2 * eps
-            i, j = np.nonzero(fast <= np.minimum(limit, np.finfo(float).max)[:, None])
+            limit = np.minimum(limit, np.finfo(fast.dtype).max).astype(fast.dtype)
+            i, j = below(np.nextafter(limit, fast.dtype.type(np.inf)) if fast.dtype == np.float32 else limit)
             i += start
             meant = self.ids[some[i]] != c_ids[j]
             if asked is not None:

@@ -420,9 +420,9 @@ class _Shared:
         """Which topics of the other block this one wants."""
         return np.flatnonzero(np.isin(other.codes, self.wants))
 
-    def add(self, rows: slice, far: np.ndarray, codes: np.ndarray, weight: np.ndarray) -> None:
+    def add(self, rows: slice, far: np.ndarray, codes: np.ndarray, weight: np.ndarray, finite: bool) -> None:
         """Add the distances ``far`` of ``rows`` to others, whose share in ``codes`` is ``weight``."""
-        if len(codes) <= PRODUCT_TOPICS and np.isfinite(far).all():
+        if len(codes) <= PRODUCT_TOPICS and finite:
             total = far @ weight
         else:  # topic by topic: a product would be long, or multiply by what is no number
             total = np.stack([far[:, w > 0] @ w[w > 0] for w in weight.T], axis=1)
@@ -441,16 +441,18 @@ def _compare(one: _Shared, two: _Shared) -> None:
     here, there = one.asks(two), two.asks(one) if one is not two else np.zeros(0, dtype=np.int64)
     if not len(here) and not len(there):
         return
-    if far_from_range(one.x, two.x):
+    wide = far_from_range(one.x, two.x)
+    if wide:
         stripes = ((slice(i, i + 1), np.sqrt(exact_squared(row, two.x))[None]) for i, row in enumerate(one.x))
     else:
         stripes = distance_stripes(one.x, two.x)
     of_two, of_one = two.weight[:, here], one.weight[:, there]
     for rows, far in stripes:
+        finite = not wide or bool(np.isfinite(far).all())  # coordinates within range have finite distances
         if len(here):
-            one.add(rows, far, two.codes[here], of_two)
+            one.add(rows, far, two.codes[here], of_two, finite)
         if len(there):
-            two.add(slice(None), far.T, one.codes[there], of_one[rows])
+            two.add(slice(None), far.T, one.codes[there], of_one[rows], finite)
     one.count(two.codes[here], of_two)
     two.count(one.codes[there], of_one)
 

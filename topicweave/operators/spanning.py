@@ -32,6 +32,8 @@ EDGE = ["w", "src", "dst"]
 ROUTED_AT_ONCE = 1 << 17
 # steps towards the root between two tables; the way shrinks by HOPS + 1 each time
 HOPS = 3
+# rows of a graph or tree, all runs together, up to which a task takes the whole of a run; beyond, rounds of joins do
+TASK_ROWS = 1 << 20
 
 
 def core_distance(knn: DataFrame, min_samples: int) -> DataFrame:
@@ -135,7 +137,9 @@ def minimum_spanning_forest(
 
     Each round joins every component to the one across its least edge and
     contracts the graph, so at most half of the components are left.  With
-    ``search`` a component also considers edges that are not listed.
+    ``search`` a component also considers edges that are not listed.  A graph of at most
+    ``TASK_ROWS`` edges is contracted by one task a run, as far as the lists tell
+    its least edges for certain; only the search for others is a round of its own then.
     """
     scratch = scratch or Scratch(edges.sparkSession, "forest")
     with_run = "run" in edges.columns
@@ -146,7 +150,22 @@ def minimum_spanning_forest(
     )
     live = scratch.table(edges.withColumns({"a": F.col("src"), "b": F.col("dst")}), "live")
     tree = []
+    searched = None  # edges from outside the lists; with them the least edge of every component is known
     for _ in range(max_rounds):
+        if scratch.rows(live) <= TASK_ROWS:
+            told = scratch.table(contracted(live, searched, search), "contracted", watch=F.col("kind") == "live")
+            tree.append(told.where("kind = 'tree'").select("run", *EDGE))
+            if search is None:
+                break
+            search.relabel(told.where("kind = 'root'").select("run", F.col("a").alias("v"), F.col("b").alias("p")))
+            live = told.where("kind = 'live'").select("run", "a", "b", *EDGE)
+            live._counts = {"rows": scratch.watched(told)}
+            listed = scratch.table(least_edges(both_ways(live, "a", "b")), "listed")
+            extra = search.outside_edges(listed)
+            if not scratch.rows(listed) and (extra is None or not scratch.rows(extra)):
+                break
+            searched = listed if extra is None else extra
+            continue
         seen = both_ways(live, "a", "b")
         if search is not None:
             listed = scratch.table(least_edges(seen), "listed")
@@ -186,6 +205,87 @@ def minimum_spanning_forest(
     return scratch.table(forest.select(*columns, "src", "dst", "w"), "forest")
 
 
+def contracted(live: DataFrame, searched: DataFrame | None, search: OutsideSearch | None) -> DataFrame:
+    """Rows ``(run, kind, a, b, w, src, dst)`` of a graph that is contracted by one task a run.
+
+    ``tree`` rows are edges of the forest, ``root`` rows tell the root ``b`` of each component ``a``,
+    ``live`` rows are the edges between roots that are left.  A component joins the one across
+    its least edge if all lists of its points reach beyond that; with ``searched``, the edges found
+    outside the lists, every component does so once.  Others wait for the next search.
+    """
+    edges = live.select("run", "a", "b", *EDGE)
+    if searched is not None:
+        edges = edges.unionByName(searched.select("run", F.col("v").alias("a"), F.col("o").alias("b"), *EDGE))
+    if search is None:
+        ends = live.sparkSession.createDataFrame([], "run int, comp long, list_end double")
+    else:
+        met = edges.select("run", F.col("a").alias("comp")).union(edges.select("run", "b")).distinct()
+        ends = search.labels.join(met, ["run", "comp"], "left_semi").groupBy("run", "comp").agg(F.min("list_end").alias("list_end"))
+    known = searched is not None
+
+    def contract(edges: pa.Table, ends: pa.Table) -> pa.Table:
+        if not edges.num_rows:
+            return _told({})
+        run = int(values(edges, "run")[0])
+        w, src, dst = (values(edges, c) for c in EDGE)
+        order = np.lexsort((dst, src, w))  # from here on the number of an edge is its place in the order
+        w, src, dst = w[order], src[order], dst[order]
+        new = np.ones(len(w), dtype=bool)
+        new[1:] = (w[1:] != w[:-1]) | (src[1:] != src[:-1]) | (dst[1:] != dst[:-1])
+        w, src, dst, order = w[new], src[new], dst[new], order[new]
+        names, place = np.unique(np.concatenate([values(edges, "a"), values(edges, "b")]), return_inverse=True)
+        a, b = place[: edges.num_rows][order], place[edges.num_rows :][order]
+        reach = np.full(len(names), np.inf)
+        if ends.num_rows:
+            reach[np.searchsorted(names, values(ends, "comp"))] = values(ends, "list_end")
+        root, left, taken, sure = np.arange(len(names)), np.arange(len(w)), [], known
+        while True:
+            left = left[a[left] != b[left]]
+            least = np.full(len(names), len(w))
+            np.minimum.at(least, a[left], left)
+            np.minimum.at(least, b[left], left)
+            comps = np.flatnonzero(least < len(w))
+            if not sure:
+                comps = comps[w[least[comps]] < reach[comps]]
+            if not len(comps):
+                break
+            sure, edge = False, least[comps]
+            taken.append(np.unique(edge))
+            up = np.arange(len(names))
+            up[comps] = a[edge] + b[edge] - comps
+            back = comps[(up[up[comps]] == comps) & (comps < up[comps])]
+            up[back] = back
+            while (up[up] != up).any():
+                up = up[up]
+            np.minimum.at(reach, up, reach.copy())
+            root, a, b = up[root], up[a], up[b]
+        tree = np.concatenate(taken) if taken else np.zeros(0, dtype=np.int64)
+        # of parallel edges the least comes first
+        low, high = np.minimum(a[left], b[left]), np.maximum(a[left], b[left])
+        left = left[np.unique(low * len(names) + high, return_index=True)[1]]
+        return _told({
+            "tree": (run, src[tree], dst[tree], w[tree], src[tree], dst[tree]),
+            "root": (run, names, names[root], np.zeros(len(names)), names, names),
+            "live": (run, names[a[left]], names[b[left]], w[left], src[left], dst[left]),
+        })
+
+    schema = "run int, kind string, a long, b long, w double, src long, dst long"
+    return edges.groupBy("run").cogroup(ends.groupBy("run")).applyInArrow(contract, schema)
+
+
+def _told(parts: dict[str, tuple]) -> pa.Table:
+    names = ("a", "b", "w", "src", "dst")
+    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
+    out = [
+        pa.table({
+            "run": pa.array(np.full(len(columns[0]), run), pa.int32()), "kind": pa.array([kind] * len(columns[0]), pa.string()),
+            **{name: pa.array(x, t) for name, x, t in zip(names, columns, kinds)},
+        })
+        for kind, (run, *columns) in parts.items()
+    ]
+    return pa.concat_tables(out) if out else _told({"tree": (0, *[np.zeros(0)] * 5)})
+
+
 class OutsideSearch:
     """Exact search for edges that the neighbour lists do not hold.
 

@@ -33,12 +33,21 @@ def trial_top_words(
 ) -> DataFrame:
     """(trial_id, topic, aspect, rank, word, score) of many clusterings at once.
 
-    ``word_counts(doc_id, word, n)`` are counted once per document; every trial
-    adds them up per topic.
+    ``word_counts(doc_id, word, n)`` are counted once per document.  They are added up
+    for documents that have the same topics in all trials first, and only these sums
+    go to the topics of every trial.
     """
     scratch = Scratch(word_counts.sparkSession, "trial_words")  # what follows reads these tables several times
+    topics = F.sort_array(F.collect_list(F.struct("trial_id", "topic"))).alias("topics")  # at most the trials
+    of_doc = scratch.table(doc_topics.groupBy("doc_id").agg(topics), "of_doc")
+    alike = scratch.table(of_doc.select("topics").distinct().withColumn("kind", F.monotonically_increasing_id()), "alike")
+    of_kind = (
+        word_counts.join(of_doc.join(alike, "topics").select("doc_id", "kind"), "doc_id")
+        .groupBy("kind", "word")
+        .agg(F.sum("n").alias("n"))
+    )
     counts = scratch.table(
-        word_counts.join(doc_topics, "doc_id")
+        of_kind.join(alike, "kind").select("word", "n", F.inline("topics"))
         .groupBy("trial_id", "topic", "word")
         .agg(F.sum("n").alias("n")),
         "counts",
@@ -93,8 +102,9 @@ def run_trials(
     if nothing is left.  A folder named as ``ledger`` is kept: another run takes what
     it has finished from there and tries the rest again.
     """
-    scratch = Scratch(vectors.sparkSession, "trials")
-    book = Ledger(vectors.sparkSession, ledger or f"{scratch.root}/ledger")
+    spark = vectors.sparkSession
+    scratch = Scratch(spark, "trials")
+    book = Ledger(spark, ledger or f"{scratch.root}/ledger")
     done = book.done()
     rows = [r for r in trials.collect() if tuple(r[c] for c in PARAMETERS) not in done]  # the grid
     settings: dict[tuple, list] = {}
@@ -110,8 +120,11 @@ def run_trials(
     knn = scratch.table(
         nearest_points(cells, widest - 1, scratch, knn_method).withColumn("dist", as_distance(F.col("d2"), "cosine")), "knn"
     )
+    # the words of a document stay in one task, so they are counted there
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tokens = scratch.table(tokens.select("doc_id", "tokens").repartition(parts, "doc_id"), "tokens")
     word_counts = scratch.table(
-        tokens.select("doc_id", F.explode("tokens").alias("word"))
+        tokens.repartition(parts, "doc_id").select("doc_id", F.explode("tokens").alias("word"))
         .groupBy("doc_id", F.lower("word").alias("word"))
         .agg(F.count(F.lit(1)).alias("n")),
         "word_counts",
@@ -135,7 +148,7 @@ def run_trials(
             cell_rows=cell_rows,
             knn_method=knn_method,
         ).withColumnRenamed("trial", "trial_id")
-        own = Scratch(vectors.sparkSession, "measured")  # others run beside it
+        own = Scratch(spark, "measured")  # others run beside it
         return own.table(trial_metrics(reduced, doc_topics, word_counts, word_sets, min_df, max_df), "metrics")
 
     failed = None
