@@ -170,13 +170,19 @@ def minimum_spanning_forest(
         if search is not None:
             listed = scratch.table(least_edges(seen), "listed")
             extra = search.outside_edges(listed)
-            best = listed if extra is None else scratch.table(least_edges(listed.unionByName(extra)), "best")
+            best = listed
+            if extra is not None or search.resting:
+                rows = listed if extra is None else least_edges(listed.unionByName(extra))
+                best = scratch.table(search.moving(rows), "best")
         else:
             best = scratch.table(least_edges(seen), "best")
         if not scratch.rows(best):
             break
         tree.append(best.select("run", *EDGE).distinct())
-        roots = find_roots(hooks(best), scratch)
+        parent = hooks(best)
+        if search is not None and search.resting:
+            parent = parent.unionByName(search.resting_roots())
+        roots = find_roots(parent, scratch)
         if search is not None:
             search.relabel(roots)
         a = roots.select("run", F.col("v").alias("a"), F.col("p").alias("ra"))
@@ -211,7 +217,7 @@ def contracted(live: DataFrame, searched: DataFrame | None, search: OutsideSearc
     ``tree`` rows are edges of the forest, ``root`` rows tell the root ``b`` of each component ``a``,
     ``live`` rows are the edges between roots that are left.  A component joins the one across
     its least edge if all lists of its points reach beyond that; with ``searched``, the edges found
-    outside the lists, every component does so once.  Others wait for the next search.
+    outside the lists, every component that was searched does so once.  Others wait for the next search.
     """
     edges = live.select("run", "a", "b", *EDGE)
     if searched is not None:
@@ -221,7 +227,7 @@ def contracted(live: DataFrame, searched: DataFrame | None, search: OutsideSearc
     else:
         met = edges.select("run", F.col("a").alias("comp")).union(edges.select("run", "b")).distinct()
         ends = search.labels.join(met, ["run", "comp"], "left_semi").groupBy("run", "comp").agg(F.min("list_end").alias("list_end"))
-    known = searched is not None
+    known, resting = searched is not None, dict(search.resting) if search is not None else {}
 
     def contract(edges: pa.Table, ends: pa.Table) -> pa.Table:
         if not edges.num_rows:
@@ -245,8 +251,8 @@ def contracted(live: DataFrame, searched: DataFrame | None, search: OutsideSearc
             np.minimum.at(least, a[left], left)
             np.minimum.at(least, b[left], left)
             comps = np.flatnonzero(least < len(w))
-            if not sure:
-                comps = comps[w[least[comps]] < reach[comps]]
+            told = w[least[comps]] < reach[comps]
+            comps = comps[told | (names[comps] != resting.get(run)) if sure else told]
             if not len(comps):
                 break
             sure, edge = False, least[comps]
@@ -293,6 +299,9 @@ class OutsideSearch:
     that far away.  So only points whose list ends before the best listed edge
     of their component can have a better one, and they look no farther than
     that edge.
+
+    A component of more than half of a run's points rests: the others join it or each other by
+    their own least edges, so it needs none in that round, and its points need not be searched.
     """
 
     def __init__(
@@ -305,6 +314,7 @@ class OutsideSearch:
     ):
         self.cells, self.scratch, self.block_rows = cells, scratch, block_rows
         self.moved: list[int] = []  # candidates whose vectors were sent, by search
+        self.resting: dict[int, int] = {}  # by run: the component that was left out of the last search
         points = cells.points.select("id", "cell").join(core, "id").join(list_end, "id", "left")
         self.labels = scratch.table(
             points.select("run", "id", "cell", "core", F.coalesce("list_end", F.lit(0.0)).alias("list_end"), F.col("id").alias("comp")),
@@ -321,18 +331,36 @@ class OutsideSearch:
             replaces=self.labels,
         )
 
+    def _rests(self, component: str):
+        rests = F.lit(False)
+        for run, comp in self.resting.items():
+            rests = rests | ((F.col("run") == run) & (F.col(component) == comp))
+        return rests
+
+    def moving(self, best: DataFrame) -> DataFrame:
+        """The least edges of the components that do not rest."""
+        return best.where(~self._rests("v"))
+
+    def resting_roots(self) -> DataFrame:
+        """(run, v, p): components that rest are roots."""
+        return self.scratch.spark.createDataFrame([(r, c, c) for r, c in self.resting.items()], "run int, v long, p long")
+
     def outside_edges(self, listed: DataFrame) -> DataFrame | None:
         """(run, v, o, w, src, dst): a least unlisted edge per component, where one may be better."""
         scratch, cells = self.scratch, self.cells
         pivots, radius, size = cells.pivots, cells.radius, cells.size
         # runs that are down to one component have nothing outside
-        parts = self.labels.groupBy("run").agg((F.min("comp") != F.max("comp")).alias("split"))
-        split = [row.run for row in parts.collect() if row.split]
+        parts = self.labels.groupBy("run", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("run").agg(
+            F.count(F.lit(1)).alias("parts"), F.sum("n").alias("points"), F.max(F.struct("n", "comp")).alias("most")
+        )
+        several = [row for row in parts.collect() if row.parts > 1]
+        split = [row.run for row in several]
+        self.resting = {row.run: row.most.comp for row in several if 2 * row.most.n > row.points}
         if not split:
             return None
         best = listed.select("run", F.col("v").alias("comp"), F.col("w").alias("bound"))
         open_points = scratch.table(
-            self.labels.where(F.col("run").isin(split))
+            self.labels.where(F.col("run").isin(split) & ~self._rests("comp"))
             .join(best, ["run", "comp"], "left")
             .withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
             .where(F.col("list_end") <= F.col("bound")),

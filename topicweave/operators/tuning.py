@@ -15,7 +15,7 @@ from topicweave.operators.neighbours import (
 )
 from topicweave.operators.quality import PARAMETERS, topic_coherence, topic_diversity, with_composite_score
 from topicweave.operators.reduce import BUCKET_ROWS, reduce_points
-from topicweave.operators.represent import MAIN
+from topicweave.operators.represent import MAIN, SHARED_SCORES
 from topicweave.operators.separation import silhouette
 from topicweave.operators.tokens import doc_word_sets
 from topicweave.scratch import Scratch
@@ -24,41 +24,56 @@ from topicweave.scratch import Scratch
 AT_ONCE = 3
 
 
+def all_tasks(spark: SparkSession) -> int:
+    """Partitions for work on many more rows than what is shuffled for it."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def documents_alike(doc_topics: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, kind) and (kind, topics): documents of a kind have the same topics in all trials.
+
+    A kind is the smallest of its ids; ``topics`` holds ``(trial_id, topic)``, at most the trials.
+    """
+    topics = F.sort_array(F.collect_list(F.struct("trial_id", "topic"))).alias("topics")
+    of_doc = doc_topics.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(topics)
+    alike = of_doc.groupBy("topics").agg(F.min("doc_id").alias("kind"))
+    return of_doc.join(alike, "topics").select("doc_id", "kind"), alike.select("kind", "topics")
+
+
 def trial_top_words(
     word_counts: DataFrame,
     doc_topics: DataFrame,
     min_df: int | float,
     max_df: int | float,
     n: int = 10,
+    kinds: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """(trial_id, topic, aspect, rank, word, score) of many clusterings at once.
 
     ``word_counts(doc_id, word, n)`` are counted once per document.  They are added up
     for documents that have the same topics in all trials first, and only these sums
-    go to the topics of every trial.
+    go to the topics of every trial.  ``kinds`` are the ``documents_alike``, if written.
     """
     scratch = Scratch(word_counts.sparkSession, "trial_words")  # what follows reads these tables several times
-    topics = F.sort_array(F.collect_list(F.struct("trial_id", "topic"))).alias("topics")  # at most the trials
-    of_doc = scratch.table(doc_topics.groupBy("doc_id").agg(topics), "of_doc")
-    alike = scratch.table(of_doc.select("topics").distinct().withColumn("kind", F.monotonically_increasing_id()), "alike")
-    of_kind = (
-        word_counts.join(of_doc.join(alike, "topics").select("doc_id", "kind"), "doc_id")
-        .groupBy("kind", "word")
-        .agg(F.sum("n").alias("n"))
-    )
+    kind_of, alike = kinds or documents_alike(doc_topics)
     counts = scratch.table(
-        of_kind.join(alike, "kind").select("word", "n", F.inline("topics"))
-        .groupBy("trial_id", "topic", "word")
-        .agg(F.sum("n").alias("n")),
-        "counts",
+        word_counts.join(kind_of, "doc_id").groupBy("kind", "word").agg(F.sum("n").alias("n")), "counts"
+    )
+    units = (
+        counts.select("kind").distinct().join(alike, "kind").select(F.inline("topics"))
+        .groupBy("trial_id").agg(F.count_distinct("topic").alias("units"))
     )
-    units = counts.groupBy("trial_id").agg(F.count_distinct("topic").alias("units"))
     bound = lambda limit: F.col("units") * limit if isinstance(limit, float) else F.lit(limit)
+    # by word, so that neither the sums nor the counts over a word take another shuffle
     per_word = Window.partitionBy("trial_id", "word")
     kept = (
-        counts.withColumn("df", F.count(F.lit(1)).over(per_word))
+        counts.repartition(all_tasks(word_counts.sparkSession), "word")
+        .join(alike, "kind").select("word", "n", F.inline("topics"))
+        .groupBy("trial_id", "topic", "word")
+        .agg(F.sum("n").alias("n"))
+        .withColumn("df", F.count(F.lit(1)).over(per_word))
         .withColumn("f", F.sum("n").over(per_word))
-        .join(units, "trial_id")
+        .join(F.broadcast(units), "trial_id")  # one row a trial
         .where((F.col("df") >= bound(min_df)) & (F.col("df") <= bound(max_df)))
     )
     kept = scratch.table(kept, "kept", replaces=counts)
@@ -121,7 +136,7 @@ def run_trials(
         nearest_points(cells, widest - 1, scratch, knn_method).withColumn("dist", as_distance(F.col("d2"), "cosine")), "knn"
     )
     # the words of a document stay in one task, so they are counted there
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = all_tasks(spark)
     tokens = scratch.table(tokens.select("doc_id", "tokens").repartition(parts, "doc_id"), "tokens")
     word_counts = scratch.table(
         tokens.repartition(parts, "doc_id").select("doc_id", F.explode("tokens").alias("word"))
@@ -235,7 +250,10 @@ def trial_metrics(
     counts = cluster_counts(doc_topics, by).where("n_clusters >= 2")
     kept = doc_topics.join(counts.select("trial_id"), "trial_id", "left_semi")
     scratch = Scratch(doc_topics.sparkSession, "trial_metrics")
-    words = scratch.table(trial_top_words(word_counts, kept, min_df, max_df), "words")  # read by two measures
+    kind_of, alike = (scratch.table(df, "kinds") for df in documents_alike(kept))
+    kinds = F.broadcast(kind_of) if Scratch.rows(kind_of) <= SHARED_SCORES else kind_of, alike
+    words = trial_top_words(word_counts, kept, min_df, max_df, kinds=kinds)
+    words = scratch.table(words, "words")  # read by two measures
     return (
         counts.join(noise_ratio(kept, by), by)
         .join(silhouette(reduced, kept, by), by)
