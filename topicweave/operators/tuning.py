@@ -135,11 +135,10 @@ def run_trials(
     knn = scratch.table(
         nearest_points(cells, widest - 1, scratch, knn_method).withColumn("dist", as_distance(F.col("d2"), "cosine")), "knn"
     )
-    # the words of a document stay in one task, so they are counted there
-    parts = all_tasks(spark)
-    tokens = scratch.table(tokens.select("doc_id", "tokens").repartition(parts, "doc_id"), "tokens")
+    tokens = scratch.table(tokens.select("doc_id", "tokens"), "tokens")
+    # the words of a document go to one task together, and are counted there
     word_counts = scratch.table(
-        tokens.repartition(parts, "doc_id").select("doc_id", F.explode("tokens").alias("word"))
+        tokens.repartition(all_tasks(spark), "doc_id").select("doc_id", F.explode("tokens").alias("word"))
         .groupBy("doc_id", F.lower("word").alias("word"))
         .agg(F.count(F.lit(1)).alias("n")),
         "word_counts",
